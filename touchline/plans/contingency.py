@@ -39,7 +39,7 @@ def every_cell(left: DataFrame, right: DataFrame) -> DataFrame:
     """
     part = F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD))
     a = left.withColumn("__part", part)
-    b = right.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).cast("long"))
+    b = right.withColumn("__part", F.explode(F.array(*[F.lit(i).cast("long") for i in range(SPREAD)])))
     return a.join(b, "__part").drop("__part")
 
 

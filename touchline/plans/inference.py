@@ -11,6 +11,7 @@ from touchline.functions.tails import area
 from touchline.operators.ordered import attach
 from touchline.operators.quantiles import quantiles
 from touchline.operators.sampling import bootstrap_means
+from touchline.plans.contingency import every_cell
 
 
 def _moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -99,19 +100,17 @@ def _spread(value: Column, weight: Column) -> Column:
     return F.sum(value * value * weight) / F.sum(weight) - mean * mean
 
 
-def pairwise(df: DataFrame, factor: str, response: str, level: float = 0.95, parts: int = 16) -> DataFrame:
+def pairwise(df: DataFrame, factor: str, response: str, level: float = 0.95) -> DataFrame:
     """All pairs of level means: difference, LSD interval and p, Tukey's HSD p.
 
     Works on one row per level. The pairs are the result; they are formed by an
-    equi-join over ``parts`` parts, so no task holds them all.
+    equi-join over several parts, so no task holds them all.
     """
     levels = group_squares(df, factor, response)
     pooled = anova(df, factor, response).select("mse", "df_within", F.col("levels").alias("__k"))
     a = levels.select(F.col(factor).alias("first"), F.col("n").alias("n1"), F.col("mean").alias("mean1"))
     b = levels.select(F.col(factor).alias("second"), F.col("n").alias("n2"), F.col("mean").alias("mean2"))
-    a = a.withColumn("__part", F.pmod(F.xxhash64("first"), F.lit(parts)))
-    b = b.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long"))
-    pairs = a.join(b, "__part").where(F.col("first") < F.col("second")).drop("__part")
+    pairs = every_cell(a, b).where(F.col("first") < F.col("second"))
     rows = attach(pairs, pooled, [])
     rows = rows.withColumn("difference", F.col("mean1") - F.col("mean2"))
     rows = rows.withColumn("se", F.sqrt(F.col("mse") * (1 / F.col("n1") + 1 / F.col("n2"))))
