@@ -434,27 +434,57 @@ def additive_logistic(df: DataFrame, label: str, columns: dict[str, Sequence[flo
     return logistic(df, label, names, penalty), names
 
 
-def class_model(df: DataFrame, label: str, predictors: Sequence[str], kind: str):
-    """Multinomial logistic regression or Gaussian naive Bayes on a text label."""
+MAX_CLASSES = 1000
+
+
+def class_model(df: DataFrame, label: str, predictors: Sequence[str]):
+    """Multinomial logistic regression on a text label, fitted on counted cells."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression, NaiveBayes
+    from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import StringIndexer, VectorAssembler
 
     index = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc")
     features = VectorAssembler(inputCols=list(predictors), outputCol="features")
-    if kind == "multinomial":
-        classifier = LogisticRegression(labelCol="__label", family="multinomial", weightCol="__weight", tol=1e-9)
-    else:
-        classifier = NaiveBayes(labelCol="__label", modelType="gaussian", weightCol="__weight")
+    classifier = LogisticRegression(labelCol="__label", family="multinomial", weightCol="__weight", tol=1e-9)
     cells = df.select(label, *predictors).dropna().groupBy(label, *predictors).agg(
         F.count(F.lit(1)).cast("double").alias("__weight")
     )
     return Pipeline(stages=[index, features, classifier]).fit(cells)
 
 
-def confusion(model, df: DataFrame, label: str) -> DataFrame:
-    """Actual against predicted class counts."""
+def class_probabilities(model, df: DataFrame, label: str) -> DataFrame:
+    """One row per input row and class."""
+    from pyspark.ml.functions import vector_to_array
+
     names = F.array(*[F.lit(v) for v in model.stages[0].labels])
-    scored = model.transform(df)
-    predicted = F.get(names, F.col("prediction").cast("int")).alias("predicted")
+    scored = model.stages[2].transform(model.stages[1].transform(df)).withColumn("__p", vector_to_array("probability"))
+    long = scored.select(*df.columns, F.explode(F.arrays_zip(names.alias("name"), F.col("__p").alias("p"))).alias("__c"))
+    return long.select(*df.columns, F.col("__c.name").alias(label), F.col("__c.p").alias("probability"))
+
+
+def bayes_model(df: DataFrame, label: str, predictors: Sequence[str]) -> list:
+    """Gaussian naive Bayes: size, means and variances per class, from one aggregate."""
+    moments_ = [f(p).alias(f"{name}{i}") for i, p in enumerate(predictors) for name, f in (("m", F.avg), ("v", F.var_samp))]
+    table = df.select(label, *predictors).dropna().groupBy(label).agg(F.count(F.lit(1)).alias("n"), *moments_)
+    classes = table.orderBy(label).limit(MAX_CLASSES + 1).collect()
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return classes
+
+
+def bayes_classes(df: DataFrame, classes: list, label: str, predictors: Sequence[str], out: str = "predicted") -> DataFrame:
+    """The likeliest class of each row, as one generated-code expression."""
+    scores = []
+    for row in classes:
+        score = F.lit(math.log(row["n"]))
+        for i, p in enumerate(predictors):
+            gap = F.col(p) - F.lit(float(row[f"m{i}"]))
+            score = score - F.lit(math.log(row[f"v{i}"]) / 2) - gap * gap / F.lit(2.0 * row[f"v{i}"])
+        scores.append(F.struct(score.alias("score"), F.lit(row[label]).alias("name")))
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    return df.withColumn(out, best["name"])
+
+
+def confusion(scored: DataFrame, label: str, predicted: str = "predicted") -> DataFrame:
+    """Actual against predicted class counts."""
     return scored.groupBy(F.col(label).alias("actual"), predicted).agg(F.count(F.lit(1)).alias("n"))
