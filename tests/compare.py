@@ -18,7 +18,7 @@ def plain(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
-        return repr(round(value, 6) + 0.0)
+        return repr(value + 0.0)
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, int):

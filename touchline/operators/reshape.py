@@ -59,15 +59,17 @@ def cells_to_rows(
     return placed.groupBy(*keys, "row_no").agg(*columns)
 
 
-def promote_header(df: DataFrame, row: str) -> DataFrame:
-    """The first row's values become the column names; repeats of it are dropped."""
-    data = [c for c in df.columns if c != row]
-    head = df.agg(F.min_by(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}")
-                                      for i, c in enumerate(data)]), F.col(row))).first()[0]
-    names = [head[i] for i in range(len(data))]
+def promote_header(df: DataFrame, row: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The first row's values become the column names; repeats of it are dropped.
+
+    ``keep`` are columns outside the table proper (page ids).
+    """
+    data = [c for c in df.columns if c != row and c not in keep]
+    cells = F.array(*[F.col(f"`{c}`").cast("string") for c in data])
+    names = df.agg(F.min_by(cells, F.col(row))).first()[0]
     first = F.col(f"`{data[0]}`")
     kept = df.where(first.isNull() | (first.cast("string") != F.lit(names[0])))
-    return kept.select(row, *[F.col(f"`{c}`").alias(n) for c, n in zip(data, names)])
+    return kept.select(*keep, row, *[F.col(f"`{c}`").alias(n) for c, n in zip(data, names)])
 
 
 def drop_leading(df: DataFrame, row: str, n: int) -> DataFrame:

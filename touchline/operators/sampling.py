@@ -54,9 +54,8 @@ def bootstrap_means(
         .select(*keys, value, *[c for c in ids if c not in keys and c != value],
                 F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
         .withColumn("__w", poisson_weight(seed, F.col("copy"), *ids))
-        .where(F.col("__w") > 0)
     )
     sums = drawn.groupBy(*keys, "copy").agg(
         F.sum("__w").alias("n"), F.sum(F.col("__w") * F.col(value)).alias("__s")
     )
-    return sums.select(*keys, "copy", "n", (F.col("__s") / F.col("n")).alias("mean"))
+    return sums.where(F.col("n") > 0).select(*keys, "copy", "n", (F.col("__s") / F.col("n")).alias("mean"))

@@ -23,8 +23,9 @@ class Components:
         order = np.argsort(values)[::-1]
         self.variance = np.clip(values[order], 0, None)
         vectors = vectors[:, order]
-        # sign: the largest loading of a component is positive
-        self.loadings = vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), range(len(columns))])
+        # sign: the first loading of a component that is not about 0 is positive
+        lead = (np.abs(vectors) > 1e-9).argmax(axis=0)
+        self.loadings = vectors * np.sign(vectors[lead, range(len(columns))])
 
     def shares(self, spark) -> DataFrame:
         share = self.variance / self.variance.sum()

@@ -32,6 +32,12 @@ def longs(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("long") for c in columns})
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for Python work on an input of few files; larger inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def games(spark: SparkSession, folder: str) -> DataFrame:
     """Each line item as a game of customer nation (home) against supplier nation (away)."""
     line = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")

@@ -566,13 +566,13 @@ def cumulative_shares(spark, folder):
     return rounded(contingency.cumulative_share(counts, "p_brand", "n"), "share", "running_share", places=6)
 
 
-@query("""SELECT o_custkey, round(48 * sum(o_totalprice) / sum(o_orderkey % 60 + 1), 4) AS per_48,
-  round(100.0 * count(*) / sum(o_orderkey % 60 + 1), 4) AS per_100 FROM orders GROUP BY o_custkey""")
+@query("""SELECT o_custkey, round(48 * sum(o_totalprice) / sum(o_orderkey % 60 + 1), 5) AS per_48,
+  round(100.0 * count(*) / sum(o_orderkey % 60 + 1), 9) AS per_100 FROM orders GROUP BY o_custkey""")
 def rates_per_unit(spark, folder):
     sums = table(spark, folder, "orders").groupBy("o_custkey").agg(
         F.sum("o_totalprice").alias("points"), F.count(F.lit(1)).alias("shots"), F.sum(F.col("o_orderkey") % 60 + 1).alias("minutes"))
     made = season.rate(season.rate(sums, {"per_48": "points"}, "minutes", 48), {"per_100": "shots"}, "minutes", 100)
-    return rounded(made.select("o_custkey", "per_48", "per_100"), "per_48", "per_100")
+    return rounded(rounded(made.select("o_custkey", "per_48", "per_100"), "per_48", places=5), "per_100", places=9)
 
 
 @query("""SELECT o_orderkey, o_custkey AS player, o_orderkey % 97 AS opponent_player, o_totalprice AS points,

@@ -135,20 +135,14 @@ def wide_to_long(spark, folder):
     return longer(supplier, ["balance", "nation"], "measure", "value")
 
 
-def _spread_sql(flag):
-    where = f"FILTER (l_returnflag = '{flag}')"
-    return f"""count(*) {where} AS n_{flag}, CAST(sum(l_quantity) {where} AS BIGINT) AS quantity_{flag},
-      round(avg(l_extendedprice) {where}, 4) AS price_{flag}"""
-
-
 @query(f"""SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, {', '.join(
-    f"nullif(count(*) FILTER (l_returnflag = '{f}'), 0) AS n_{f}, CAST(sum(l_quantity) FILTER (l_returnflag = '{f}') AS BIGINT) AS quantity_{f}, round(avg(l_extendedprice) FILTER (l_returnflag = '{f}'), 4) AS price_{f}"
+    f"nullif(count(*) FILTER (l_returnflag = '{f}'), 0) AS n_{f}, CAST(sum(l_quantity) FILTER (l_returnflag = '{f}') AS BIGINT) AS quantity_{f}, round(avg(l_extendedprice) FILTER (l_returnflag = '{f}'), 7) AS price_{f}"
     for f in 'ANR')} FROM lineitem GROUP BY ALL""")
 def long_to_wide(spark, folder):
     line = table(spark, folder, "lineitem").withColumn("year", F.year("l_shipdate"))
     return wider(line, ["l_suppkey", "year"], "l_returnflag", ["A", "N", "R"], {
         "n": F.count(F.lit(1)), "quantity": F.sum("l_quantity").cast("long"),
-        "price": F.round(F.avg("l_extendedprice"), 4)})
+        "price": F.round(F.avg("l_extendedprice"), 7)})
 
 
 @query("""SELECT c_nationkey, """ + ", ".join(

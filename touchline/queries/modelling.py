@@ -38,14 +38,14 @@ T95 = t_quantile_sql(Z95, "n - 2")
 
 
 @query(f"""WITH {SIMPLE_SQL}, p AS (SELECT *, a + b * 25 AS y, 1 / n + pow(25 - mx, 2) / sxx AS h, {T95} AS q FROM f)
-  SELECT l_returnflag, round(b - q * se, 4) AS slope_low, round(b + q * se, 4) AS slope_high, round(y, 4) AS fitted,
-    round(y - q * sigma * sqrt(h), 4) AS mean_low, round(y + q * sigma * sqrt(h), 4) AS mean_high,
-    round(y - q * sigma * sqrt(1 + h), 4) AS prediction_low, round(y + q * sigma * sqrt(1 + h), 4) AS prediction_high FROM p""")
+  SELECT l_returnflag, round(b - q * se, 3) AS slope_low, round(b + q * se, 3) AS slope_high, round(y, 3) AS fitted,
+    round(y - q * sigma * sqrt(h), 3) AS mean_low, round(y + q * sigma * sqrt(h), 3) AS mean_high,
+    round(y - q * sigma * sqrt(1 + h), 3) AS prediction_low, round(y + q * sigma * sqrt(1 + h), 3) AS prediction_high FROM p""")
 def regression_intervals(spark, folder):
     fits = regression.simple_fits(_line(spark, folder), "l_extendedprice", "l_quantity", ["l_returnflag"])
     made = regression.line_intervals(fits, 25.0)
     names = ["slope_low", "slope_high", "fitted", "mean_low", "mean_high", "prediction_low", "prediction_high"]
-    return rounded(made.select("l_returnflag", *names), *names)
+    return rounded(made.select("l_returnflag", *names), *names, places=3)
 
 
 def _two_predictor_sql(y, x, z, source="lineitem"):
@@ -150,8 +150,9 @@ def best_subsets(spark, folder):
 
 @query()
 def forward_selection(spark, folder):
-    predictors = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
-    return rounded(regression.forward(_line(spark, folder), "l_extendedprice", predictors), "aic", "adjusted_r2")
+    predictors = ["l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
+    line = _line(spark, folder).withColumn("revenue", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    return rounded(regression.forward(line, "revenue", predictors), "aic", "adjusted_r2")
 
 
 @query()
@@ -265,8 +266,9 @@ def component_shares(spark, folder):
     return rounded(made, "sd", "share", "cumulative", places=6)
 
 
-@query("""WITH m AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_extendedprice) AS mp, stddev_samp(l_extendedprice) AS sp FROM lineitem)
-  SELECT l_orderkey, round(((l_quantity - mq) / sq + (l_extendedprice - mp) / sp) / sqrt(2), 6) AS pc1 FROM lineitem, m""")
+@query("""WITH m AS (SELECT avg(l_quantity) AS mq, stddev_samp(l_quantity) AS sq, avg(l_extendedprice) AS mp, stddev_samp(l_extendedprice) AS sp,
+    sign(corr(l_quantity, l_extendedprice)) AS way FROM lineitem)
+  SELECT l_orderkey, round(((l_quantity - mq) / sq + way * (l_extendedprice - mp) / sp) / sqrt(2), 6) AS pc1 FROM lineitem, m""")
 def component_scores(spark, folder):
     """First component score of every row."""
     line = _line(spark, folder).select("l_orderkey", "l_quantity", "l_extendedprice")

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from touchline.operators.reshape import cells_to_rows, drop_leading, promote_header
-from touchline.queries.common import query
+from touchline.queries.common import query, spread
 from touchline.session import scratch_dir
 from touchline.sources import catalog, files, markup, tables
 
@@ -156,21 +156,19 @@ def _result_pages(spark, folder):
   UNION ALL SELECT o_orderkey, 'price & status', 'price & status', o_orderstatus, 4 FROM orders""")
 def html_tables(spark, folder):
     """Second table of each page: header row promoted, repeated header rows dropped."""
-    rows = markup.table_rows(_result_pages(spark, folder), "page_id", "html")
+    rows = markup.table_rows(spread(_result_pages(spark, folder)), "page_id", "html")
     cells = markup.table_columns(rows, 2, 3)
-    headed = promote_header(cells.select("row_no", "X1", "X2", "X3", "page_id"), "row_no")
-    names = headed.columns
-    return headed.withColumnRenamed(names[-1], "page_id") if names[-1] != "page_id" else headed
+    return promote_header(cells, "row_no", keep=["page_id"])
 
 
 @query("""SELECT o_orderkey AS page_id, 4 AS row_no, 'price & status' AS "X1", 'price & status' AS "X2",
   o_orderstatus AS "X3" FROM orders""")
 def leading_rows_dropped(spark, folder):
-    rows = markup.table_rows(_result_pages(spark, folder), "page_id", "html")
+    rows = markup.table_rows(spread(_result_pages(spark, folder)), "page_id", "html")
     return drop_leading(markup.table_columns(rows, 2, 3), "row_no", 3)
 
 
-CLEAN_SQL = """regexp_replace(replace(replace(replace({0}, '&amp;', '&'), '&copy;', '©'), '&middot;', '·'),
+CLEAN_SQL = """regexp_replace(regexp_replace(replace(replace(replace({0}, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g'),
   '\\s+', ' ', 'g')"""
 
 

@@ -1,8 +1,9 @@
 """Stored HTML pages to cell rows and selected texts, page by page in parallel."""
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,7 +11,12 @@ from pyspark.sql import functions as F
 
 VOID = {"br", "img", "hr", "meta", "link", "input", "source", "wbr", "col", "area", "base", "embed", "track"}
 BREAKS = {"br", "p", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "table", "section"}
-SILENT = {"script", "style"}
+# a comment, a script or style with its content, a declaration, or one tag
+TAG = re.compile(
+    r"""<!--.*?-->|<(?P<silent>script|style)\b.*?</(?P=silent)\s*>|<[!?][^>]*>"""
+    r"""|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9]*)(?P<attributes>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    re.DOTALL | re.IGNORECASE,
+)
 
 
 def _tidy(parts: list[str]) -> str:
@@ -18,119 +24,137 @@ def _tidy(parts: list[str]) -> str:
     return "\n".join(t for t in (" ".join(line.split()) for line in lines) if t)
 
 
-class _Tables(HTMLParser):
-    """Cells per table; ``colspan`` repeats a cell, ``rowspan`` carries it down."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.done: list[list[list[str]]] = []
-        self.open: list[dict] = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            state = {"rows": [], "row": None, "cell": None, "span": (1, 1), "down": {}, "no": len(self.done)}
-            self.done.append(state["rows"])
-            self.open.append(state)
-        elif self.open and tag == "tr":
-            self._end_row()
-            self.open[-1]["row"] = []
-        elif self.open and tag in ("td", "th"):
-            self._end_cell()
-            state = self.open[-1]
-            if state["row"] is None:
-                state["row"] = []
-            given = dict(attrs)
-            state["span"] = tuple(
-                int(given.get(k) or 1) if str(given.get(k) or 1).isdigit() else 1 for k in ("colspan", "rowspan")
-            )
-            state["cell"] = []
-        elif self.open and tag == "br" and self.open[-1]["cell"] is not None:
-            self.open[-1]["cell"].append(" ")
-
-    def handle_endtag(self, tag):
-        if not self.open:
-            return
-        if tag in ("td", "th"):
-            self._end_cell()
-        elif tag == "tr":
-            self._end_row()
-        elif tag == "table":
-            self._end_row()
-            self.open.pop()
-
-    def handle_data(self, data):
-        if self.open and self.open[-1]["cell"] is not None:
-            self.open[-1]["cell"].append(data)
-
-    def _carried(self, state):
-        down = state["down"]
-        while len(state["row"]) in down:
-            at = len(state["row"])
-            text, left = down.pop(at)
-            state["row"].append(text)
+def _tags(html: str) -> Iterator[tuple[str, str, str, str]]:
+    """(text before, "/" when closing, tag name, attributes) for each tag, then the rest."""
+    at = 0
+    for found in TAG.finditer(html):
+        closing, name, attributes = found.group("close", "name", "attributes")
+        yield html[at:found.start()], closing or "", (name or "").lower(), attributes or ""
+        at = found.end()
+    yield html[at:], "", "", ""
+
+
+def _attribute(attributes: str, name: str) -> str:
+    found = re.search(rf"""\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", attributes, re.IGNORECASE)
+    return next((g for g in found.groups() if g is not None), "") if found else ""
+
+
+def _span(attributes: str, name: str) -> int:
+    if name not in attributes.lower():
+        return 1
+    text = _attribute(attributes, name).strip()
+    return max(1, int(text)) if text.isdigit() else 1
+
+
+def _cell_text(parts: list[str]) -> str:
+    return " ".join(unescape("".join(parts)).split())
+
+
+class _Open:
+    """A table being read: finished rows, the open row and cell, cells spanning down."""
+
+    def __init__(self, rows: list):
+        self.rows, self.row, self.cell = rows, None, None
+        self.across = self.deep = 1
+        self.pending: dict[int, tuple[str, int]] = {}
+        self.later: dict[int, tuple[str, int]] = {}
+
+    def _carry(self):
+        while len(self.row) in self.pending:
+            text, left = self.pending.pop(len(self.row))
             if left > 1:
-                state.setdefault("next", {})[at] = (text, left - 1)
+                self.later[len(self.row)] = (text, left - 1)
+            self.row.append(text)
 
-    def _end_cell(self):
-        state = self.open[-1]
-        if state["cell"] is None:
+    def end_cell(self):
+        if self.cell is None:
+            return
+        text, self.cell = _cell_text(self.cell), None
+        self._carry()
+        for _ in range(self.across):
+            if self.deep > 1:
+                self.later[len(self.row)] = (text, self.deep - 1)
+            self.row.append(text)
+
+    def end_row(self):
+        self.end_cell()
+        if self.row is None:
             return
-        text = " ".join("".join(state["cell"]).split())
-        state["cell"] = None
-        self._carried(state)
-        across, down = state["span"]
-        for _ in range(max(1, across)):
-            if down > 1:
-                state.setdefault("next", {})[len(state["row"])] = (text, down - 1)
-            state["row"].append(text)
-
-    def _end_row(self):
-        state = self.open[-1]
-        self._end_cell()
-        if state["row"] is not None:
-            self._carried(state)
-            state["rows"].append(state["row"])
-        state["row"] = None
-        state["down"] = {**state["down"], **state.pop("next", {})}
-
-
-class _Texts(HTMLParser):
+        self._carry()
+        self.rows.append(self.row)
+        self.row = None
+        self.pending, self.later = {**self.pending, **self.later}, {}
+
+    def start_cell(self, attributes: str):
+        self.end_cell()
+        if self.row is None:
+            self.row = []
+        self.across, self.deep = _span(attributes, "colspan"), _span(attributes, "rowspan")
+        self.cell = []
+
+
+def _read_tables(html: str) -> list[list[list[str]]]:
+    """Cell texts per table and row; ``colspan`` repeats a cell, ``rowspan`` carries it down."""
+    tables: list[list[list[str]]] = []
+    stack: list[_Open] = []
+    for text, closing, name, attributes in _tags(html):
+        if text and stack and stack[-1].cell is not None:
+            stack[-1].cell.append(text)
+        if name == "table":
+            if not closing:
+                tables.append([])
+                stack.append(_Open(tables[-1]))
+            elif stack:
+                stack.pop().end_row()
+        elif not stack:
+            continue
+        elif name == "tr":
+            stack[-1].end_row()
+            if not closing:
+                stack[-1].row = []
+        elif name in ("td", "th"):
+            if closing:
+                stack[-1].end_cell()
+            else:
+                stack[-1].start_cell(attributes)
+        elif name in BREAKS and stack[-1].cell is not None:
+            stack[-1].cell.append(" ")
+    while stack:
+        stack.pop().end_row()
+    return tables
+
+
+def _read_texts(html: str, selectors: Sequence[str]) -> dict[str, list[str]]:
     """Texts of elements that match simple selectors (``tag``, ``.class``, ``tag.class``)."""
+    wanted = [(s, *s.partition(".")[::2]) for s in selectors]
+    found: dict[str, list[list[str]]] = {s: [] for s in selectors}
+    stack: list[tuple[str, list[list[str]]]] = []
 
-    def __init__(self, selectors: Sequence[str]):
-        super().__init__(convert_charrefs=True)
-        self.wanted = [(s, *s.partition(".")[::2]) for s in selectors]
-        self.found: dict[str, list[list[str]]] = {s: [] for s in selectors}
-        self.stack: list[tuple[str, list[list[str]]]] = []
-
-    def handle_starttag(self, tag, attrs):
-        if tag in BREAKS:
-            self._add("\n")
-        classes = (dict(attrs).get("class") or "").split()
-        sinks = []
-        for selector, name, label in self.wanted:
-            if (not name or name == tag) and (not label or label in classes):
-                self.found[selector].append([])
-                sinks.append(self.found[selector][-1])
-        if tag not in VOID:
-            self.stack.append((tag, sinks))
-
-    def handle_endtag(self, tag):
-        if any(open_tag == tag for open_tag, _ in self.stack):
-            while self.stack.pop()[0] != tag:
-                pass
-        if tag in BREAKS:
-            self._add("\n")
-
-    def handle_data(self, data):
-        if not (self.stack and self.stack[-1][0] in SILENT):
-            self._add(data.replace("\n", " "))
-
-    def _add(self, text):
-        for _, sinks in self.stack:
+    def add(text: str):
+        for _, sinks in stack:
             for sink in sinks:
                 sink.append(text)
 
+    for text, closing, name, attributes in _tags(html):
+        if text:
+            add(unescape(text).replace("\n", " "))
+        if name in BREAKS:
+            add("\n")
+        if closing:
+            if any(name == opened for opened, _ in stack):
+                while stack.pop()[0] != name:
+                    pass
+        elif name:
+            classes = _attribute(attributes, "class").split() if attributes else []
+            sinks = []
+            for selector, tag, label in wanted:
+                if (not tag or tag == name) and (not label or label in classes):
+                    found[selector].append([])
+                    sinks.append(found[selector][-1])
+            if name not in VOID and not attributes.endswith("/"):
+                stack.append((name, sinks))
+    return {s: [_tidy(parts) for parts in texts] for s, texts in found.items()}
+
 
 def table_rows(pages: DataFrame, page_id: str, html: str) -> DataFrame:
     """All table rows of all pages: (page_id, table_no, row_no, cells)."""
@@ -139,10 +163,7 @@ def table_rows(pages: DataFrame, page_id: str, html: str) -> DataFrame:
         for batch in batches:
             rows = []
             for key, text in zip(batch["page_id"], batch["html"]):
-                parser = _Tables()
-                parser.feed(text or "")
-                parser.close()
-                for t, table in enumerate(parser.done, 1):
+                for t, table in enumerate(_read_tables(text or ""), 1):
                     rows += [(key, t, r, cells) for r, cells in enumerate(table, 1)]
             yield pd.DataFrame(rows, columns=["page_id", "table_no", "row_no", "cells"])
 
@@ -166,12 +187,8 @@ def selected_texts(pages: DataFrame, page_id: str, html: str, selectors: Sequenc
         for batch in batches:
             rows = []
             for key, text in zip(batch["page_id"], batch["html"]):
-                parser = _Texts(selectors)
-                parser.feed(text or "")
-                parser.close()
-                for selector in selectors:
-                    found = parser.found[selector]
-                    rows += [(key, selector, i, _tidy(parts)) for i, parts in enumerate(found)]
+                for selector, texts in _read_texts(text or "", selectors).items():
+                    rows += [(key, selector, i, found) for i, found in enumerate(texts)]
             yield pd.DataFrame(rows, columns=["page_id", "selector", "pos", "text"])
 
     kind = pages.schema[page_id].dataType.simpleString()
