@@ -6,7 +6,8 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from touchline.session import HOT_ROWS_KEY  # noqa: E402
 

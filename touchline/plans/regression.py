@@ -366,7 +366,7 @@ def grouped_cells(df: DataFrame, label: str, predictors: Sequence[str]) -> DataF
     return used.dropna().groupBy(label, *predictors).agg(F.count(F.lit(1)).cast("double").alias("__weight"))
 
 
-def logistic(df: DataFrame, label: str, predictors: Sequence[str], penalty: float = 0.0):
+def logistic(df: DataFrame, label: str, predictors: Sequence[str]):
     """Binomial model with standard errors, fitted by Spark ML on grouped cells."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
@@ -374,7 +374,7 @@ def logistic(df: DataFrame, label: str, predictors: Sequence[str], penalty: floa
     cells = grouped_cells(df, label, predictors)
     ready = VectorAssembler(inputCols=list(predictors), outputCol="features").transform(cells)
     return GeneralizedLinearRegression(
-        family="binomial", link="logit", labelCol=label, weightCol="__weight", regParam=penalty, tol=1e-10, maxIter=50
+        family="binomial", link="logit", labelCol=label, weightCol="__weight", tol=1e-10, maxIter=50
     ).fit(ready)
 
 
@@ -408,30 +408,35 @@ def logistic_probability(model, predictors: Sequence[str]) -> Column:
     return 1 / (1 + F.exp(-value))
 
 
-def spline_columns(df: DataFrame, column: str, knots: Sequence[float], prefix: str) -> tuple[DataFrame, list[str]]:
-    """Cubic spline basis (truncated powers), built from column expressions.
+def spline_columns(df: DataFrame, column: str, low: float, high: float, pieces: int) -> tuple[DataFrame, list[str]]:
+    """Cubic B-spline basis over ``pieces`` equal spans, built from column expressions.
 
-    The predictor is first scaled to the span of the knots, for stable powers.
+    The basis functions add up to 1, so the first one is left to the intercept.
     """
-    low, high = knots[0], knots[-1]
-    x = (F.col(column) - low) / (high - low)
-    made = {f"{prefix}_x": x, f"{prefix}_x2": x * x, f"{prefix}_x3": x * x * x}
-    for i, knot in enumerate(knots[1:-1], 1):
-        over = F.greatest(x - (knot - low) / (high - low), F.lit(0.0))
-        made[f"{prefix}_k{i}"] = over * over * over
+    step = (high - low) / pieces
+    made = {}
+    for j in range(0, pieces + 2):
+        u = F.abs((F.col(column) - F.lit(low + j * step)) / F.lit(step))
+        outer, inner = F.greatest(2 - u, F.lit(0.0)), F.greatest(1 - u, F.lit(0.0))
+        made[f"s_{column}_{j}"] = (outer * outer * outer - 4 * inner * inner * inner) / 6
     return df.withColumns(made), list(made)
 
 
-def additive_logistic(df: DataFrame, label: str, columns: dict[str, Sequence[float]], penalty: float):
+def additive_logistic(df: DataFrame, label: str, spans: dict[str, tuple[float, float, int]], penalty: float):
     """Additive model: a penalised logistic regression on spline columns.
 
-    ``columns`` gives the knots of each predictor.
+    ``spans`` gives (low, high, pieces) of each predictor. Returns the model and its terms.
     """
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
     names: list[str] = []
-    for column, knots in columns.items():
-        df, made = spline_columns(df, column, knots, f"s_{column}")
+    for column, span in spans.items():
+        df, made = spline_columns(df, column, *span)
         names += made
-    return logistic(df, label, names, penalty), names
+    ready = VectorAssembler(inputCols=names, outputCol="features").transform(grouped_cells(df, label, names))
+    model = LogisticRegression(labelCol=label, weightCol="__weight", regParam=penalty, tol=1e-9, maxIter=300).fit(ready)
+    return model, names
 
 
 MAX_CLASSES = 1000

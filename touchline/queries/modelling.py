@@ -248,12 +248,12 @@ def naive_bayes_confusion(spark, folder):
 def additive_model_curve(spark, folder):
     """Fitted probability over quantity from spline terms of two predictors."""
     rows = _late(spark, folder)
-    knots = {"l_quantity": [1.0, 13.0, 25.0, 38.0, 50.0], "l_discount": [0.0, 0.05, 0.1]}
-    model, names = regression.additive_logistic(rows, "won", knots, 1e-4)
+    spans = {"l_quantity": (1.0, 50.0, 4), "l_discount": (0.0, 0.1, 2)}
+    model, names = regression.additive_logistic(rows, "won", spans, 1e-4)
     grid = rows.groupBy("l_quantity").agg(F.count(F.lit(1)).alias("n"), F.avg("won").alias("seen"))
     grid = grid.withColumn("l_discount", F.lit(0.05))
-    for column, at in knots.items():
-        grid, _ = regression.spline_columns(grid, column, at, f"s_{column}")
+    for column, span in spans.items():
+        grid, _ = regression.spline_columns(grid, column, *span)
     curve = grid.withColumn("fitted", regression.logistic_probability(model, names))
     return rounded(curve.select("l_quantity", "n", "seen", "fitted"), "seen", "fitted")
 
