@@ -122,7 +122,7 @@ def test_latest_record_order_matters(spark):
 
 def test_gaps_are_added_to_the_leader(spark):
     df = spark.createDataFrame([(1, 1, "1:05.50"), (1, 2, "+0.40"), (1, 3, None)], "race int, place int, t string")
-    made = {r["place"]: r["s"] for r in results.gaps_to_times(df, ["race"], ["place"], "t", "s").collect()}
+    made = {r["place"]: r["s"] for r in results.gaps_to_times(df, ["race"], ["place"], {"s": "t"}).collect()}
     assert made == {1: 65.5, 2: pytest.approx(65.9), 3: None}
 
 

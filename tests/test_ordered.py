@@ -61,8 +61,12 @@ def test_scan_matches_pandas(spark, sizes, descending):
     split = ordered.hot_split(df, ["k"], order)
     assert split.active == (sizes == "hot")
     made = ordered.scan(df, ["k"], order, lag={"before": "x"}, lead={"after": "x"}, running={"total": "x"},
-                        fill={"kept": "s"}, number="no", split=split)
-    assert made.columns == ["k", "id", "x", "s", "before", "after", "total", "kept", "no"]
+                        fill={"kept": "s"}, first={"head": "x"}, number="no", size="rows", split=split)
+    assert made.columns == ["k", "id", "x", "s", "before", "after", "total", "kept", "head", "no", "rows"]
+    heads = {k: g.sort_values("id", ascending=not descending).iloc[0]["x"] for k, g in data.dropna(subset=["k"]).groupby("k")}
+    counts = data.groupby("k", dropna=False)["id"].size()
+    for r in made.where("k is not null").collect():
+        assert r["head"] == plain(heads[r["k"]]) and r["rows"] == counts[r["k"]]
     got = {r["id"]: (r["before"], r["after"], r["total"], r["kept"], r["no"]) for r in made.collect()}
     assert got == expected_scan(data, descending)
 
@@ -141,11 +145,11 @@ def test_latest_and_first_per_key(spark):
     df = spark.createDataFrame(rows, "k string, d int, v string")
     assert sorted(ordered.latest_per_key(df, ["k"], ["d"]).collect(), key=str) == sorted(
         [("a", 3, "y"), (None, 2, "q"), ("b", None, "w")], key=str)
-    led = ordered.first_value_per_key(df, ["k"], ["d"], {"first": "v"})
+    led = ordered.scan(df, ["k"], ["d"], first={"first": "v"})
     assert {(r["k"], r["first"]) for r in led.collect()} == {("a", "x"), (None, "q"), ("b", "w")}
 
 
-def test_top_per_key_limits_before_the_shuffle(spark):
+def test_top_per_key_limits_before_the_shuffle(spark, sizes):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     made = ordered.top_per_key(df, ["k"], ["-id"], 2)
     assert sorted(map(tuple, made.collect())) == [(0, 996), (0, 999), (1, 994), (1, 997), (2, 995), (2, 998)]
@@ -158,7 +162,7 @@ def test_top_per_key_limits_before_the_shuffle(spark):
                 min_size=1, max_size=80, unique_by=lambda r: (r[0], r[1])))
 def test_split_windows_equal_plain_windows(spark, rows):
     df = spark.createDataFrame(rows, "k int, o int, x int")
-    use = dict(lag={"before": "x"}, lead={"after": "x"}, running={"total": "x"}, fill={"kept": "x"}, number="no")
+    use = dict(lag={"before": "x"}, lead={"after": "x"}, running={"total": "x"}, fill={"kept": "x"}, first={"head": "x"}, number="no", size="rows")
     whole = ordered.scan(df, ["k"], ["o"], split=ordered.hot_split(df, ["k"], ["o"], 10**9), **use)
     cut = ordered.scan(df, ["k"], ["o"], split=ordered.hot_split(df, ["k"], ["o"], 4), **use)
     assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))

@@ -31,10 +31,11 @@ def ratio(top, bottom, scale: float = 1.0) -> Column:
     return F.try_divide(_c(top) * F.lit(float(scale)), _c(bottom))
 
 
-def outcome(own, other, win=1.0, tie=0.5, loss=0.0) -> Column:
-    """Points of a result from the own side."""
+def outcome(own, other, win=1.0, tie=0.5, loss=0.0, unplayed=None) -> Column:
+    """Points of a result from the own side; ``unplayed`` when a score is missing."""
     own, other = _c(own), _c(other)
-    return F.when(own > other, F.lit(win)).when(own == other, F.lit(tie)).when(own < other, F.lit(loss))
+    played = F.when(own > other, F.lit(win)).when(own == other, F.lit(tie)).when(own < other, F.lit(loss))
+    return played.otherwise(F.lit(unplayed).cast("double"))
 
 
 def winner(home, away, home_score, away_score) -> Column:

@@ -147,16 +147,19 @@ def scan(
     lead: Mapping[str, str] | None = None,
     running: Mapping[str, str] | None = None,
     fill: Mapping[str, str] | None = None,
+    first: Mapping[str, str] | None = None,
     number: str | None = None,
+    size: str | None = None,
     split: Split | None = None,
 ) -> DataFrame:
     """Add order-aware columns, ``{new: source}`` each, within ``keys`` by ``order``.
 
     ``lag``/``lead`` shift by one row, ``running`` is the inclusive running sum,
-    ``fill`` the latest non-missing value so far, ``number`` counts from 1.
+    ``fill`` the latest non-missing value so far, ``first`` the value in the key's first
+    row, ``number`` counts from 1, ``size`` is the number of rows of the key.
     """
     lag, lead = dict(lag or {}), dict(lead or {})
-    running, fill = dict(running or {}), dict(fill or {})
+    running, fill, first = dict(running or {}), dict(fill or {}), dict(first or {})
     keys = list(keys)
     if split is None:
         split = hot_split(df, keys, order)
@@ -169,8 +172,11 @@ def scan(
         new |= {out: F.lead(src).over(window) for out, src in lead.items()}
         new |= {out: F.sum(src).over(so_far) for out, src in running.items()}
         new |= {out: F.last(src, ignorenulls=True).over(so_far) for out, src in fill.items()}
+        new |= {out: F.first(src).over(so_far) for out, src in first.items()}
         if number:
             new[number] = F.row_number().over(window)
+        if size:
+            new[size] = F.count(F.lit(1)).over(Window.partitionBy(*keys))
         return df.select("*", *[column.alias(out) for out, column in new.items()])
 
     tagged = df if carry_range else split.tag(df)
@@ -186,10 +192,11 @@ def scan(
         F.max_by(src, F.when(F.col(src).isNotNull(), rank)).alias(f"__fill_{out}")
         for out, src in fill.items()
     ]
+    edge += [F.min_by(src, rank).alias(f"__first_{out}") for out, src in first.items()]
     edges = tagged.where(F.col(RANGE) >= 0).groupBy(*keys, RANGE).agg(*edge)
     across = Window.partitionBy(*keys).orderBy(RANGE)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.sum("__n").over(earlier).alias("__n")]
+    carried = [F.sum("__n").over(earlier).alias("__n"), F.sum("__n").over(Window.partitionBy(*keys)).alias("__all")]
     carried += [F.lag(f"__lag_{out}").over(across).alias(f"__lag_{out}") for out in lag]
     carried += [F.lead(f"__lead_{out}").over(across).alias(f"__lead_{out}") for out in lead]
     carried += [F.sum(f"__sum_{out}").over(earlier).alias(f"__sum_{out}") for out in running]
@@ -197,13 +204,17 @@ def scan(
         F.last(f"__fill_{out}", ignorenulls=True).over(earlier).alias(f"__fill_{out}")
         for out in fill
     ]
+    carried += [
+        F.first(f"__first_{out}").over(across.rowsBetween(Window.unboundedPreceding, 0)).alias(f"__first_{out}")
+        for out in first
+    ]
     carry = edges.select(
         *[F.col(k).alias(f"__key_{k}") for k in keys], F.col(RANGE).alias("__key_range"), *carried
     )
     new = {}
     for out, src in lag.items():
-        first = F.row_number().over(local) == 1
-        new[out] = F.when(first, F.col(f"__lag_{out}")).otherwise(F.lag(src).over(local))
+        opening = F.row_number().over(local) == 1
+        new[out] = F.when(opening, F.col(f"__lag_{out}")).otherwise(F.lag(src).over(local))
     for out, src in lead.items():
         final = F.lead(F.lit(1)).over(local).isNull()
         new[out] = F.when(final, F.col(f"__lead_{out}")).otherwise(F.lead(src).over(local))
@@ -212,9 +223,14 @@ def scan(
         new[out] = F.when(before.isNull(), here).when(here.isNull(), before).otherwise(before + here)
     for out, src in fill.items():
         new[out] = F.coalesce(F.last(src, ignorenulls=True).over(so_far), F.col(f"__fill_{out}"))
+    for out, src in first.items():
+        in_hot_key = F.col("__all").isNotNull()
+        new[out] = F.when(in_hot_key, F.col(f"__first_{out}")).otherwise(F.first(src).over(so_far))
     if number:
         before = F.coalesce(F.col("__n"), F.lit(0))
         new[number] = (F.row_number().over(local) + before).cast("int")
+    if size:
+        new[size] = F.coalesce(F.col("__all"), F.count(F.lit(1)).over(Window.partitionBy(*keys, RANGE)))
     matched = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
     matched.append(F.col(RANGE) == F.col("__key_range"))
     kept = df.columns if carry_range else [c for c in tagged.columns if c != RANGE]
@@ -278,23 +294,33 @@ def ranks(
         new[cumulative] = F.col("__upto") / F.col("__size")
     joined = attach(df, ranked.select(*on, "__upto", "__tied", "__dense"), on)
     if share or cumulative:
-        joined = attach(joined, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size")), keys)
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+        joined = attach(joined, sizes, keys, measure=True)
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[c.alias(o) for o, c in new.items()])
 
 
-def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+FEW_ROWS = 10_000
+
+
+def attach(
+    df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", measure: bool = False
+) -> DataFrame:
     """Join one row per key back to the rows, missing keys matching each other.
 
-    Without keys the table is a single row, read as scalar subqueries, not a cross join.
+    Without keys the table is a single row, read as a scalar subquery, not a cross join.
+    ``measure`` counts the table's keys first (only key columns are read for that) and
+    broadcasts up to ``FEW_ROWS`` of them, which saves shuffling all rows; a larger
+    table is joined by shuffle, where Spark splits skewed keys.
     """
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys]
     if not keys:
-        row = table.select(F.struct(*extra).alias("row")).scalar()
-        joined = df.withColumn("__row", row)
+        joined = df.withColumn("__row", table.select(F.struct(*extra).alias("row")).scalar())
         return joined.select(*[F.col(f"`{c}`") for c in df.columns],
                              *[F.col("__row").getField(c).alias(c) for c in extra])
     renamed = table.select(*[F.col(k).alias(f"__at_{k}") for k in keys], *extra)
+    if measure and table.select(*keys).limit(FEW_ROWS + 1).count() <= FEW_ROWS:
+        renamed = F.broadcast(renamed)
     matched = [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in keys]
     return df.join(renamed, matched, how).drop(*[f"__at_{k}" for k in keys])
 
@@ -311,15 +337,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return picked.select(*keys, *[F.col("__row").getField(c).alias(c) for c in rest]).select(*df.columns)
 
 
-def first_value_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Mapping[str, str]
-) -> DataFrame:
-    """Attach the first row's values of each key to all its rows."""
-    rank = _sort_key(df, order)
-    heads = df.groupBy(*keys).agg(*[F.min_by(src, rank).alias(out) for out, src in columns.items()])
-    return attach(df, heads, keys)
-
-
 def blocks(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], count: int, drop_last: int = 0
 ) -> DataFrame:
@@ -327,8 +344,8 @@ def blocks(
 
     ``block`` and ``position`` are added; the last ``drop_last`` rows of each block go.
     """
-    sizes = df.groupBy(*keys).agg(F.floor(F.count(F.lit(1)) / count).alias("__length"))
-    numbered = attach(scan(df, keys, order, number="__number"), sizes, keys)
+    numbered = scan(df, keys, order, number="__number", size="__size")
+    numbered = numbered.withColumn("__length", F.floor(F.col("__size") / count))
     zero_based = F.col("__number") - 1
     length = F.greatest(F.col("__length"), F.lit(1))
     placed = (
@@ -337,18 +354,32 @@ def blocks(
         .where(F.col("block") <= count)
         .where(F.col("position") <= F.col("__length") - drop_last)
     )
-    return placed.drop("__number", "__length")
+    return placed.drop("__number", "__size", "__length")
+
+
+TOP_PARTS = 64
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows per key. Spark limits each task's rows before the shuffle."""
-    window = Window.partitionBy(*keys).orderBy(*order_columns(order))
-    return df.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= n).drop("__n")
+    """First ``n`` rows per key. Spark limits each task's rows before the shuffle.
+
+    With a large key, each of ``TOP_PARTS`` hashed parts of a key is cut to its first
+    ``n`` rows beforehand, so the last step sees at most ``n * TOP_PARTS`` rows of a key.
+    """
+
+    def first(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*order_columns(order))
+        return rows.withColumn("__n", F.row_number().over(window)).where(F.col("__n") <= n).drop("__n")
+
+    floor = hot_group_rows(df.sparkSession)
+    if not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__c")).where(F.col("__c") > floor).isEmpty():
+        part = F.pmod(F.xxhash64(*[F.col(name.lstrip("-")) for name in order]), F.lit(TOP_PARTS))
+        df = first(df.withColumn("__part", part), [*keys, "__part"]).drop("__part")
+    return first(df, keys)
 
 
 def running_record(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], win: str
 ) -> DataFrame:
     """Game number, wins so far and games in total, per row."""
-    totals = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("games"))
-    return attach(scan(df, keys, order, running={"wins_so_far": win}, number="game_no"), totals, keys)
+    return scan(df, keys, order, running={"wins_so_far": win}, number="game_no", size="games")

@@ -28,7 +28,7 @@ def quantiles(
     counts = present.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
     summed = scan(counts, keys, ["__v"], running={"__upto": "__c"}, split=split)
     sizes = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    placed = attach(summed, sizes, keys)
+    placed = attach(summed, sizes, keys, measure=True)
     before = F.col("__upto") - F.col("__c")
     picks = []
     for i, p in enumerate(probs.values()):

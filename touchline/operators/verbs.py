@@ -73,7 +73,7 @@ def encode_levels(df: DataFrame, column: str, out: str) -> DataFrame:
     from touchline.operators.ordered import attach, scan
 
     levels = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return attach(df, scan(levels, [], [column], number=out), [column])
+    return attach(df, scan(levels, [], [column], number=out), [column], measure=True)
 
 
 def not_in(column: str, values: Sequence) -> Column:

@@ -113,8 +113,8 @@ def fisher_monte_carlo(df: DataFrame, row: str, column: str, tables: int, seed:
     """
     cells = cell_counts(df, row, column)
     rows, columns, _ = _margins(cells, row, column)
-    row_n = [int(r["row_n"]) for r in rows.orderBy(row).collect()]
-    column_n = [int(r["column_n"]) for r in columns.orderBy(column).collect()]
+    row_n = _level_sizes(rows, row, "row_n")
+    column_n = _level_sizes(columns, column, "column_n")
     # log-probability of a table given its margins, up to a constant: - sum log n!
     seen = cells.agg(F.sum(area("log_factorial", F.col("n").cast("double"))).alias("s"))
 
@@ -140,6 +140,16 @@ def fisher_monte_carlo(df: DataFrame, row: str, column: str, tables: int, seed:
     return marked.agg(((hits + 1) / (F.count(F.lit(1)) + 1)).alias("p_value"), F.count(F.lit(1)).alias("tables"))
 
 
+MAX_LEVELS = 10_000
+
+
+def _level_sizes(margin: DataFrame, level: str, size: str) -> list[int]:
+    found = margin.orderBy(level).limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{level} has more than {MAX_LEVELS} levels")
+    return [int(r[size]) for r in found]
+
+
 def proportions(df: DataFrame, keys: Sequence[str], success: str, level: float, null: float) -> DataFrame:
     """Proportion of a boolean per group with its normal interval and test against ``null``."""
     counted = df.where(F.col(success).isNotNull()).groupBy(*keys).agg(

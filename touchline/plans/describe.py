@@ -20,7 +20,7 @@ def histogram(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) ->
     keys = list(keys)
     present = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     limits = present.groupBy(*keys).agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"))
-    placed = attach(present, limits, keys)
+    placed = attach(present, limits, keys, measure=True)
     spread = F.col("__high") - F.col("__low")
     step = F.coalesce(F.floor(F.try_divide(F.col("__v") - F.col("__low"), spread) * bins), F.lit(0))
     counts = placed.groupBy(*keys, (F.least(step, F.lit(bins - 1)) + 1).cast("int").alias("bin"))
@@ -60,14 +60,14 @@ def fences(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.5)
 def outliers(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.5) -> DataFrame:
     """Rows outside the fences of their group (factor 3 for extreme ones)."""
     limits = fences(df, keys, value, factor).drop("q1", "median", "q3")
-    marked = attach(df, limits, keys)
+    marked = attach(df, limits, keys, measure=True)
     return marked.where((F.col(value) < F.col("low_fence")) | (F.col(value) > F.col("high_fence")))
 
 
 def boxplot(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends and number of outliers per group."""
     limits = fences(df, keys, value, factor)
-    marked = attach(df.select(*keys, value).where(F.col(value).isNotNull()), limits, keys)
+    marked = attach(df.select(*keys, value).where(F.col(value).isNotNull()), limits, keys, measure=True)
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
     ends = marked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -81,7 +81,7 @@ def boxplot(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.5)
 def z_scores(df: DataFrame, keys: Sequence[str], value: str, out: str = "z") -> DataFrame:
     """Standardise within groups: aggregate first, then join the moments back."""
     moments = df.groupBy(*keys).agg(F.avg(value).alias("__mean"), F.stddev_samp(value).alias("__sd"))
-    scored = attach(df, moments, keys)
+    scored = attach(df, moments, keys, measure=True)
     z = F.try_divide(F.col(value) - F.col("__mean"), F.col("__sd"))
     return scored.withColumn(out, z).drop("__mean", "__sd")
 
@@ -268,7 +268,7 @@ def normal_quantiles(df: DataFrame, value: str, points: int) -> DataFrame:
 def against_average(df: DataFrame, value: str, keys: Sequence[str] = (), out: str = "above_average") -> DataFrame:
     """Flag rows above the mean of all rows, or of their group."""
     means = df.groupBy(*keys).agg(F.avg(value).alias("__mean"))
-    return attach(df, means, keys).withColumn(out, F.col(value) > F.col("__mean")).drop("__mean")
+    return attach(df, means, keys, measure=True).withColumn(out, F.col(value) > F.col("__mean")).drop("__mean")
 
 
 def group_means(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

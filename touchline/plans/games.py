@@ -12,11 +12,15 @@ from touchline.operators.reshape import two_sided
 
 
 def game_outcomes(games: DataFrame, home: str, away: str, home_score: str, away_score: str) -> DataFrame:
-    """Add score difference, winner and home outcome (1 win, 0.5 tie, 0 loss)."""
+    """Add score difference, winner and home outcome (1 win, 0.5 tie, else 0).
+
+    A game without a score has outcome 0 and no difference; filter such games first
+    where they should not count.
+    """
     return (
         games.withColumn("score_diff", F.col(home_score) - F.col(away_score))
         .withColumn("winner", winner(home, away, home_score, away_score))
-        .withColumn("outcome", outcome(home_score, away_score))
+        .withColumn("outcome", outcome(home_score, away_score, unplayed=0.0))
     )
 
 
@@ -89,12 +93,12 @@ def latest_names(rows: DataFrame, team_id: str, name: str, season: str) -> DataF
 
 def with_latest_names(rows: DataFrame, team_id: str, name: str, season: str) -> DataFrame:
     current = latest_names(rows, team_id, name, season).select(team_id, "current_name")
-    return attach(rows, current, [team_id])
+    return attach(rows, current, [team_id], measure=True)
 
 
 def home_advantage(outcomes: DataFrame, season: str) -> DataFrame:
     """Mean home margin and outcome per season."""
-    return outcomes.groupBy(season).agg(
+    return outcomes.where(F.col("score_diff").isNotNull()).groupBy(season).agg(
         F.count("score_diff").alias("games"),
         F.avg("score_diff").alias("home_margin"),
         F.avg("outcome").alias("home_outcome"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.tails import area
@@ -81,10 +81,11 @@ def group_squares(df: DataFrame, factor: str, response: str, keys: Sequence[str]
 def anova(df: DataFrame, factor: str, response: str, keys: Sequence[str] = ()) -> DataFrame:
     """One-way analysis of variance with its sums of squares."""
     levels = group_squares(df, factor, response, keys)
-    n, mean = F.col("n"), F.col("mean")
-    table = levels.groupBy(*keys).agg(
+    overall = levels.groupBy(*keys).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__mean"))
+    gap = F.col("mean") - F.col("__mean")
+    table = attach(levels, overall, keys).groupBy(*keys).agg(
         F.sum("n").alias("n"), F.count(F.lit(1)).alias("levels"),
-        (F.sum(n) * _spread(mean, n)).alias("between_ss"), F.sum("inner_ss").alias("within_ss"),
+        F.sum(F.col("n") * gap * gap).alias("between_ss"), F.sum("inner_ss").alias("within_ss"),
     )
     table = table.withColumn("df_between", F.col("levels") - 1).withColumn("df_within", F.col("n") - F.col("levels"))
     between = F.try_divide(F.col("between_ss"), F.col("df_between"))
@@ -94,12 +95,6 @@ def anova(df: DataFrame, factor: str, response: str, keys: Sequence[str] = ()) -
     return table.withColumn("p_value", p)
 
 
-def _spread(value: Column, weight: Column) -> Column:
-    """Weighted population variance of a few group means."""
-    mean = F.sum(value * weight) / F.sum(weight)
-    return F.sum(value * value * weight) / F.sum(weight) - mean * mean
-
-
 def pairwise(df: DataFrame, factor: str, response: str, level: float = 0.95) -> DataFrame:
     """All pairs of level means: difference, LSD interval and p, Tukey's HSD p.
 

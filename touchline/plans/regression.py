@@ -78,10 +78,10 @@ def moments(df: DataFrame, names: Sequence[str], weight: str | None = None) -> M
     return Moments(tuple(names), float(first[1]), int(first[0]), np.array(mean), cross)
 
 
-def moments_by(df: DataFrame, names: Sequence[str], key: str) -> dict:
-    """Moments per value of a small key (folds), still one pass."""
+def moments_by(df: DataFrame, names: Sequence[str], key: str, most: int) -> dict:
+    """Moments per value of a key with at most ``most`` values (folds), still one pass."""
     used = df.select(key, *[F.col(v).cast("double").alias(v) for v in names]).dropna()
-    rows = used.groupBy(key).agg(*_moment_aggs(list(names))).collect()
+    rows = used.groupBy(key).agg(*_moment_aggs(list(names))).limit(most + 1).collect()
     return {r[key]: _read_moments(r, names) for r in rows}
 
 
@@ -321,7 +321,7 @@ def ridge_path(
     df: DataFrame, response: str, predictors: Sequence[str], penalties: Sequence[float], fold: Column, folds: int
 ) -> DataFrame:
     """Cross-validated error of each penalty. Moments per fold come from one pass."""
-    parts = moments_by(df.withColumn("__fold", fold), [*predictors, response], "__fold")
+    parts = moments_by(df.withColumn("__fold", fold), [*predictors, response], "__fold", folds)
     if len(parts) != folds:
         raise ValueError(f"{len(parts)} folds hold rows, {folds} asked for")
     rows = []
@@ -431,10 +431,11 @@ def additive_logistic(df: DataFrame, label: str, spans: dict[str, tuple[float, f
     from pyspark.ml.feature import VectorAssembler
 
     names: list[str] = []
+    cells = grouped_cells(df, label, list(spans))
     for column, span in spans.items():
-        df, made = spline_columns(df, column, *span)
+        cells, made = spline_columns(cells, column, *span)
         names += made
-    ready = VectorAssembler(inputCols=names, outputCol="features").transform(grouped_cells(df, label, names))
+    ready = VectorAssembler(inputCols=names, outputCol="features").transform(cells)
     model = LogisticRegression(labelCol=label, weightCol="__weight", regParam=penalty, tol=1e-9, maxIter=300).fit(ready)
     return model, names
 

@@ -12,7 +12,7 @@ from touchline.functions.numeric import (
 )
 from touchline.functions.text import blank_to, clock_minutes, clock_seconds, first_number, missing_to, piece
 from touchline.functions.text import split_at
-from touchline.operators.ordered import blocks, first_value_per_key, latest_per_key, ranks
+from touchline.operators.ordered import blocks, latest_per_key, ranks, scan
 from touchline.operators.reshape import longer, two_sided
 from touchline.operators.sampling import sample_per_group
 
@@ -86,16 +86,17 @@ def split_times(
     return wide.where(F.col("__started") > 0).drop("__started")
 
 
-def gaps_to_times(df: DataFrame, race: Sequence[str], order: Sequence[str], clock: str, out: str) -> DataFrame:
-    """First row's clock in seconds; the others are the leader plus their gap."""
-    led = first_value_per_key(df, race, order, {"__lead": clock})
-    leads = first_value_per_key(led, race, order, {f"__o{i}": c for i, c in enumerate(order)})
-    same = F.lit(True)
-    for i, c in enumerate(order):
-        same = same & F.col(f"__o{i}").eqNullSafe(F.col(c))
-    lead = clock_seconds("__lead")
-    timed = leads.withColumn(out, F.when(same, lead).otherwise(lead + first_number(clock)))
-    return timed.drop("__lead", *[f"__o{i}" for i in range(len(order))])
+def gaps_to_times(df: DataFrame, race: Sequence[str], order: Sequence[str], clocks: Mapping[str, str]) -> DataFrame:
+    """First row's clock in seconds; the others are the leader plus their gap.
+
+    ``clocks`` are ``{new: source}``; all are done in one ordered pass.
+    """
+    leads = {f"__lead_{out}": clock for out, clock in clocks.items()}
+    led = scan(df, race, order, first=leads, number="__place")
+    for out, clock in clocks.items():
+        lead = clock_seconds(f"__lead_{out}")
+        led = led.withColumn(out, F.when(F.col("__place") == 1, lead).otherwise(lead + first_number(clock)))
+    return led.drop("__place", *leads)
 
 
 def pace_table(df: DataFrame, clock: str, distance: str, place: str) -> DataFrame:

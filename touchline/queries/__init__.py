@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("sources", "columns", "joining", "grouping", "ordering", "texts", "flows", "describing", "testing",
+FAMILIES = ("sources", "columns", "joining", "grouping", "ordering", "texts", "flows", "leagues", "describing", "testing",
             "modelling", "rating")
 
 

@@ -6,7 +6,6 @@ import json
 from pyspark.sql import functions as F
 
 from touchline.functions.text import piece
-from touchline.operators.ordered import attach
 from touchline.plans import contingency, games as season, judging, results, stints, teams
 from touchline.queries.common import GAMES_SQL, SIDES_SQL, games, longs, query, rounded
 from touchline.sources.tables import table
@@ -354,8 +353,8 @@ def split_times(spark, folder):
     from touchline.operators.ordered import scan
 
     events = table(spark, folder, "events").select("user_id", "event_id")
-    sizes = events.groupBy("user_id").agg(F.floor(F.count(F.lit(1)) / 4).alias("len"))
-    numbered = attach(scan(events, ["user_id"], ["event_id"], number="no"), sizes, ["user_id"])
+    numbered = scan(events, ["user_id"], ["event_id"], number="no", size="rows")
+    numbered = numbered.withColumn("len", F.floor(F.col("rows") / 4))
     key = F.col("event_id")
     rows = numbered.select(
         "user_id", "event_id", ((F.col("no") - 1) % F.col("len")).alias("bib"), (key % 100).cast("string").alias("rank"),
@@ -376,7 +375,7 @@ def gaps_to_leader(spark, folder):
     lead = F.format_string("1:%02d", F.col("race") % 40)
     gap = F.concat(F.lit("+"), F.format_string("%.2f", (F.col("place") % 500) / 100.0))
     shown = numbered.select("race", "place", F.when(F.col("no") == 1, lead).otherwise(gap).alias("shown"))
-    timed = results.gaps_to_times(shown, ["race"], ["place"], "shown", "seconds")
+    timed = results.gaps_to_times(shown, ["race"], ["place"], {"seconds": "shown"})
     return rounded(timed.select("race", "place", "seconds"), "seconds")
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import blocks, first_value_per_key, order_columns, ranks, scan, top_per_key
+from touchline.operators.ordered import blocks, order_columns, ranks, scan, top_per_key
 from touchline.plans.games import qualification
 from touchline.queries.common import longs, query, rounded
 from touchline.sources.tables import table
@@ -50,7 +50,7 @@ def newest_order(spark, folder):
 @query("""SELECT o_custkey, o_orderkey, round(o_totalprice - first_value(o_totalprice) OVER (PARTITION BY o_custkey
   ORDER BY o_orderkey), 4) AS behind FROM orders""")
 def behind_leader(spark, folder):
-    led = first_value_per_key(table(spark, folder, "orders"), ["o_custkey"], ["o_orderkey"], {"lead": "o_totalprice"})
+    led = scan(table(spark, folder, "orders"), ["o_custkey"], ["o_orderkey"], first={"lead": "o_totalprice"})
     return led.select("o_custkey", "o_orderkey", F.round(F.col("o_totalprice") - F.col("lead"), 4).alias("behind"))
 
 

@@ -174,7 +174,7 @@ def table_rows(pages: DataFrame, page_id: str, html: str) -> DataFrame:
 
 
 def table_columns(rows: DataFrame, table_no: int, width: int) -> DataFrame:
-    """One table per page as columns ``X1 .. Xwidth``; blank cells are missing."""
+    """One table per page as columns ``X1 .. Xwidth``; cells beyond a row's end are missing."""
     cells = [F.get("cells", F.lit(i)).alias(f"X{i + 1}") for i in range(width)]
     return rows.where(F.col("table_no") == table_no).select("page_id", "row_no", *cells)
 
