@@ -59,16 +59,20 @@ def cells_to_rows(
     return placed.groupBy(*keys, "row_no").agg(*columns)
 
 
-def promote_header(df: DataFrame, row: str, keep: Sequence[str] = ()) -> DataFrame:
+def promote_header(df: DataFrame, row: str, keep: Sequence[str] = (), first: int | None = None) -> DataFrame:
     """The first row's values become the column names; repeats of it are dropped.
 
-    ``keep`` are columns outside the table proper (page ids).
+    ``keep`` are columns outside the table proper (page ids). With the header's row
+    number given as ``first`` only as many partitions are read as it takes to see one.
     """
     data = [c for c in df.columns if c != row and c not in keep]
     cells = F.array(*[F.col(f"`{c}`").cast("string") for c in data])
-    names = df.agg(F.min_by(cells, F.col(row))).first()[0]
-    first = F.col(f"`{data[0]}`")
-    kept = df.where(first.isNull() | (first.cast("string") != F.lit(names[0])))
+    if first is None:
+        names = df.agg(F.min_by(cells, F.col(row))).first()[0]
+    else:
+        names = df.where(F.col(row) == first).select(cells).first()[0]
+    lead = F.col(f"`{data[0]}`")
+    kept = df.where(lead.isNull() | (lead.cast("string") != F.lit(names[0])))
     return kept.select(*keep, row, *[F.col(f"`{c}`").alias(n) for c, n in zip(data, names)])
 
 

@@ -124,14 +124,14 @@ def disc_golf_table(throws: DataFrame, season: DataFrame, row: str = "row_no") -
 def alpine_results(pages: DataFrame, page_id: str, html: str, selector: str = ".sortable") -> DataFrame:
     """Race pages to results: cells in runs of nine, leader times plus gaps, ranks in brackets."""
     flat = selected_texts(pages, page_id, html, [selector])
-    rows = promote_header(cells_to_rows(flat, ["page_id"], "pos", "text", 9), "row_no", keep=["page_id"])
+    rows = promote_header(cells_to_rows(flat, ["page_id"], "pos", "text", 9), "row_no", keep=["page_id"], first=0)
     parts = {}
     for run in ("Run 1", "Run 2"):
         out = run.replace(" ", "")
         parts[f"{out}_Rank"] = first_number(piece(f"`{run}`", r"\(", 1)).cast("int")
         parts[f"__{out}"] = F.trim(piece(f"`{run}`", r"\(", 0))
     clocks = {"Run1_Time": "__Run1", "Run2_Time": "__Run2", "Total_Time": "Total"}
-    timed = gaps_to_times(rows.withColumns(parts), ["page_id"], ["row_no"], clocks)
+    timed = gaps_to_times(rows.withColumns(parts), ["page_id"], ["row_no"], clocks, small_races=True)
     return timed.select(
         "page_id", "Name", "Nat", to_number("Bib", "int").alias("Run1_Order"), "Run1_Time", "Run1_Rank",
         to_number("`N°`", "int").alias("Run2_Order"), "Run2_Time", "Run2_Rank", "Total_Time",

@@ -12,7 +12,7 @@ from touchline.functions.numeric import (
 )
 from touchline.functions.text import blank_to, clock_minutes, clock_seconds, first_number, missing_to, piece
 from touchline.functions.text import split_at
-from touchline.operators.ordered import blocks, latest_per_key, ranks, scan
+from touchline.operators.ordered import blocks, latest_per_key, ranks, scan, whole_keys
 from touchline.operators.reshape import longer, two_sided
 from touchline.operators.sampling import sample_per_group
 
@@ -86,13 +86,17 @@ def split_times(
     return wide.where(F.col("__started") > 0).drop("__started")
 
 
-def gaps_to_times(df: DataFrame, race: Sequence[str], order: Sequence[str], clocks: Mapping[str, str]) -> DataFrame:
+def gaps_to_times(
+    df: DataFrame, race: Sequence[str], order: Sequence[str], clocks: Mapping[str, str], small_races: bool = False
+) -> DataFrame:
     """First row's clock in seconds; the others are the leader plus their gap.
 
-    ``clocks`` are ``{new: source}``; all are done in one ordered pass.
+    ``clocks`` are ``{new: source}``; all are done in one ordered pass. ``small_races``
+    says that a race is bounded by its nature (one page), so sizes need no look.
     """
     leads = {f"__lead_{out}": clock for out, clock in clocks.items()}
-    led = scan(df, race, order, first=leads, number="__place")
+    split = whole_keys(df, race, order) if small_races else None
+    led = scan(df, race, order, first=leads, number="__place", split=split)
     for out, clock in clocks.items():
         lead = clock_seconds(f"__lead_{out}")
         led = led.withColumn(out, F.when(F.col("__place") == 1, lead).otherwise(lead + first_number(clock)))

@@ -158,7 +158,7 @@ def html_tables(spark, folder):
     """Second table of each page: header row promoted, repeated header rows dropped."""
     rows = markup.table_rows(spread(_result_pages(spark, folder)), "page_id", "html")
     cells = markup.table_columns(rows, 2, 3)
-    return promote_header(cells, "row_no", keep=["page_id"])
+    return promote_header(cells, "row_no", keep=["page_id"], first=1)
 
 
 @query("""SELECT o_orderkey AS page_id, 4 AS row_no, 'price & status' AS "X1", 'price & status' AS "X2",
