@@ -213,6 +213,7 @@ def test_two_way_anova(sample):
     g, h = dummies(frame["g"]), dummies(frame["h"])
     cross = np.column_stack([g[:, [i]] * h[:, [j]] for i in range(2) for j in range(3)])
     made = {r["term"]: r for r in inference.two_way_anova(df, "g", "h", "y").collect()}
+    assert made["g"]["ss_in_order"] == pytest.approx(sse() - sse(g)) and made["h"]["ss_in_order"] == pytest.approx(made["h"]["ss"])
     assert made["g"]["ss"] == pytest.approx(sse(h) - sse(g, h)) and made["g"]["df"] == 2
     assert made["h"]["ss"] == pytest.approx(sse(g) - sse(g, h)) and made["h"]["df"] == 3
     assert made["g:h"]["ss"] == pytest.approx(sse(g, h) - sse(g, h, cross)) and made["g:h"]["df"] == 6

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from touchline.session import hot_group_rows
 
-HOT_SHARES = 1024
+HOT_SHARES = 32_768
 RANGE = "__range"
 
 

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.session import cut_lineage
+
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -72,7 +74,7 @@ def encode_levels(df: DataFrame, column: str, out: str) -> DataFrame:
     """
     from touchline.operators.ordered import attach, scan
 
-    levels = df.select(column).where(F.col(column).isNotNull()).distinct()
+    levels = cut_lineage(df.select(column).where(F.col(column).isNotNull()).distinct())
     return attach(df, scan(levels, [], [column], number=out), [column], measure=True)
 
 

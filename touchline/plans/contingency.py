@@ -12,6 +12,7 @@ from touchline.functions.numeric import ratio
 from touchline.functions.tails import area
 from touchline.operators.joins import natural_left
 from touchline.operators.ordered import attach, scan
+from touchline.session import cut_lineage
 
 SPREAD = 16
 
@@ -206,6 +207,7 @@ def lump_counts(value, limit: int):
 
 def cumulative_share(cells: DataFrame, label: str, weight: str) -> DataFrame:
     """Levels from heaviest to lightest with their share and running share."""
+    cells = cut_lineage(cells)
     whole = cells.agg(F.sum(weight).alias("__all"))
     run = attach(scan(cells, [], [f"-{weight}", label], running={"__upto": weight}), whole, [])
     return run.select(label, weight, ratio(weight, "__all").alias("share"),

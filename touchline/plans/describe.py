@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.tails import area
 from touchline.operators.joins import natural_left
-from touchline.operators.ordered import attach
+from touchline.operators.ordered import attach, scan, whole_keys
 from touchline.operators.quantiles import quantiles, quantiles_long
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -123,10 +123,9 @@ def shape(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFra
 
 def modes(df: DataFrame, value: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
     """Local peaks of the histogram: bins higher than both neighbours."""
-    from touchline.operators.ordered import scan
-
     counts = histogram(df, value, bins, keys)
-    near = scan(counts, keys, ["bin"], lag={"__before": "n"}, lead={"__after": "n"})
+    split = whole_keys(counts, keys, ["bin"])  # a key has as many rows as bins
+    near = scan(counts, keys, ["bin"], lag={"__before": "n"}, lead={"__after": "n"}, split=split)
     higher = (F.col("n") > F.coalesce("__before", F.lit(0))) & (F.col("n") > F.coalesce("__after", F.lit(0)))
     return near.where(higher).drop("__before", "__after")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from touchline.functions.numeric import outcome, winner
 from touchline.operators.ordered import attach, ranks, running_record
 from touchline.operators.reshape import two_sided
+from touchline.session import cut_lineage
 
 
 def game_outcomes(games: DataFrame, home: str, away: str, home_score: str, away_score: str) -> DataFrame:
@@ -58,7 +59,7 @@ def standings(
         F.coalesce(F.sum(F.when(played, other)), F.lit(0)).cast("long").alias("points_against"),
     )
     table = table.withColumn("differential", F.col("points_for") - F.col("points_against"))
-    return ranks(table, [season], ["-wins", "-differential"], low="place")
+    return ranks(cut_lineage(table), [season], ["-wins", "-differential"], low="place")
 
 
 def qualification(
@@ -76,7 +77,7 @@ def qualification(
     table = record.groupBy(*keys).agg(
         F.max("games").alias("games"), halfway.alias("mid_pct"), final.alias("final_pct")
     )
-    ranked = ranks(table, [season], "-mid_pct", low="mid_place")
+    ranked = ranks(cut_lineage(table), [season], "-mid_pct", low="mid_place")
     ranked = ranks(ranked, [season], "-final_pct", low="final_place")
     return ranked.withColumn("mid_in", F.col("mid_place") <= places).withColumn(
         "final_in", F.col("final_place") <= places

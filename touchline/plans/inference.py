@@ -12,6 +12,7 @@ from touchline.operators.ordered import attach
 from touchline.operators.quantiles import quantiles
 from touchline.operators.sampling import bootstrap_means
 from touchline.plans.contingency import every_cell
+from touchline.session import cut_lineage
 
 
 def _moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -124,7 +125,8 @@ MAX_CELLS = 250_000
 
 
 def two_way_anova(df: DataFrame, first: str, second: str, response: str) -> DataFrame:
-    """Unbalanced two-way ANOVA: type II main effects and interaction.
+    """Unbalanced two-way ANOVA: each main effect beside the other (``ss``, type II), and
+    in the given order (``ss_in_order``, type I), and the interaction.
 
     The table of cell moments (levels times levels) is the only thing that is solved
     on the driver; a factor with too many levels for that is refused, not cut.
@@ -151,12 +153,13 @@ def two_way_anova(df: DataFrame, first: str, second: str, response: str) -> Data
         beta, _, rank, _ = np.linalg.lstsq(x, y * np.sqrt(n), rcond=None)
         return float(((y * np.sqrt(n) - x @ beta) ** 2).sum()), int(rank)
 
-    (only_one, r1), (only_two, r2), (both, r12) = misfit(one), misfit(two), misfit(one, two)
+    (none, _), (only_one, r1), (only_two, r2), (both, r12) = misfit(), misfit(one), misfit(two), misfit(one, two)
     df_within = int(n.sum()) - len(found)
-    rows = [(first, only_two - both, r12 - r2), (second, only_one - both, r12 - r1),
-            (f"{first}:{second}", both, len(found) - r12), ("residual", within, df_within)]
+    rows = [(first, none - only_one, only_two - both, r12 - r2), (second, only_one - both, only_one - both, r12 - r1),
+            (f"{first}:{second}", both, both, len(found) - r12), ("residual", within, within, df_within)]
     table = df.sparkSession.createDataFrame(
-        [(t, float(ss), int(d), within / df_within) for t, ss, d in rows], "term string, ss double, df long, __mse double"
+        [(t, float(in_order), float(ss), int(d), within / df_within) for t, in_order, ss, d in rows],
+        "term string, ss_in_order double, ss double, df long, __mse double",
     )
     f = F.when(F.col("term") != "residual", F.try_divide(F.col("ss"), F.col("df") * F.col("__mse")))
     table = table.withColumn("f", f)
@@ -176,7 +179,7 @@ def bootstrap_interval(
     df: DataFrame, keys: Sequence[str], value: str, ids: Sequence[str], copies: int, seed: int, level: float = 0.95
 ) -> DataFrame:
     """Percentile interval of the mean over bootstrap copies."""
-    means = bootstrap_means(df, keys, value, ids, copies, seed)
+    means = cut_lineage(bootstrap_means(df, keys, value, ids, copies, seed))  # a few rows per group
     ends = {"low": (1 - level) / 2, "high": (1 + level) / 2}
     spread = means.groupBy(*keys).agg(F.avg("mean").alias("center"), F.stddev_samp("mean").alias("se"))
     return attach(spread, quantiles(means, keys, "mean", ends), keys)

@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.numeric import if_else
@@ -18,6 +18,7 @@ from touchline.operators.joins import natural_full, stack
 from touchline.operators.reshape import cells_to_rows, drop_leading, promote_header
 from touchline.operators.verbs import drop_null_columns, filled
 from touchline.plans.results import gaps_to_times
+from touchline.session import cut_lineage
 from touchline.sources.markup import selected_texts
 
 # Spellings of school names, and the schools of the Ivy League.
@@ -25,14 +26,20 @@ SCHOOL_SPELLINGS = {"Pennsylvania": "UPenn", "Columbia/Barnard": "Barnard"}
 IVY_SCHOOLS = ("Barnard", "Brown", "Columbia", "Cornell", "Harvard", "Princeton", "UPenn", "Yale")
 
 
-def fencing_table(cells: DataFrame, gender: str, weapon: str) -> DataFrame:
-    """One event's result table (``X1 .. X9``) with header rows dropped and types set."""
+def fencing_table(cells: DataFrame, gender: str | Column, weapon: str | Column) -> DataFrame:
+    """Result tables (``X1 .. X9``) with header rows dropped and types set.
+
+    ``gender`` and ``weapon`` are constants of one event, or columns over the cells'
+    page when all events are read in one go.
+    """
+    tags = {name: F.lit(tag) if isinstance(tag, str) else tag for name, tag in (("Gender", gender), ("Weapon", weapon))}
     names = ["Place", "Tied", "Name", "School", "V/B", "Pct", "TS", "TR", "Ind"]
-    table = cells.select(*[F.col(f"X{i}").alias(n) for i, n in enumerate(names, 1)]).where(F.col("Place") != "Place")
+    table = cells.select(*[F.col(f"X{i}").alias(n) for i, n in enumerate(names, 1)],
+                         *[tag.alias(name) for name, tag in tags.items()]).where(F.col("Place") != "Place")
     table = split_into(table, "V/B", ["Victories", "Bouts"], "/")
     table = table.withColumn("Tied", if_else(F.col("Tied") == "T", F.lit(True), F.lit(False)))
     table = table.withColumns({c: to_number(c, "int") for c in ("Place", "Victories", "Bouts", "TS", "TR", "Ind")})
-    return table.withColumn("Pct", to_number("Pct")).withColumns({"Gender": F.lit(gender), "Weapon": F.lit(weapon)})
+    return table.withColumn("Pct", to_number("Pct"))
 
 
 def fencing_season(tables: Sequence[DataFrame]) -> DataFrame:
@@ -83,7 +90,7 @@ def swim_table(raw: DataFrame, distance: float = 100.0) -> DataFrame:
 
 def skater_table(sheets: Sequence[DataFrame], row: str = "row_no") -> DataFrame:
     """Sheets with a header in the first row: stacked, header promoted, holed columns dropped."""
-    whole = reduce(natural_full, sheets)
+    whole = cut_lineage(reduce(natural_full, sheets))  # looked at twice before the result
     headed = drop_null_columns(promote_header(whole, row)).drop(row)
     per_game = {"+/-": "Plus_Minus", "G/GP": "G_Per_GP", "A/GP": "A_Per_GP", "P/GP": "P_Per_GP"}
     named = headed.withColumnsRenamed(per_game)

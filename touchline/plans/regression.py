@@ -239,11 +239,17 @@ def transformations(df: DataFrame, response: str, predictor: str) -> DataFrame:
     """R squared of each transformed response on each transformed predictor, in one pass."""
     positive = df.where((F.col(response) > 0) & (F.col(predictor) > 0))
     y, x = F.col(response).cast("double"), F.col(predictor).cast("double")
+    made = positive.select(*[f(y).alias(f"y_{name}") for name, f in LADDER.items()],
+                           *[f(x).alias(f"x_{name}") for name, f in LADDER.items()])
     names = list(itertools.product(LADDER, LADDER))
-    aggs = [F.regr_r2(LADDER[a](y), LADDER[b](x)).alias(f"r{i}") for i, (a, b) in enumerate(names)]
-    wide = positive.agg(F.count(F.lit(1)).alias("n"), *aggs)
-    rows = [F.struct(F.lit(a).alias("response_as"), F.lit(b).alias("predictor_as"), F.col(f"r{i}").alias("r2"))
-            for i, (a, b) in enumerate(names)]
+    aggs = [F.var_pop(c).alias(c) for c in made.columns]
+    aggs += [F.covar_pop(f"y_{a}", f"x_{b}").alias(f"c{i}") for i, (a, b) in enumerate(names)]
+    wide = made.agg(F.count(F.lit(1)).alias("n"), *aggs)
+    rows = []
+    for i, (a, b) in enumerate(names):
+        shared = F.col(f"c{i}")
+        r2 = F.try_divide(shared * shared, F.col(f"y_{a}") * F.col(f"x_{b}"))
+        rows.append(F.struct(F.lit(a).alias("response_as"), F.lit(b).alias("predictor_as"), r2.alias("r2")))
     return wide.select("n", F.explode(F.array(*rows)).alias("f")).select("f.*", "n")
 
 

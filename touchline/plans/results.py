@@ -15,6 +15,7 @@ from touchline.functions.text import split_at
 from touchline.operators.ordered import blocks, latest_per_key, ranks, scan, whole_keys
 from touchline.operators.reshape import longer, two_sided
 from touchline.operators.sampling import sample_per_group
+from touchline.session import cut_lineage
 
 
 def medal_table(
@@ -59,7 +60,7 @@ def lifter_table(
         picked = latest_per_key(meets, [name], order).where(qualifies)
     else:
         picked = latest_per_key(meets.where(qualifies), [name], order)
-    return sample_per_group(picked.dropna(subset=list(complete)), groups, ids, cap, seed)
+    return sample_per_group(cut_lineage(picked.dropna(subset=list(complete))), groups, ids, cap, seed)
 
 
 def split_times(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.functions.text import piece
 from touchline.plans import contingency, games as season, judging, results, stints, teams
 from touchline.queries.common import GAMES_SQL, SIDES_SQL, games, longs, query, rounded
+from touchline.session import cut_lineage
 from touchline.sources.tables import table
 
 STANDINGS_SQL = f"""WITH {GAMES_SQL}, {SIDES_SQL},
@@ -430,7 +431,7 @@ def _ranking_rows(spark, folder):
   CAST(floor(rank() OVER (PARTITION BY year, code ORDER BY pts_for DESC)
     + (count(*) OVER (PARTITION BY year, code, pts_for) - 1) / 2.0) AS INTEGER) AS place FROM l""")
 def ranking_list(spark, folder):
-    listed = results.ranking_list(_ranking_rows(spark, folder), "year", "code", "pts_for")
+    listed = results.ranking_list(cut_lineage(_ranking_rows(spark, folder)), "year", "code", "pts_for")
     return listed.select("year", "players", "sex", "category", "pts_for", "place")
 
 

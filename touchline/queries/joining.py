@@ -56,15 +56,15 @@ def _user_sql(kind, name, extra=""):
 
 
 @query(f"""SELECT a.user_id, clicks, views, errors FROM {_user_sql('click', 'clicks')} a
-  LEFT JOIN {_user_sql('view', 'views', 'AND user_id % 2 = 0')} b ON a.user_id IS NOT DISTINCT FROM b.user_id
-  LEFT JOIN {_user_sql('error', 'errors', 'AND user_id % 3 = 0')} c ON a.user_id IS NOT DISTINCT FROM c.user_id""")
+  LEFT JOIN {_user_sql('view', 'views', 'AND value > 120')} b ON a.user_id IS NOT DISTINCT FROM b.user_id
+  LEFT JOIN {_user_sql('error', 'errors', 'AND value > 180')} c ON a.user_id IS NOT DISTINCT FROM c.user_id""")
 def natural_left_chain(spark, folder):
     clicks = _user_values(spark, folder, "click", "clicks")
-    even = table(spark, folder, "events").where((F.col("event_type") == "view") & (F.col("user_id") % 2 == 0))
-    third = table(spark, folder, "events").where((F.col("event_type") == "error") & (F.col("user_id") % 3 == 0))
+    large = table(spark, folder, "events").where((F.col("event_type") == "view") & (F.col("value") > 120))
+    largest = table(spark, folder, "events").where((F.col("event_type") == "error") & (F.col("value") > 180))
     user = F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("user_id")
-    views = even.groupBy(user).agg(F.count(F.lit(1)).alias("views"))
-    errors = third.groupBy(user).agg(F.count(F.lit(1)).alias("errors"))
+    views = large.groupBy(user).agg(F.count(F.lit(1)).alias("views"))
+    errors = largest.groupBy(user).agg(F.count(F.lit(1)).alias("errors"))
     return joins.natural_left(joins.natural_left(clicks, views), errors)
 
 

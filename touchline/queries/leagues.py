@@ -41,10 +41,9 @@ def fencing_season(spark, folder):
         F.concat(F.lit(f"<table><tr>{head}</tr><tr>"), row, F.lit("</tr></table>")).alias("html"))
     cells = table_columns(table_rows(spread(pages), "page_id", "html"), 1, 9)
     event = F.substring_index("page_id", "|", -1)
-    events = {"Women": {"1": "Sabre", "2": "Foil"}, "Men": {"3": "Sabre", "4": "Epee", "5": "Epee"}}
-    tables = [leagues.fencing_table(cells.where(event == code), gender, weapon)
-              for gender, codes in events.items() for code, weapon in codes.items()]
-    return leagues.fencing_season(tables)
+    gender = F.when(event.isin("1", "2"), "Women").otherwise("Men")
+    weapon = F.when(event.isin("1", "3"), "Sabre").when(event == "2", "Foil").otherwise("Epee")
+    return leagues.fencing_season([leagues.fencing_table(cells, gender, weapon)])
 
 
 @query("""SELECT c_name AS "Rider", CAST(c_custkey % 30 AS DOUBLE) AS "Outs", CAST(c_custkey % 20 AS DOUBLE) AS "Rides",
@@ -122,7 +121,7 @@ GOLF = ", ".join(f"""CAST(p_partkey % {i + 7} AS DOUBLE) AS "{n}\"""" for i, n i
     CAST(p_partkey % 5 AS INTEGER) AS wins, CAST(p_partkey % 6 AS INTEGER) AS podiums, CAST(p_partkey % 11 AS INTEGER) AS top_10s,
     CAST(p_partkey % 13 AS INTEGER) AS top_20s, CAST(p_partkey % 40 + 0.5 AS DOUBLE) AS avg_place, CAST(p_partkey % 100 AS DOUBLE) AS "top_10%",
     CAST(p_partkey % 90 AS DOUBLE) AS "top_20%", CAST(p_partkey * 1000 AS DOUBLE) AS total_earnings, CAST(3000 + p_partkey AS DOUBLE) AS total_strokes
-  FROM part WHERE p_partkey % 4 <> 0""")
+  FROM part WHERE p_size > 10""")
 def disc_golf_season(spark, folder):
     """Two published tables with two header rows each, joined by player."""
     key = F.col("p_partkey")
@@ -139,7 +138,7 @@ def disc_golf_season(spark, folder):
             (F.col("r_regionkey") + 1).cast("long").alias("row_no"), *[F.lit("head").alias(f"X{i}") for i in range(1, len(columns) + 1)])
         return heads.union(body)
 
-    return leagues.disc_golf_table(sheet(first, part), sheet(second, part.where(key % 4 != 0)))
+    return leagues.disc_golf_table(sheet(first, part), sheet(second, part.where("p_size > 10")))
 
 
 def _skier_sql(no, gap1, gap2, total):

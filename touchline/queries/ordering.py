@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from touchline.operators.ordered import blocks, order_columns, ranks, scan, top_per_key
 from touchline.plans.games import qualification
 from touchline.queries.common import longs, query, rounded
+from touchline.session import cut_lineage
 from touchline.sources.tables import table
 
 
@@ -90,7 +91,7 @@ def midseason_qualification(spark, folder):
 def rank_change(spark, folder):
     """Places of two seasons and their difference."""
     counts = table(spark, folder, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("year"))
-    placed = ranks(counts.agg(F.count(F.lit(1)).alias("n")), ["year"], "-n", low="place")
+    placed = ranks(cut_lineage(counts.agg(F.count(F.lit(1)).alias("n"))), ["year"], "-n", low="place")
     one, two = (placed.where(F.col("year") == y).select("o_custkey", F.col("place").alias(f"place_{y}"))
                 for y in (1996, 1997))
     return one.join(two, "o_custkey").withColumn("change", F.col("place_1996") - F.col("place_1997"))

@@ -137,6 +137,15 @@ def column_json(spark, folder):
     return files.from_column_chunks(files.column_chunks(orders, "o_orderkey", 500), orders.schema)
 
 
+@query("""SELECT user_id, event_type, nullif(value, 0.01) AS value, event_id FROM events""")
+def json_round_trip(spark, folder):
+    path = scratch_dir(spark, "events-json")
+    events = tables.table(spark, folder, "events")
+    out = events.select("user_id", "event_type", F.nullif("value", F.lit(0.01)).alias("value"), "event_id")
+    files.write_json(out, path)
+    return spark.read.schema(out.schema).json(path)
+
+
 def _result_pages(spark, folder):
     """One HTML page per order: a small menu table, then a table with header rows."""
     cells = ["o_orderkey", "o_custkey", "o_orderpriority"]
