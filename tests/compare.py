@@ -1,4 +1,7 @@
-"""Run registered queries next to their SQL oracle and compare whole results."""
+"""Run registered queries next to their SQL oracle and compare whole results.
+
+SF_DIR chooses the tables, HOT_ROWS a small size from which keys are split.
+"""
 from __future__ import annotations
 
 import datetime
@@ -84,7 +87,8 @@ def main():
     folder = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.touchline.hotGroupRows", os.environ.get("HOT_ROWS", "1000000")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     db = database(folder)
     wanted = sys.argv[1:]

@@ -66,19 +66,22 @@ def match_classes(
 ) -> DataFrame:
     """Keys of both tables with their rows per side and the match class.
 
-    Each side is counted per key first, so duplicates do not multiply in the join.
-    The four join sizes follow from the counts: inner is ``left_rows * right_rows``.
+    No join is run: the keys of both sides are stacked and counted in one pre-aggregated
+    shuffle, so neither duplicates nor hot keys multiply. The join sizes follow from the
+    counts: inner is ``left_rows * right_rows``.
     """
     on = list(on)
-    a = left.groupBy(*on).agg(F.count(F.lit(1)).alias("left_rows"))
-    b = right.groupBy(*on).agg(F.count(F.lit(1)).alias("right_rows"))
-    joined = natural_full(a, b, on)
+    a = left.select(*on, F.lit(1).alias("__l"), F.lit(0).alias("__r"))
+    b = right.select(*on, F.lit(0).alias("__l"), F.lit(1).alias("__r"))
+    counted = a.unionByName(b).groupBy(*on).agg(
+        F.sum("__l").alias("left_rows"), F.sum("__r").alias("right_rows")
+    )
     found = (
-        F.when(F.col("right_rows").isNull(), labels[0])
-        .when(F.col("left_rows").isNull(), labels[1])
+        F.when(F.col("right_rows") == 0, labels[0])
+        .when(F.col("left_rows") == 0, labels[1])
         .otherwise("both")
     )
-    return joined.withColumn("match", found).fillna(0, ["left_rows", "right_rows"])
+    return counted.withColumn("match", found)
 
 
 def join_sizes(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -69,13 +69,13 @@ def boxplot(df: DataFrame, keys: Sequence[str], value: str, factor: float = 1.5)
     limits = fences(df, keys, value, factor)
     marked = attach(df.select(*keys, value).where(F.col(value).isNotNull()), limits, keys, measure=True)
     inside = F.col(value).between(F.col("low_fence"), F.col("high_fence"))
-    ends = marked.groupBy(*keys).agg(
+    return marked.groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in QUARTILES],  # one value per group
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(inside, F.col(value))).alias("low_whisker"),
         F.max(F.when(inside, F.col(value))).alias("high_whisker"),
         F.count_if(~inside).alias("n_outliers"),
     )
-    return attach(limits.drop("low_fence", "high_fence"), ends, keys)
 
 
 def z_scores(df: DataFrame, keys: Sequence[str], value: str, out: str = "z") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from touchline.operators import joins
 from touchline.plans.games import game_outcomes
 from touchline.queries.common import GAMES_SQL, games, query
-from touchline.sources.tables import table
+from touchline.sources.tables import in_years, table
 
 
 @query("""SELECT o_orderkey, o_orderstatus, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey
@@ -80,7 +80,7 @@ def natural_full_join(spark, folder):
     orders = table(spark, folder, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("P")))
 
     def season(year, name):
-        kept = orders.where(F.year("o_orderdate") == year)
+        kept = orders.where(in_years("o_orderdate", year, year))
         return kept.groupBy("o_custkey", "status").agg(F.count(F.lit(1)).alias(name))
 
     return joins.natural_full(season(1996, "n"), season(1997, "m"))
@@ -96,7 +96,7 @@ def stacked_seasons(spark, folder):
     orders = table(spark, folder, "orders")
 
     def season(year, name, level):
-        kept = orders.where(F.year("o_orderdate") == year).groupBy("o_custkey")
+        kept = orders.where(in_years("o_orderdate", year, year)).groupBy("o_custkey")
         counted = kept.agg(F.count(F.lit(1)).alias("orders"), F.count_if(F.col("o_orderpriority") == level).alias(name))
         return counted.withColumn("year", F.lit(year))
 
@@ -104,7 +104,7 @@ def stacked_seasons(spark, folder):
 
 
 def _season_customers(spark, folder, year):
-    orders = table(spark, folder, "orders").where(F.year("o_orderdate") == year)
+    orders = table(spark, folder, "orders").where(in_years("o_orderdate", year, year))
     return orders.select("o_custkey", "o_orderstatus")
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators.joins import without
@@ -29,6 +29,12 @@ def keyed_range_scan(df: DataFrame, key: str, value, date: str, first: str, last
     return df.where((F.col(key) == value) & F.col(date).between(low, high))
 
 
+def in_years(date: str, first: int, last: int) -> Column:
+    """Dates from the first to the last year, as a range that reaches the file scan."""
+    low, high = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (first, last + 1))
+    return (F.col(date) >= low) & (F.col(date) < high)
+
+
 def key_years(keys: DataFrame, key: str, first: str, last: str, excluded: Sequence[int] = ()) -> DataFrame:
     """Every (key, year) from first to last year, minus the excluded years."""
     years = keys.select(key, F.explode(F.sequence(F.col(first), F.col(last))).alias("year"))
