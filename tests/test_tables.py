@@ -167,3 +167,19 @@ def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):
     assert session.checkpoint_dir(spark) == folder
     assert session.scratch_dir(spark, "x") != session.scratch_dir(spark, "x")
     assert session.cut_lineage(spark.range(5)).count() == 5
+
+
+def test_task_helpers_need_no_installed_package(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from touchline.functions import tails
+
+    held = tmp_path / "helpers"
+    held.write_bytes(cloudpickle.dumps((markup._read_tables, tails.t_two_sided)))
+    code = ("import pickle; tables, area = pickle.load(open('helpers', 'rb'));"
+            "print(tables('<table><tr><td>a<td>b</table>'), round(area(2.0, 10.0), 6))")
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "[[['a', 'b']]] 0.073388", done.stderr
