@@ -166,3 +166,13 @@ def test_split_windows_equal_plain_windows(spark, rows):
     whole = ordered.scan(df, ["k"], ["o"], split=ordered.hot_split(df, ["k"], ["o"], 10**9), **use)
     cut = ordered.scan(df, ["k"], ["o"], split=ordered.hot_split(df, ["k"], ["o"], 4), **use)
     assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_uneven_values_are_cut_evenly(spark, hot):
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.exp(F.col("id") / 200.0).alias("x"))
+    tagged = ordered.hot_split(df, ["k"], ["x"]).tag(df)
+    sizes = [r["count"] for r in tagged.groupBy(ordered.RANGE).count().collect()]
+    assert max(sizes) <= 100 and sum(sizes) == 4000
+    text = df.select("k", F.format_string("Customer#%09d", F.col("x").cast("long")).alias("s")).distinct()
+    sizes = [r["count"] for r in ordered.hot_split(text, [], ["s"]).tag(text).groupBy(ordered.RANGE).count().collect()]
+    assert max(sizes) < sum(sizes) / 4

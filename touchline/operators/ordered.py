@@ -2,17 +2,19 @@
 
 A plain window sends every row of one key to one task. Each operator here first
 looks for hot keys. Without any, it is one ordinary window. With some, the rows of
-a hot key are cut into consecutive ranges of the order column, the window runs per
-range, and one small table carries last/first rows and totals across the cuts.
+a hot key are cut into consecutive ranges of the order column (at its quantiles, so
+uneven values are cut evenly), the window runs per range, and one small table carries
+last/first rows and totals across the cuts.
 
 A key is hot above ``max(hot_group_rows, total / HOT_SHARES)`` rows, so there are
-at most ``HOT_SHARES`` hot keys and ``3 * HOT_SHARES`` ranges: the carried table has
+at most ``HOT_SHARES`` hot keys and ``6 * HOT_SHARES`` ranges: the carried table has
 a fixed size bound and is the only thing broadcast.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ from pyspark.sql import types as T
 from touchline.session import hot_group_rows
 
 HOT_SHARES = 32_768
+CUTS = 256
 RANGE = "__range"
 
 
@@ -34,8 +37,11 @@ def order_columns(order: Sequence[str]) -> list[Column]:
 
 def _position(column: Column, dtype: T.DataType) -> Column:
     """A double that never decreases as the column increases."""
-    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
-        return F.unix_micros(column.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):  # without the session's time zone
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        return F.unix_date(F.to_date(column)) * 86400.0 + seconds
     if isinstance(dtype, T.DateType):
         return F.unix_date(column).cast("double")
     if isinstance(dtype, T.StringType):
@@ -67,74 +73,87 @@ class Split:
     order: tuple[str, ...]
     lead: Column
     hot: DataFrame | None = None
-    bounds: tuple[float, float, int] | None = field(default=None)
+    whole: tuple[list[float], int] | None = None
 
     @property
     def active(self) -> bool:
-        return self.hot is not None or self.bounds is not None
+        return self.hot is not None or self.whole is not None
 
     def tag(self, df: DataFrame) -> DataFrame:
         """Add the range number: 0, 1, .. inside hot keys, -1 elsewhere."""
-        if self.bounds is not None:
-            low, high, pieces = self.bounds
-            return df.withColumn(RANGE, _piece(self.lead, F.lit(low), F.lit(high), F.lit(pieces)))
-        hot = F.broadcast(self.hot)
-        matched = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in self.keys]
-        joined = df.join(hot, matched, "left")
-        piece = _piece(self.lead, F.col("__low"), F.col("__high"), F.col("__pieces"))
-        return joined.withColumn(
-            RANGE, F.when(F.col("__pieces").isNull(), F.lit(-1)).otherwise(piece)
-        ).drop("__low", "__high", "__pieces", *[f"__hot_{k}" for k in self.keys])
-
-
-def _piece(lead: Column, low: Column, high: Column, pieces: Column) -> Column:
-    step = F.floor(F.try_divide(lead - low, high - low) * pieces)
-    inside = F.greatest(F.lit(0), F.least(pieces - 1, step.cast("int")))
-    # rows without an order value come last, like the sort order itself
-    return F.when(lead.isNull(), pieces).otherwise(F.coalesce(inside, F.lit(0))).cast("int")
+        if self.whole is not None:
+            bounds, parts = self.whole
+            cut = df.withColumn("__bounds", F.array(*[F.lit(v) for v in bounds])).withColumn("__parts", F.lit(parts))
+        else:
+            matched = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in self.keys]
+            cut = df.join(F.broadcast(self.hot), matched, "left").drop(*[f"__hot_{k}" for k in self.keys])
+        bounds, parts, lead = F.col("__bounds"), F.col("__parts"), F.col("__lead")
+        cut = cut.withColumn("__lead", self.lead)
+        inner = F.slice(bounds, F.lit(2), F.size(bounds) - 2)
+        cut = cut.withColumn("__step", F.size(F.filter(inner, lambda v: v <= lead)))
+        low, high = F.get(bounds, F.col("__step")), F.get(bounds, F.col("__step") + 1)
+        part = F.floor(F.try_divide(lead - low, high - low) * parts)
+        part = F.greatest(F.lit(0), F.least(parts - 1, F.coalesce(part, F.lit(0))))
+        # rows without an order value come last, like the sort order itself
+        place = F.when(lead.isNull(), (F.size(bounds) - 1) * parts).otherwise(F.col("__step") * parts + part)
+        place = F.when(bounds.isNull(), F.lit(-1)).otherwise(place)
+        return cut.withColumn(RANGE, place.cast("int")).drop("__bounds", "__parts", "__lead", "__step")
+
+
+def _cuts(low: float, high: float, quantiles: Sequence[float], pieces: int) -> tuple[list[float], int]:
+    """Bounds at evenly spaced quantiles, and the equal parts between two of them."""
+    steps = min(pieces, CUTS)
+    inner = [float(quantiles[i * CUTS // steps - 1]) for i in range(1, steps)]
+    return [float(low), *inner, float(high)], -(-pieces // steps)
 
 
 def hot_split(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
 ) -> Split:
-    """Profile the keys in one pre-aggregated pass (count, lowest, highest order value)."""
+    """Profile the keys in one pre-aggregated pass (count, lowest, highest order value).
+
+    Only if some are hot, a second pass over their rows finds the quantiles to cut at.
+    """
     spark = df.sparkSession
     floor = hot_group_rows(spark) if hot_rows is None else hot_rows
     name = order[0].lstrip("-")
-    lead = _position(F.col(name), df.schema[name].dataType)
-    if order[0].startswith("-"):
-        lead = -lead
+    kind = df.schema[name].dataType
+    sign = -1 if order[0].startswith("-") else 1
+    lead = _position(F.col(name), kind) * sign
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows"), F.min(lead).alias("__low"), F.max(lead).alias("__high")
-    )
-    if not keys:
-        rows, low, high = sizes.first()
-        if rows <= floor or low is None:
-            return Split((), tuple(order), lead)
-        pieces = min(HOT_SHARES, -(-2 * rows // max(floor, -(-rows // HOT_SHARES))))
-        return Split((), tuple(order), lead, bounds=(low, high, int(pieces)))
-    big = sizes.where(F.col("__rows") > floor)
-    found = big.orderBy(F.col("__rows").desc()).limit(HOT_SHARES + 1).collect()
+    plain = Split(tuple(keys), tuple(order), lead)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.count(name).alias("__filled"))
+    found = sizes.where(F.col("__rows") > floor).orderBy(F.col("__rows").desc()).limit(HOT_SHARES + 1).collect()
     if not found:
-        return Split(tuple(keys), tuple(order), lead)
-    total = df.count()
+        return plain
+    total = df.count() if keys else found[0]["__rows"]
     limit = max(floor, -(-total // HOT_SHARES))
-    hot = [
-        (*[row[k] for k in keys], row["__low"], row["__high"], int(-(-2 * row["__rows"] // limit)))
-        for row in found
-        if row["__rows"] > limit and row["__low"] is not None
-    ]
-    if not hot:
-        return Split(tuple(keys), tuple(order), lead)
-    schema = T.StructType(
-        [T.StructField(f"__hot_{k}", df.schema[k].dataType) for k in keys]
-        + [
-            T.StructField("__low", T.DoubleType()),
-            T.StructField("__high", T.DoubleType()),
-            T.StructField("__pieces", T.IntegerType()),
-        ]
-    )
+    pieces = {
+        tuple(row[k] for k in keys): int(-(-2 * row["__rows"] // limit))
+        for row in found if row["__rows"] > limit and row["__filled"]
+    }
+    if not pieces:
+        return plain
+    if isinstance(kind, T.StringType):  # cut texts behind what all of them begin with
+        ends = df.agg(F.min(name), F.max(name)).first()
+        shared = len(commonprefix(list(ends)))
+        lead = _position(F.substr(F.col(name), F.lit(shared + 1)), kind) * sign
+    key_fields = [T.StructField(f"__hot_{k}", df.schema[k].dataType) for k in keys]
+    rows = df
+    if keys:
+        hot_keys = F.broadcast(spark.createDataFrame(list(pieces), T.StructType(key_fields)))
+        rows = df.join(hot_keys, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys], "left_semi")
+    probs = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    spread = rows.groupBy(*keys).agg(
+        F.min(lead).alias("__low"), F.max(lead).alias("__high"), F.percentile_approx(lead, probs, 10_000).alias("__q")
+    ).collect()
+    cuts = {tuple(r[k] for k in keys): (r["__low"], r["__high"], r["__q"]) for r in spread}
+    hot = [(*key, *_cuts(*cuts[key], count)) for key, count in pieces.items()]
+    if not keys:
+        return Split((), tuple(order), lead, whole=(hot[0][0], hot[0][1]))
+    schema = T.StructType([
+        *key_fields, T.StructField("__bounds", T.ArrayType(T.DoubleType())), T.StructField("__parts", T.IntegerType())
+    ])
     return Split(tuple(keys), tuple(order), lead, hot=spark.createDataFrame(hot, schema))
 
 
