@@ -55,3 +55,16 @@ def test_normal_quantiles_and_histogram(spark, sizes):
     low, high = values.min(), values.max()
     bins = np.minimum(np.floor((values - low) / (high - low) * 7), 6).astype(int)
     assert got == [int((bins == i).sum()) for i in range(7)]
+
+
+def test_large_groups_below_the_split_size_are_counted(spark, hot, monkeypatch):
+    from touchline.operators import ordered
+
+    monkeypatch.setattr(ordered, "HOT_SHARES", 1)
+    rows, df = data(spark)
+    split = ordered.hot_split(df, ["k"], ["v"])
+    assert split.large and not split.active
+    for r in quantiles(df, ["k"], "v", {"m": 0.5}).collect():
+        assert r["m"] == pytest.approx(np.quantile([v for k, v in rows if k == r["k"]], 0.5), abs=1e-12)
+    plan = quantiles(df, ["k"], "v", {"m": 0.5})._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" not in plan

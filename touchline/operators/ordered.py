@@ -13,7 +13,7 @@ a fixed size bound and is the only thing broadcast.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
@@ -74,6 +74,7 @@ class Split:
     lead: Column
     hot: DataFrame | None = None
     whole: tuple[list[float], int] | None = None
+    large: bool = False  # some key has more rows than the hot-group size, split or not
 
     @property
     def active(self) -> bool:
@@ -133,7 +134,7 @@ def hot_split(
         for row in found if row["__rows"] > limit and row["__filled"]
     }
     if not pieces:
-        return plain
+        return replace(plain, large=True)
     if isinstance(kind, T.StringType):  # cut texts behind what all of them begin with
         ends = df.agg(F.min(name), F.max(name)).first()
         shared = len(commonprefix(list(ends)))

@@ -21,7 +21,7 @@ def quantiles(
     keys = list(keys)
     present = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
     split = hot_split(present, keys, ["__v"])
-    if not split.active:
+    if not (split.active or split.large):
         picks = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs.values()]))
         rows = present.groupBy(*keys).agg(picks.alias("__p"))
         return rows.select(*keys, *[F.col("__p")[i].alias(name) for i, name in enumerate(probs)])
