@@ -5,9 +5,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from touchline.llm import packing, secret_scan
+from touchline.llm import chat_roles, packing, secret_scan
 from touchline.llm.batches import documents, per_text
 from touchline.llm.registry import query
+from touchline.sources.tables import table
 
 
 def word_tokens(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -22,10 +23,16 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(word_tokens(documents(spark, folder), ["doc_id"]), "doc_id", "n_tokens")
 
 
+@query()
+def op7_chat_roles(spark: SparkSession, folder: str) -> DataFrame:
+    """Every turn of all conversations with its recovered role, rendered."""
+    return chat_roles.recovered(table(spark, folder, "conversations"))
+
+
 @query()
 def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate of every document with the forest's verdict."""
-    table = documents(spark, folder)
-    model = secret_scan.fitted(secret_scan.rule_findings(table))
-    found = secret_scan.findings(table, model, ["doc_id"]).select("doc_id", F.inline("findings"))
+    docs = documents(spark, folder)
+    model = secret_scan.fitted(secret_scan.rule_findings(docs))
+    found = secret_scan.findings(docs, model, ["doc_id"]).select("doc_id", F.inline("findings"))
     return found.select("doc_id", "start", "end", F.round("probability", 6).alias("probability"), "secret")
