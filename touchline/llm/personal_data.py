@@ -19,7 +19,7 @@ exclusive.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.session import cut_lineage
@@ -36,25 +36,16 @@ SEEDS, TRUST, PRIOR, CHANGE = 3, 0.8, 2.0, 0.001
 
 
 def found(text: Column, pattern: str, needed: Column) -> Column:
-    """Array of (start, end, value, left, right) of all matches; left and right are the text around
-    it up to the neighbouring match, at most CONTEXT code points."""
+    """Array of (gap, value, left, right) of all matches: ``gap`` counts the code points since the match
+    before; left and right are the text around it up to the neighbouring match, at most CONTEXT long."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
     around = F.arrays_zip(matches.alias("value"), gaps.alias("gap"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("next"))
-    none = F.array().cast("array<struct<start:int,end:int,value:string,left:string,right:string>>")
-
-    def step(state: Column, one: Column) -> Column:
-        value, gap, after = one["value"], one["gap"], one["next"]
-        start = state["at"] + F.char_length(gap)
-        end = start + F.char_length(value)
-        span = F.struct(
-            start.alias("start"), end.alias("end"), value.alias("value"), F.substring(gap, -CONTEXT, CONTEXT).alias("left"),
-            F.substring(after, 1, CONTEXT).alias("right"))
-        return F.struct(end.alias("at"), F.array_append(state["out"], span).alias("out"))
-
-    pairs = F.filter(around, lambda one: one["value"].isNotNull())
-    every = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda state: state["out"])
-    return F.when(needed & (F.regexp_instr(text, F.lit(pattern)) > 0), every).otherwise(none)
+    pairs = F.transform(F.filter(around, lambda one: one["value"].isNotNull()), lambda one: F.struct(
+        F.char_length(one["gap"]).alias("gap"), one["value"].alias("value"), F.substring(one["gap"], -CONTEXT, CONTEXT).alias("left"),
+        F.substring(one["next"], 1, CONTEXT).alias("right")))
+    none = F.array().cast("array<struct<gap:int,value:string,left:string,right:string>>")
+    return F.when(needed & (F.regexp_instr(text, F.lit(pattern)) > 0), pairs).otherwise(none)
 
 
 def digits(value: Column) -> Column:
@@ -80,18 +71,6 @@ def passes(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def _passing(kind: str, spans: Column) -> Column:
-    return F.filter(spans, lambda m: passes(kind, m["value"]))
-
-
-def _named(kind: str) -> Column:
-    return F.transform(kind, lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("m")))
-
-
-def _numbered(number: int, kind: str) -> Column:
-    return F.transform(kind, lambda m: F.struct(F.lit(number).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
-
-
 def shaped(kind: Column, value: Column) -> Column:
     """Whether a token may be an identifier of a kind that the fixed patterns do not know."""
     n = F.char_length(digits(value))
@@ -103,19 +82,47 @@ def shaped(kind: Column, value: Column) -> Column:
 
 
 def searched(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, a row number, the base spans by kind, and other tokens with digits or "@"."""
+    """id, a row number, and the raw matches of each kind and of tokens with digits or "@"."""
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(F.col(id_column).alias("id"), whole.alias("text"))
     body = F.col("text")
     digit = body.rlike("[0-9]")
     needs = {"email": F.contains(body, F.lit("@")), "ip": digit & F.contains(body, F.lit(".")), "card": digit, "phone": F.contains(body, F.lit("+"))}
     patterns = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
-    spans = {k: _passing(k, found(body, patterns[k], needs[k])) for k in KINDS}
-    tokens = found(body, TOKEN, digit | needs["email"])
-    rows = rows.select("id", *[c.alias(k) for k, c in spans.items()], tokens.alias("tokens"))
+    made = [found(body, patterns[k], needs[k]).alias(k) for k in KINDS]
+    rows = rows.select("id", *made, found(body, TOKEN, digit | needs["email"]).alias("token"))
     return cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """(row, kind, value, left, right, start, end) of every match that passes its check; kind "token" is unchecked.
+
+    Places are running sums over the matches of one text, so they take time in proportion to their number.
+    """
+    each = None
+    for kind in (*KINDS, "token"):
+        some = rows.select("row", F.lit(kind).alias("kind"), F.posexplode(kind).alias("no", "m")).select("row", "kind", "no", "m.*")
+        each = some if each is None else each.union(some)
+    order = Window.partitionBy("row", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
+    ends = F.sum(F.col("gap") + F.char_length("value")).over(order).cast("int")
+    spans = each.withColumn("end", ends).withColumn("start", F.col("end") - F.char_length("value"))
+    good = F.lit(True)
+    for kind in KINDS:
+        good = F.when(F.col("kind") == kind, passes(kind, F.col("value"))).otherwise(good)
+    return cut_lineage(spans.where(good).drop("gap", "no"))
+
+
+def untouched(spans: DataFrame) -> DataFrame:
+    """Tokens that share no code point with a span of a kind, by running extremes in order of their starts."""
+    base = F.col("kind") != "token"
+    forward = Window.partitionBy("row").orderBy("start", "base", "end").rowsBetween(Window.unboundedPreceding, 0)
+    backward = Window.partitionBy("row").orderBy(F.desc("start"), "base", F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
+    marked = spans.withColumn("base", F.when(base, 0).otherwise(1)).withColumns({
+        "reached": F.max(F.when(base, F.col("end"))).over(forward), "coming": F.min(F.when(base, F.col("start"))).over(backward)})
+    free = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("coming", F.col("end")) >= F.col("end"))
+    return marked.where(~base & free).drop("base", "reached", "coming", "kind")
+
+
 def _words(side: Column, left: bool) -> Column:
     """The pattern's words beside a match: the two nearest on that side, in small letters, digits as 0."""
     near = F.regexp_extract(side, r"(\S+\s+\S+)\s*$", 1) if left else F.regexp_extract(side, r"^\s*(\S+\s+\S+)", 1)
@@ -152,22 +159,22 @@ def scores(seeds: DataFrame, others: DataFrame, trust: float = TRUST, least: int
             return score
 
 
-def discovered(rows: DataFrame, trust: float = TRUST, **settings) -> DataFrame:
+def discovered(spans: DataFrame, trust: float = TRUST, **settings) -> DataFrame:
     """(row, kind, start, end) of further spans: tokens of a trusted pattern that touch no base span."""
-    base = F.flatten(F.array(*[_named(k) for k in KINDS]))
-    seeds = _contexts(rows.select("row", F.explode(base).alias("b")).select("row", "b.kind", "b.m.*"))
-    spans = F.flatten(F.array(*KINDS))
-    free = F.filter("tokens", lambda t: ~F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    places = rows.select("row", F.explode(free).alias("t")).select("row", "t.*")
-    others = _contexts(places)
+    seeds = _contexts(spans.where("kind <> 'token'"))
+    others = _contexts(untouched(spans))
     score = scores(seeds, others, trust, **settings).where(F.col("score") >= trust)
-    # a value found anywhere in a trusted pattern counts where such a pattern stands beside it
+    # a value counts where a pattern of its kind stands beside it
     strong = seeds.select("kind", "value", "words").distinct().groupBy("kind", "words").agg(F.count("*").alias("right")).where(
         F.col("right") >= settings.get("least", SEEDS)).select("kind", "words")
-    spans = others.join(strong, "words").join(score, ["kind", "value"]).select("row", "kind", "start", "end")
+    chosen = others.join(strong, "words").join(score, ["kind", "value"])
     # a token that would do for two kinds belongs to the first as listed
-    order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
-    return spans.groupBy("row", "start", "end").agg(F.min_by("kind", order).alias("kind"))
+    return chosen.groupBy("row", "start", "end").agg(F.min(_number()).alias("kind"))
+
+
+def _number() -> Column:
+    """A kind's place in the list, from 0."""
+    return (F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) - 1).cast("int")
 
 
 def listed(spans: Column) -> Column:
@@ -180,11 +187,14 @@ def listed(spans: Column) -> Column:
 def personal_data(df: DataFrame, id_column: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """id, base spans and all spans (arrays of kind number, start, end) of every text, and their counts by kind."""
     rows = searched(df, id_column, text)
-    further = discovered(rows, **settings).groupBy("row").agg(F.collect_list(F.struct(
-        (F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")) - 1).cast("int").alias("kind"), "start", "end")).alias("further"))
-    base = F.flatten(F.array(*[_numbered(i, k) for i, k in enumerate(KINDS)]))
+    spans = placed(rows)
+    base = spans.where("kind <> 'token'").select("row", _number().alias("kind"), "start", "end", F.lit(True).alias("base"))
+    further = discovered(spans, **settings).select("row", "kind", "start", "end", F.lit(False).alias("base"))
+    span = F.struct("kind", "start", "end")
+    by_row = base.union(further).groupBy("row").agg(
+        *[F.count_if(F.col("base") & (F.col("kind") == i)).alias(f"n_{k}") for i, k in enumerate(KINDS)],
+        F.collect_list(F.when(F.col("base"), span)).alias("base"), F.collect_list(span).alias("every"))
     none = F.array().cast("array<struct<kind:int,start:int,end:int>>")
-    joined = rows.join(further, "row", "left")
-    return joined.select(
-        F.col("id").alias(id_column), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS], base.alias("base"),
-        F.concat(base, F.coalesce("further", none)).alias("every"))
+    return rows.select("id", "row").join(by_row, "row", "left").select(
+        F.col("id").alias(id_column), *[F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS],
+        *[F.coalesce(c, none).alias(c) for c in ("base", "every")])
