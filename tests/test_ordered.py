@@ -176,3 +176,35 @@ def test_uneven_values_are_cut_evenly(spark, hot):
     text = df.select("k", F.format_string("Customer#%09d", F.col("x").cast("long")).alias("s")).distinct()
     sizes = [r["count"] for r in ordered.hot_split(text, [], ["s"]).tag(text).groupBy(ordered.RANGE).count().collect()]
     assert max(sizes) < sum(sizes) / 4
+
+
+KINDS = {
+    "long": "1152921504606846976L + raw", "string": "CASE WHEN raw = 3 THEN 'odd one' ELSE format_string('Customer#%09d', raw) END",
+    "date": "date_add(DATE'2024-01-01', raw)", "timestamp": "timestamp_micros(1700000000000000 + raw * 100000)",
+    "timestamp_ntz": "TIMESTAMP_NTZ'2024-01-01' + make_dt_interval(0, 0, 0, raw / 10.0)", "decimal": "CAST(raw AS DECIMAL(38, 2)) / 100",
+}
+USE = dict(lag={"before": "x"}, lead={"after": "x"}, running={"total": "x"}, fill={"kept": "x"}, first={"head": "x"}, number="no", size="rows")
+
+
+@pytest.mark.parametrize("kind", list(KINDS))
+@pytest.mark.parametrize("order", [["o", "id"], ["-o", "-id"], ["-o", "id"], ["tie", "-o", "id"]])
+def test_split_windows_equal_plain_ones_in_any_order(spark, kind, order):
+    df = spark.range(240).select(
+        F.expr("CASE WHEN id % 9 = 0 THEN 2 ELSE 1 END").alias("k"), "id", F.lit(7).alias("tie"),
+        F.expr(f"CASE WHEN id % 5 = 0 THEN NULL ELSE {KINDS[kind].replace('raw', 'CAST(id * 7919 % 240 AS INT)')} END").alias("o"),
+        F.expr("CASE WHEN id % 4 = 0 THEN NULL ELSE id END").alias("x"))
+    whole = ordered.scan(df, ["k"], order, split=ordered.hot_split(df, ["k"], order, 10**9), **USE)
+    split = ordered.hot_split(df, ["k"], order, 4)
+    assert split.active
+    cut = ordered.scan(df, ["k"], order, split=split, **USE)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
+
+
+def test_ties_and_missing_values_are_cut(spark):
+    rows = [(1, 5, i) for i in range(2000)] + [(2, None, i) for i in range(1900)]
+    df = spark.createDataFrame(rows, "k int, o int, seq int")
+    sizes = ordered.hot_split(df, ["k"], ["o", "seq"], 100).tag(df).groupBy("k", ordered.RANGE).count().collect()
+    assert max(r["count"] for r in sizes) <= 200 and min(r[ordered.RANGE] for r in sizes) >= 0
+    names = spark.range(2000).select(F.when(F.col("id") == 7, "odd").otherwise(F.format_string("Customer#%09d", "id")).alias("s"))
+    sizes = ordered.hot_split(names, [], ["s"], 100).tag(names).groupBy(ordered.RANGE).count().collect()
+    assert max(r["count"] for r in sizes) <= 200

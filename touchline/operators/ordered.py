@@ -2,19 +2,20 @@
 
 A plain window sends every row of one key to one task. Each operator here first
 looks for hot keys. Without any, it is one ordinary window. With some, the rows of
-a hot key are cut into consecutive ranges of the order column (at its quantiles, so
-uneven values are cut evenly), the window runs per range, and one small table carries
-last/first rows and totals across the cuts.
+a hot key are cut into consecutive ranges at rows of their own: the cut points are whole
+order values (all order columns, in their direction, missing values last), so ties in
+the first column, missing values and texts of any shape are cut as evenly as numbers.
+The window runs per range, and one small table carries last/first rows and totals across the cuts.
 
 A key is hot above ``max(hot_group_rows, total / HOT_SHARES)`` rows, so there are
-at most ``HOT_SHARES`` hot keys and ``6 * HOT_SHARES`` ranges: the carried table has
-a fixed size bound and is the only thing broadcast.
+at most ``HOT_SHARES`` hot keys and ``3 * HOT_SHARES`` ranges: the carried table has
+a fixed size bound and is the only thing broadcast. Cut points are chosen from a sample of
+``SAMPLED`` rows for each range; they only decide which task a row goes to.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 from touchline.session import hot_group_rows
 
 HOT_SHARES = 32_768
-CUTS = 256
+SAMPLED = 64
 RANGE = "__range"
 
 
@@ -35,133 +36,108 @@ def order_columns(order: Sequence[str]) -> list[Column]:
     ]
 
 
-def _position(column: Column, dtype: T.DataType) -> Column:
-    """A double that never decreases as the column increases."""
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(column).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):  # without the session's time zone
-        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-        return F.unix_date(F.to_date(column)) * 86400.0 + seconds
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.encode(column, "UTF-8")), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    if isinstance(dtype, (T.NumericType, T.BooleanType)):
-        return column.cast("double")
-    raise TypeError(f"cannot order rows by {dtype.simpleString()}")
-
-
-def _sort_key(df: DataFrame, order: Sequence[str]) -> Column:
-    """One struct that compares like the order columns, missing values last."""
-    parts = []
-    for name in order:
-        plain = name.lstrip("-")
-        parts.append(F.col(plain).isNull())
-        if name.startswith("-"):
-            parts.append(-_position(F.col(plain), df.schema[plain].dataType))
-        else:
-            parts.append(F.col(plain))
-    return F.struct(*[part.alias(f"k{i}") for i, part in enumerate(parts)])
+def _from(bound: Column, order: Sequence[str]) -> Column:
+    """Whether a row stands at or behind ``bound`` (a struct of order values), as the sort order has it."""
+    reached = F.lit(True)
+    for i, name in reversed(list(enumerate(order))):
+        own, cut = F.col(name.lstrip("-")), bound[f"o{i}"]
+        passed = cut > own if name.startswith("-") else cut < own
+        missing_after = cut.isNotNull() & own.isNull()
+        reached = missing_after | F.coalesce(passed, F.lit(False)) | (cut.eqNullSafe(own) & reached)
+    return reached
+
+
+def _place(bounds: Column, order: Sequence[str]) -> Column:
+    """How many of the ordered bounds a row has reached, by halving."""
+    state = F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        low, high = state["low"], state["high"]
+        middle = F.floor((low + high) / 2).cast("int")
+        reached = _from(F.get(bounds, middle), order)
+        more = F.struct(
+            F.when(reached, middle + 1).otherwise(low).alias("low"), F.when(reached, high).otherwise(middle).alias("high"))
+        return F.when(low < high, more).otherwise(state)
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + 1)).cast("int"))
+    return F.aggregate(rounds, state, halve, lambda s: s["low"])
 
 
 @dataclass(frozen=True)
 class Split:
-    """Which keys are hot and how their order range is cut."""
+    """Which keys are hot and the order values that cut them."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    lead: Column
     hot: DataFrame | None = None
-    whole: tuple[list[float], int] | None = None
     large: bool = False  # some key has more rows than the hot-group size, split or not
 
     @property
     def active(self) -> bool:
-        return self.hot is not None or self.whole is not None
+        return self.hot is not None
 
     def tag(self, df: DataFrame) -> DataFrame:
         """Add the range number: 0, 1, .. inside hot keys, -1 elsewhere."""
-        if self.whole is not None:
-            bounds, parts = self.whole
-            cut = df.withColumn("__bounds", F.array(*[F.lit(v) for v in bounds])).withColumn("__parts", F.lit(parts))
-        else:
+        if self.keys:
             matched = [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in self.keys]
             cut = df.join(F.broadcast(self.hot), matched, "left").drop(*[f"__hot_{k}" for k in self.keys])
-        bounds, parts, lead = F.col("__bounds"), F.col("__parts"), F.col("__lead")
-        cut = cut.withColumn("__lead", self.lead)
-        inner = F.slice(bounds, F.lit(2), F.size(bounds) - 2)
-        cut = cut.withColumn("__step", F.size(F.filter(inner, lambda v: v <= lead)))
-        low, high = F.get(bounds, F.col("__step")), F.get(bounds, F.col("__step") + 1)
-        part = F.floor(F.try_divide(lead - low, high - low) * parts)
-        part = F.greatest(F.lit(0), F.least(parts - 1, F.coalesce(part, F.lit(0))))
-        # rows without an order value come last, like the sort order itself
-        place = F.when(lead.isNull(), (F.size(bounds) - 1) * parts).otherwise(F.col("__step") * parts + part)
-        place = F.when(bounds.isNull(), F.lit(-1)).otherwise(place)
-        return cut.withColumn(RANGE, place.cast("int")).drop("__bounds", "__parts", "__lead", "__step")
-
-
-def _cuts(low: float, high: float, quantiles: Sequence[float], pieces: int) -> tuple[list[float], int]:
-    """Bounds at evenly spaced quantiles, and the equal parts between two of them."""
-    steps = min(pieces, CUTS)
-    inner = [float(quantiles[i * CUTS // steps - 1]) for i in range(1, steps)]
-    return [float(low), *inner, float(high)], -(-pieces // steps)
+        else:
+            cut = attach(df, self.hot, [])
+        bounds = F.col("__bounds")
+        place = F.when(bounds.isNull(), F.lit(-1)).otherwise(_place(bounds, self.order))
+        return cut.withColumn(RANGE, place.cast("int")).drop("__bounds")
 
 
 def hot_split(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
 ) -> Split:
-    """Profile the keys in one pre-aggregated pass (count, lowest, highest order value).
-
-    Only if some are hot, a second pass over their rows finds the quantiles to cut at.
+    """Count the keys in one pre-aggregated pass; only if some are hot, a second
+    pass over a sample of their rows picks the order values to cut at.
     """
     spark = df.sparkSession
     floor = hot_group_rows(spark) if hot_rows is None else hot_rows
-    name = order[0].lstrip("-")
-    kind = df.schema[name].dataType
-    sign = -1 if order[0].startswith("-") else 1
-    lead = _position(F.col(name), kind) * sign
-    keys = list(keys)
-    plain = Split(tuple(keys), tuple(order), lead)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.count(name).alias("__filled"))
+    keys, order = list(keys), list(order)
+    plain = Split(tuple(keys), tuple(order))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     found = sizes.where(F.col("__rows") > floor).orderBy(F.col("__rows").desc()).limit(HOT_SHARES + 1).collect()
     if not found:
         return plain
     total = df.count() if keys else found[0]["__rows"]
     limit = max(floor, -(-total // HOT_SHARES))
-    pieces = {
-        tuple(row[k] for k in keys): int(-(-2 * row["__rows"] // limit))
-        for row in found if row["__rows"] > limit and row["__filled"]
-    }
+    pieces = [(*(r[k] for k in keys), int(-(-2 * r["__rows"] // limit))) for r in found if r["__rows"] > limit]
     if not pieces:
         return replace(plain, large=True)
-    if isinstance(kind, T.StringType):  # cut texts behind what all of them begin with
-        ends = df.agg(F.min(name), F.max(name)).first()
-        shared = len(commonprefix(list(ends)))
-        lead = _position(F.substr(F.col(name), F.lit(shared + 1)), kind) * sign
     key_fields = [T.StructField(f"__hot_{k}", df.schema[k].dataType) for k in keys]
-    rows = df
+    counted = spark.createDataFrame(pieces, T.StructType([*key_fields, T.StructField("__pieces", T.IntegerType())]))
+    columns = list(dict.fromkeys([*keys, *(name.lstrip("-") for name in order)]))
+    rows = df.select(*columns)
     if keys:
-        hot_keys = F.broadcast(spark.createDataFrame(list(pieces), T.StructType(key_fields)))
-        rows = df.join(hot_keys, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys], "left_semi")
-    probs = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
-    spread = rows.groupBy(*keys).agg(
-        F.min(lead).alias("__low"), F.max(lead).alias("__high"), F.percentile_approx(lead, probs, 10_000).alias("__q")
-    ).collect()
-    cuts = {tuple(r[k] for k in keys): (r["__low"], r["__high"], r["__q"]) for r in spread}
-    hot = [(*key, *_cuts(*cuts[key], count)) for key, count in pieces.items()]
-    if not keys:
-        return Split((), tuple(order), lead, whole=(hot[0][0], hot[0][1]))
-    schema = T.StructType([
-        *key_fields, T.StructField("__bounds", T.ArrayType(T.DoubleType())), T.StructField("__parts", T.IntegerType())
-    ])
-    return Split(tuple(keys), tuple(order), lead, hot=spark.createDataFrame(hot, schema))
+        rows = rows.join(F.broadcast(counted), [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]).drop(
+            *[f"__hot_{k}" for k in keys])
+    else:
+        rows = rows.withColumn("__pieces", F.lit(pieces[0][-1]))
+    hot_total = sum(r["__rows"] for r in found if r["__rows"] > limit)
+    share = SAMPLED * sum(p[-1] for p in pieces) / hot_total
+    if share < 1:
+        rows = rows.where(F.rand(11) < share)
+    within = Window.partitionBy(*keys)
+    numbered = rows.withColumn("__no", F.row_number().over(within.orderBy(*order_columns(order)))).withColumn(
+        "__n", F.count(F.lit(1)).over(within))
+    step = lambda no: F.floor(no * F.col("__pieces") / F.col("__n"))
+    opening = (F.col("__no") > 1) & (step(F.col("__no") - 1) > step(F.col("__no") - 2))
+    value = F.struct(*[F.col(name.lstrip("-")).alias(f"o{i}") for i, name in enumerate(order)])
+    cuts = numbered.where(opening).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("__no", value.alias("__value")))).alias("__all"))
+    made = cuts.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], F.col("__all.__value").alias("__bounds"))
+    bounds = made.collect()
+    if not bounds:
+        return replace(plain, large=True)
+    return replace(plain, hot=spark.createDataFrame(bounds, made.schema), large=True)
 
 
 def whole_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Split:
     """No splitting, for keys that are small by their nature; saves the profile pass."""
-    name = order[0].lstrip("-")
-    return Split(tuple(keys), tuple(order), _position(F.col(name), df.schema[name].dataType))
+    return Split(tuple(keys), tuple(order))
 
 
 def scan(
@@ -208,18 +184,22 @@ def scan(
     tagged = df if carry_range else split.tag(df)
     local = Window.partitionBy(*keys, RANGE).orderBy(*by)
     so_far = local.rowsBetween(Window.unboundedPreceding, 0)
-    rank = _sort_key(df, order)
 
+    # edge rows by their place in the very order that the windows use
+    sources = dict.fromkeys([*keys, *(o.lstrip("-") for o in order), *lag.values(), *lead.values(),
+                             *running.values(), *fill.values(), *first.values()])
+    placed = tagged.where(F.col(RANGE) >= 0).select(*sources, RANGE).withColumn("__place", F.row_number().over(local))
+    place = F.col("__place")
     edge = [F.count(F.lit(1)).alias("__n")]
-    edge += [F.max_by(src, rank).alias(f"__lag_{out}") for out, src in lag.items()]
-    edge += [F.min_by(src, rank).alias(f"__lead_{out}") for out, src in lead.items()]
+    edge += [F.max_by(src, place).alias(f"__lag_{out}") for out, src in lag.items()]
+    edge += [F.min_by(src, place).alias(f"__lead_{out}") for out, src in lead.items()]
     edge += [F.sum(src).alias(f"__sum_{out}") for out, src in running.items()]
     edge += [
-        F.max_by(src, F.when(F.col(src).isNotNull(), rank)).alias(f"__fill_{out}")
+        F.max_by(src, F.when(F.col(src).isNotNull(), place)).alias(f"__fill_{out}")
         for out, src in fill.items()
     ]
-    edge += [F.min_by(src, rank).alias(f"__first_{out}") for out, src in first.items()]
-    edges = tagged.where(F.col(RANGE) >= 0).groupBy(*keys, RANGE).agg(*edge)
+    edge += [F.min_by(src, place).alias(f"__first_{out}") for out, src in first.items()]
+    edges = placed.groupBy(*keys, RANGE).agg(*edge)
     across = Window.partitionBy(*keys).orderBy(RANGE)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     carried = [F.sum("__n").over(earlier).alias("__n"), F.sum("__n").over(Window.partitionBy(*keys)).alias("__all")]

@@ -36,12 +36,13 @@ def quantiles(
         for end, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             holds = (before <= index) & (index < F.col("__upto"))
             picks.append(F.max(F.when(holds, F.col("__v"))).alias(f"__{end}{i}"))
-        picks.append(F.max(at - F.floor(at)).alias(f"__f{i}"))
+        picks += [F.max(at - F.floor(at)).alias(f"__f{i}"), F.max(F.ceil(at) - at).alias(f"__c{i}")]
     found = placed.groupBy(*keys).agg(*picks)
-    mixed = [
-        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * F.col(f"__f{i}")).alias(name)
-        for i, name in enumerate(probs)
-    ]
+    mixed = []
+    for i, name in enumerate(probs):  # the sums of the built-in function, to the last bit
+        low, high = F.col(f"__lo{i}"), F.col(f"__hi{i}")
+        between = F.col(f"__c{i}") * low + F.col(f"__f{i}") * high
+        mixed.append(F.when(low == high, low).otherwise(between).alias(name))
     return found.select(*keys, *mixed)
 
 
