@@ -103,3 +103,32 @@ def test_beta_and_gamma_closed_forms():
     assert tails.beta_area(0.3, 2, 1) == pytest.approx(0.09)
     assert tails.gamma_tail(2.0, 1) == pytest.approx(math.exp(-2))
     assert tails.chi2_upper(5.0, 2) == pytest.approx(math.exp(-2.5))
+
+
+@pytest.mark.parametrize("n", [1e5, 1e9, 1e10, 1e11, 1e12, 1e13])
+def test_areas_at_very_large_degrees_of_freedom(n):
+    assert tails.f_upper(1.0, n, n) == pytest.approx(0.5, abs=1e-9)
+    assert tails.t_two_sided(1.96, n) == pytest.approx(tails.normal_two_sided(1.96), rel=1e-4 if n < 1e6 else 1e-8)
+    assert tails.t_quantile(0.975, n) == pytest.approx(1.959963984540054, rel=2e-5 if n < 1e6 else 1e-8)
+    assert tails.chi2_upper(n + 1.96 * (2 * n) ** 0.5, n) == pytest.approx(0.0249979, rel=0.02 if n < 1e6 else 1e-3)
+    assert tails.f_upper(3.841458820694124, 1, n) == pytest.approx(0.05, rel=1e-3 if n < 1e6 else 1e-7)
+
+
+def test_integrals_meet_the_fractions(monkeypatch):
+    cases = [(0.49, 9000.0, 9100.0), (0.9999, 9500.0, 0.5), (0.3, 3.0, 9.0), (0.02, 0.5, 40.0), (0.999, 9000.0, 2.0)]
+    below = [tails.beta_area(*c) for c in cases] + [tails.gamma_tail(9100.0, 9000.0), tails.gamma_tail(8800.0, 9000.0)]
+    monkeypatch.setattr(tails, "LARGE", 0.0)
+    above = [tails.beta_area(*c) for c in cases] + [tails.gamma_tail(9100.0, 9000.0), tails.gamma_tail(8800.0, 9000.0)]
+    assert above == pytest.approx(below, rel=1e-7)
+
+
+def test_exact_2x2_against_whole_numbers():
+    from fractions import Fraction
+    from math import comb
+
+    for a, b, c, d in [(3, 1, 1, 3), (0, 5, 7, 2), (12, 40, 33, 8), (0, 0, 4, 6), (10, 10, 10, 10), (60, 2, 1, 55)]:
+        row, col, n = a + b, a + c, a + b + c + d
+        ways = [comb(col, x) * comb(n - col, row - x) for x in range(max(0, row + col - n), min(row, col) + 1)]
+        seen = comb(col, a) * comb(n - col, row - a)
+        want = float(Fraction(sum(w for w in ways if w <= seen * (1 + Fraction(1, 10**7))), comb(n, row)))
+        assert tails.fisher_two_sided(a, b, c, d) == pytest.approx(want, rel=1e-9)

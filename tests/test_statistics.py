@@ -330,10 +330,10 @@ def test_schedule_scores_match_a_power_iteration(spark):
     beaten = flow.sum(0) > 0
     flow[:, beaten] /= flow[:, beaten].sum(0)
     score = np.full(4, 0.25)
-    for _ in range(6):
+    for _ in range(400):
         score = 0.15 / 4 + 0.85 * (flow @ score + score[~beaten].sum() / 4)
-    made = {r["player"]: r["score"] for r in ratings.schedule_scores(spark.createDataFrame(rows, "w string, l string"), "w", "l", rounds=6).collect()}
-    assert [made[k] for k in names] == pytest.approx(score)
+    made = {r["player"]: r["score"] for r in ratings.schedule_scores(spark.createDataFrame(rows, "w string, l string"), "w", "l", tolerance=1e-6).collect()}
+    assert [made[k] for k in names] == pytest.approx(score, abs=1e-5)
 
 
 def test_local_level_with_one_team(spark):
@@ -342,3 +342,22 @@ def test_local_level_with_one_team(spark):
     levels = [r["level"] for r in made.orderBy("p").collect()]
     second = 4 + 3 / (3 + 4) * (1 - 4)
     assert levels[:2] == pytest.approx([4.0, second])
+
+
+def test_exact_tests_on_very_large_counts(spark):
+    """Counted cells of 10^10 rows: the exact tests agree with the normal limit."""
+    from touchline.functions import tails
+
+    cells = [("a", "x", 2_500_050_000), ("a", "y", 2_499_950_000), ("b", "x", 2_499_950_000), ("b", "y", 2_500_050_000)]
+    df = spark.createDataFrame(cells, "r string, c string, n long")
+    want = tails.normal_two_sided((4 * 50_000) / 1e5)
+    exact = contingency.fisher_2x2(df, "r", "c", (("a", "b"), ("x", "y")), weight="n").first()
+    assert exact["a"] == 2_500_050_000 and exact["p_value"] == pytest.approx(want, rel=1e-3)
+    drawn = contingency.fisher_monte_carlo(df, "r", "c", 2000, 3, weight="n").first()["p_value"]
+    assert drawn == pytest.approx(want, abs=0.02)
+
+
+def test_models_say_when_they_do_not_converge(spark):
+    rows = [(float(i), float(i > 20)) for i in range(40)]
+    with pytest.raises(Exception):
+        regression.logistic(spark.createDataFrame(rows, "x double, y double"), "y", ["x"])

@@ -106,10 +106,26 @@ def test_zip_of_csv(spark, tmp_path):
 def test_csv_with_counter_newlines_and_crlf(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_bytes('"","a b","n%"\r\n1,"two\nlines",NA\r\n2,é,3.5\r\n'.encode())
-    made = files.read_csv(spark, str(path), "`a b` STRING, `n%` DOUBLE", multi_line=True, has_row_numbers=True)
+    made = files.read_csv(spark, str(path), "`a b` STRING, `n%` DOUBLE", multi_line=True)
     assert rows(made) == [("two\nlines", None), ("é", 3.5)]
 
 
+def test_files_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "2018.csv").write_text("a,b\n1,x\n")
+    (tmp_path / "2019.csv").write_text("b,a,more\ny,2,q\n")
+    (tmp_path / "2020.csv").write_text("a\n3\n")
+    made = files.read_years(spark, str(tmp_path), "a INT, b STRING")
+    assert sorted(map(tuple, made.collect())) == [(1, "x", 2018), (2, "y", 2019), (3, None, 2020)]
+    with pytest.raises(ValueError):
+        files.read_csv(spark, str(tmp_path), "a INT, c STRING")
+
+
+def test_missing_mark_can_be_chosen(spark, tmp_path):
+    df = spark.createDataFrame([(1, "NA"), (2, None), (3, ' "x"\ny, ')], "i int, s string")
+    files.write_csv(df, str(tmp_path / "t"), missing="-")
+    assert rows(files.read_csv(spark, str(tmp_path / "t"), "s STRING, i INT", missing="-")) == [(' "x"\ny, ', 3), ("NA", 1), (None, 2)]
+
+
 def test_season_scan_reads_only_its_folders(spark, tmp_path):
     path = str(tmp_path / "s")
     tables.write_seasons(spark.range(40).select("id", (1990 + F.col("id") % 8).alias("season")), path, "season")

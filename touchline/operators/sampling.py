@@ -32,9 +32,19 @@ POISSON_STEPS = (
 
 def poisson_weight(seed: int, copy: Column, *ids: str) -> Column:
     """How often a row occurs in one bootstrap copy (Poisson with mean 1)."""
-    text = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids],
-                             copy.cast("string")))
-    uniform = F.conv(F.substring(text, 1, 8), 16, 10).cast("double") / float(2**32)
+    block = F.floor((copy - 1) / COPIES_PER_HASH)
+    return _weight_at(_block_hash(seed, block, ids), (copy - 1) % COPIES_PER_HASH)
+
+
+COPIES_PER_HASH = 8  # a hash has 128 bits, a weight takes 16 of them
+
+
+def _block_hash(seed: int, block: Column, ids: Sequence[str]) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids], block.cast("string")))
+
+
+def _weight_at(text: Column, place: Column) -> Column:
+    uniform = F.conv(F.substr(text, (place * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("double") / 65536.0
     weight = F.lit(0)
     for step in POISSON_STEPS:
         weight = weight + (uniform >= F.lit(step)).cast("int")
@@ -46,16 +56,19 @@ def bootstrap_means(
 ) -> DataFrame:
     """Mean of each bootstrap copy per group: ``copies`` rows per group.
 
-    Rows never leave their task in copies: each task adds up the weights of every
-    copy and only those partial sums are shuffled.
+    A row is hashed once for every eight copies and never leaves its task in copies: each
+    task adds up the weights of all copies and only those partial sums are shuffled.
     """
+    blocks = -(-copies // COPIES_PER_HASH)
     drawn = (
         df.where(F.col(value).isNotNull())
         .select(*keys, value, *[c for c in ids if c not in keys and c != value],
-                F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy"))
-        .withColumn("__w", poisson_weight(seed, F.col("copy"), *ids))
-    )
-    sums = drawn.groupBy(*keys, "copy").agg(
-        F.sum("__w").alias("n"), F.sum(F.col("__w") * F.col(value)).alias("__s")
+                F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__block"))
+        .withColumn("__hash", _block_hash(seed, F.col("__block"), ids))
     )
-    return sums.where(F.col("n") > 0).select(*keys, "copy", "n", (F.col("__s") / F.col("n")).alias("mean"))
+    drawn = drawn.withColumns({f"__w{i}": _weight_at(F.col("__hash"), F.lit(i)) for i in range(COPIES_PER_HASH)})
+    each = [F.struct(F.sum(f"__w{i}").alias("n"), F.sum(F.col(f"__w{i}") * F.col(value)).alias("__s")) for i in range(COPIES_PER_HASH)]
+    sums = drawn.groupBy(*keys, "__block").agg(F.array(*each).alias("__sums"))
+    sums = sums.select(*keys, "__block", F.posexplode("__sums").alias("__i", "__sum"))
+    sums = sums.select(*keys, (F.col("__block") * COPIES_PER_HASH + F.col("__i") + 1).cast("int").alias("copy"), "__sum.*")
+    return sums.where((F.col("n") > 0) & (F.col("copy") <= copies)).select(*keys, "copy", "n", (F.col("__s") / F.col("n")).alias("mean"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.numeric import ratio
-from touchline.functions.tails import area
+from touchline.functions.tails import area, hypergeometric_draw, log_factorial_gain
 from touchline.operators.joins import natural_left
 from touchline.operators.ordered import attach, scan
 from touchline.session import cut_lineage
@@ -93,12 +93,15 @@ def chi_square(df: DataFrame, row: str, column: str, weight: str | None = None,
     return test.withColumn("p_value", area("chi2", "chi_square", F.col("df").cast("double"))) if p_value else test
 
 
-def fisher_2x2(df: DataFrame, row: str, column: str, levels: tuple[tuple, tuple], keys: Sequence[str] = ()) -> DataFrame:
-    """Exact two-sided test and sample odds ratio per group; counts come from one pass."""
+def fisher_2x2(
+    df: DataFrame, row: str, column: str, levels: tuple[tuple, tuple], keys: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
+    """Exact two-sided test and sample odds ratio per group; counts (or summed weights) come from one pass."""
     (r1, r2), (c1, c2) = levels
 
     def count(r, c):
-        return F.count_if((F.col(row) == r) & (F.col(column) == c))
+        here = (F.col(row) == r) & (F.col(column) == c)
+        return F.coalesce(F.sum(F.when(here, F.col(weight))), F.lit(0)).cast("long") if weight else F.count_if(here)
 
     table = df.groupBy(*keys).agg(
         count(r1, c1).alias("a"), count(r1, c2).alias("b"), count(r2, c1).alias("c"), count(r2, c2).alias("d")
@@ -107,38 +110,47 @@ def fisher_2x2(df: DataFrame, row: str, column: str, levels: tuple[tuple, tuple]
     return table.withColumn("odds_ratio", odds).withColumn("p_value", area("fisher", "a", "b", "c", "d"))
 
 
-def fisher_monte_carlo(df: DataFrame, row: str, column: str, tables: int, seed: int) -> DataFrame:
+def fisher_monte_carlo(df: DataFrame, row: str, column: str, tables: int, seed: int, weight: str | None = None) -> DataFrame:
     """Exact test of an r x c table by random tables with the same margins.
 
-    Only the margins reach the driver; the random tables are drawn and scored in tasks.
+    Only the margins reach the driver; the random tables are drawn and scored in tasks. Tables are
+    scored by their distance from the expected one in log factorials, which keeps its digits for
+    counts of any size.
     """
-    cells = cell_counts(df, row, column)
+    cells = cell_counts(df, row, column, weight)
     rows, columns, _ = _margins(cells, row, column)
     row_n = _level_sizes(rows, row, "row_n")
     column_n = _level_sizes(columns, column, "column_n")
-    # log-probability of a table given its margins, up to a constant: - sum log n!
-    seen = cells.agg(F.sum(area("log_factorial", F.col("n").cast("double"))).alias("s"))
+    found = {(r[row], r[column]): int(r["n"]) for r in cells.collect()}
+    row_levels = [r[row] for r in rows.orderBy(row).collect()]
+    column_levels = [r[column] for r in columns.orderBy(column).collect()]
+    total = sum(row_n)
+    middle = np.array([[r * c // total for c in column_n] for r in row_n], dtype=float)
+    seen_table = np.array([[found.get((r, c), 0) for c in column_levels] for r in row_levels], dtype=float)
+    # log-probability of a table given its margins, up to a constant: - sum log n!, as gains over a middle table
+    seen = float(log_factorial_gain(middle, seen_table - middle).sum())
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import math
-
-        logs = np.vectorize(lambda v: math.lgamma(v + 1.0))
         for batch in batches:
             scores = []
             for number in batch["id"]:
                 random = np.random.default_rng([seed, int(number)])
-                left, score = np.array(column_n), 0.0
+                left, made = list(column_n), []
                 for size in row_n:
-                    taken = random.multivariate_hypergeometric(left, size, method="marginals")
-                    left = left - taken
-                    score += float(logs(taken).sum())
-                scores.append(score)
+                    rest, taken = sum(left), []
+                    for have in left:
+                        rest -= have
+                        one = hypergeometric_draw(random, have, rest, size) if size else 0
+                        taken.append(one)
+                        size -= one
+                    left = [a - b for a, b in zip(left, taken)]
+                    made.append(taken)
+                scores.append(float(log_factorial_gain(middle, np.array(made, dtype=float) - middle).sum()))
             yield pd.DataFrame({"score": scores})
 
     drawn = df.sparkSession.range(tables).mapInPandas(draw, "score double")
-    marked = attach(drawn, seen, [])
-    hits = F.count_if(F.col("score") >= F.col("s") - 1e-7)
-    return marked.agg(((hits + 1) / (F.count(F.lit(1)) + 1)).alias("p_value"), F.count(F.lit(1)).alias("tables"))
+    hits = F.count_if(F.col("score") >= seen - 1e-7)
+    return drawn.agg(((hits + 1) / (F.count(F.lit(1)) + 1)).alias("p_value"), F.count(F.lit(1)).alias("tables"))
 
 
 MAX_LEVELS = 10_000

@@ -71,22 +71,24 @@ def fleiss_kappa(rows: DataFrame, subject: str, category: str) -> DataFrame:
     """Agreement of several raters: observed, by chance, kappa.
 
     Subjects are rated equally often; those with one rating say nothing and are left out.
-    Two passes of map-side combined counts, no subject is gathered.
+    One pass of map-side combined counts: a subject keeps its counts by category in a small
+    array, of which the first entry also carries the subject's own agreement.
     """
-    cells = rows.where(F.col(category).isNotNull()).groupBy(subject, category)
-    cells = cells.agg(F.count(F.lit(1)).alias("__c"))
+    cells = rows.where(F.col(category).isNotNull()).groupBy(subject, category).agg(F.count(F.lit(1)).alias("__c"))
+    pairs = F.sum(F.col("__c") * (F.col("__c") - 1))
     subjects = cells.groupBy(subject).agg(
-        F.sum("__c").alias("__n"), F.sum(F.col("__c") * (F.col("__c") - 1)).alias("__pairs")
+        F.sum("__c").alias("__n"), pairs.alias("__pairs"), F.collect_list(F.struct(category, "__c")).alias("__cells")
     ).where(F.col("__n") > 1)
-    observed = subjects.agg(
-        F.count(F.lit(1)).alias("subjects"),
-        F.avg(F.col("__pairs") / (F.col("__n") * (F.col("__n") - 1))).alias("observed"),
-    )
-    shares = cells.join(subjects.select(subject), subject, "left_semi")
-    shares = shares.groupBy(category).agg(F.sum("__c").alias("__k"))
-    each = F.col("__k").cast("double")
-    chance = shares.agg((F.sum(each * each) / (F.sum(each) * F.sum(each))).alias("chance"))
-    table = observed.withColumn("chance", chance.scalar())
+    agreed = F.col("__pairs") / (F.col("__n") * (F.col("__n") - 1))
+    each = subjects.select(agreed.alias("__agreed"), F.posexplode("__cells").alias("__place", "__cell"))
+    once = F.col("__place") == 0
+    shares = each.groupBy(f"__cell.{category}").agg(
+        F.sum("__cell.__c").cast("double").alias("__k"), F.count_if(once).alias("__subjects"),
+        F.sum(F.when(once, F.col("__agreed"))).alias("__agreed"))
+    k = F.col("__k")
+    table = shares.agg(
+        F.sum("__subjects").alias("subjects"), (F.sum("__agreed") / F.sum("__subjects")).alias("observed"),
+        (F.sum(k * k) / (F.sum(k) * F.sum(k))).alias("chance"))
     return table.withColumn("kappa", F.try_divide(F.col("observed") - F.col("chance"), 1 - F.col("chance")))
 
 

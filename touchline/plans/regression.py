@@ -348,6 +348,15 @@ def ridge_path(
     return df.sparkSession.createDataFrame(rows, "penalty double, cv_mse double")
 
 
+MOST_STEPS, MOST_REWEIGHTINGS = 5000, 100
+
+
+def converged(model) -> None:
+    """An error if a fit of Spark ML ran out of steps."""
+    if model.summary.totalIterations >= MOST_STEPS:
+        raise ArithmeticError(f"{type(model).__name__} did not converge in {MOST_STEPS} steps")
+
+
 def lasso(df: DataFrame, response: str, predictors: Sequence[str], penalty: float) -> DataFrame:
     """Lasso by Spark ML on standardised predictors."""
     from pyspark.ml.feature import VectorAssembler
@@ -357,8 +366,9 @@ def lasso(df: DataFrame, response: str, predictors: Sequence[str], penalty: floa
         df.select(response, *predictors).dropna()
     )
     model = LinearRegression(
-        labelCol=response, elasticNetParam=1.0, regParam=penalty, standardization=True, tol=1e-9, maxIter=500
+        labelCol=response, elasticNetParam=1.0, regParam=penalty, standardization=True, tol=1e-9, maxIter=MOST_STEPS
     ).fit(ready)
+    converged(model)
     rows = [("(Intercept)", float(model.intercept)), *zip(predictors, map(float, model.coefficients))]
     return df.sparkSession.createDataFrame(rows, "term string, estimate double")
 
@@ -379,9 +389,12 @@ def logistic(df: DataFrame, label: str, predictors: Sequence[str]):
 
     cells = grouped_cells(df, label, predictors)
     ready = VectorAssembler(inputCols=list(predictors), outputCol="features").transform(cells)
-    return GeneralizedLinearRegression(
-        family="binomial", link="logit", labelCol=label, weightCol="__weight", tol=1e-10, maxIter=50
+    model = GeneralizedLinearRegression(
+        family="binomial", link="logit", labelCol=label, weightCol="__weight", tol=1e-10, maxIter=MOST_REWEIGHTINGS
     ).fit(ready)
+    if model.summary.numIterations >= MOST_REWEIGHTINGS:
+        raise ArithmeticError("the logistic model did not converge; the classes may be separable")
+    return model
 
 
 def logistic_table(spark: SparkSession, model, predictors: Sequence[str]) -> DataFrame:
@@ -392,7 +405,7 @@ def logistic_table(spark: SparkSession, model, predictors: Sequence[str]) -> Dat
     tests = [summary.tValues[-1], *summary.tValues[:-1]]
     areas = [summary.pValues[-1], *summary.pValues[:-1]]
     rows = [
-        (term, b, math.exp(min(b, 700.0)), float(se), float(z), float(p))
+        (term, b, math.exp(b) if b < 709 else math.inf, float(se), float(z), float(p))
         for term, b, se, z, p in zip(("(Intercept)", *predictors), estimates, errors, tests, areas)
     ]
     return spark.createDataFrame(
@@ -442,7 +455,8 @@ def additive_logistic(df: DataFrame, label: str, spans: dict[str, tuple[float, f
         cells, made = spline_columns(cells, column, *span)
         names += made
     ready = VectorAssembler(inputCols=names, outputCol="features").transform(cells)
-    model = LogisticRegression(labelCol=label, weightCol="__weight", regParam=penalty, tol=1e-9, maxIter=300).fit(ready)
+    model = LogisticRegression(labelCol=label, weightCol="__weight", regParam=penalty, tol=1e-9, maxIter=MOST_STEPS).fit(ready)
+    converged(model)
     return model, names
 
 
@@ -457,11 +471,13 @@ def class_model(df: DataFrame, label: str, predictors: Sequence[str]):
 
     index = StringIndexer(inputCol=label, outputCol="__label", stringOrderType="alphabetAsc")
     features = VectorAssembler(inputCols=list(predictors), outputCol="features")
-    classifier = LogisticRegression(labelCol="__label", family="multinomial", weightCol="__weight", tol=1e-9)
+    classifier = LogisticRegression(labelCol="__label", family="multinomial", weightCol="__weight", tol=1e-9, maxIter=MOST_STEPS)
     cells = df.select(label, *predictors).dropna().groupBy(label, *predictors).agg(
         F.count(F.lit(1)).cast("double").alias("__weight")
     )
-    return Pipeline(stages=[index, features, classifier]).fit(cells)
+    model = Pipeline(stages=[index, features, classifier]).fit(cells)
+    converged(model.stages[-1])
+    return model
 
 
 def class_probabilities(model, df: DataFrame, label: str) -> DataFrame:

@@ -146,3 +146,29 @@ def tolerant(
             yield pd.DataFrame(rows, columns=[key, *fields, error])
 
     return df.mapInPandas(apply, f"{key} {kind}, {schema}, {error} string")
+
+
+def tolerant_groups(
+    df: DataFrame, keys: list[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: str, error: str = "error"
+) -> DataFrame:
+    """Apply a table function to each group; a failing group gives one row with its keys and the error name.
+
+    The function needs its whole group (a game, an order) in one task: use it for groups that
+    are small by their nature.
+    """
+    from pyspark.sql import types as T
+
+    names = T.StructType.fromDDL(schema).names
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+
+    def apply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        try:
+            made = function(rows)[names].astype(object)
+            made[error] = None
+        except Exception as problem:  # a bad group must not stop the job
+            made = pd.DataFrame({n: [None] for n in names} | {error: [type(problem).__name__]}, dtype=object)
+        for place, (name, value) in enumerate(zip(keys, key)):
+            made.insert(place, name, pd.Series([value] * len(made), index=made.index, dtype=object))
+        return made
+
+    return df.groupBy(*keys).applyInPandas(apply, f"{kinds}, {schema}, {error} string")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from touchline.functions.text import piece
@@ -163,7 +164,7 @@ def lineup_matrix(spark, folder):
 @query(f"""WITH {MATRIX_SQL} SELECT s.game_id, s.stint_id, CAST(n_pos AS BIGINT) AS n_pos, player, value
   FROM stints s LEFT JOIN matrix USING (game_id, stint_id)""")
 def lineup_matrix_with_context(spark, folder):
-    made = _stints(spark, folder)
+    made = cut_lineage(_stints(spark, folder))  # it feeds both sides
     matrix = stints.signed_lineups(made, ["game_id", "stint_id"], "home_lineup", "away_lineup")
     joined = stints.design_with_context(made, matrix, ["game_id", "stint_id"])
     return joined.select("game_id", "stint_id", "n_pos", "player", "value")
@@ -179,6 +180,20 @@ def tolerant_apply(spark, folder):
     return parsed.withColumn("k", F.col("k").cast("long"))
 
 
+@query("""SELECT l_orderkey, CASE WHEN count(*) > 1 THEN count(*) END AS lines, CASE WHEN count(*) > 1 THEN CAST(max(l_quantity) - min(l_quantity) AS BIGINT) END AS width,
+  CASE WHEN count(*) = 1 THEN 'ValueError' END AS error FROM lineitem GROUP BY l_orderkey""")
+def tolerant_groups(spark, folder):
+    """A function of each order's lines that fails for orders of one line."""
+
+    def width(rows):
+        if len(rows) < 2:
+            raise ValueError("one line has no width")
+        return pd.DataFrame({"lines": [len(rows)], "width": [int(rows["l_quantity"].max() - rows["l_quantity"].min())]})
+
+    line = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
+    return stints.tolerant_groups(line, ["l_orderkey"], width, "lines long, width long")
+
+
 def _team_plays(spark, folder):
     """Line items as plays: season, supplier (offence), nation of the buyer (defence)."""
     line = table(spark, folder, "lineitem")

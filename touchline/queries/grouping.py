@@ -182,8 +182,8 @@ def capped_groups(spark, folder):
 
 
 BOOTSTRAP_SQL = f"""WITH drawn AS (SELECT o_orderpriority, copy, o_totalprice,
-    CAST('0x' || substr(md5('7|' || o_orderkey || '|' || copy), 1, 8) AS BIGINT) / 4294967296.0 AS u
-    FROM orders, range(1, 9) AS r(copy)),
+    CAST('0x' || substr(md5('7|' || o_orderkey || '|' || ((copy - 1) // 8)), 1 + 4 * ((copy - 1) % 8), 4) AS BIGINT) / 65536.0 AS u
+    FROM orders, range(1, 201) AS r(copy)),
   weighted AS (SELECT *, {' + '.join(f'CAST(u >= {s!r} AS INTEGER)' for s in POISSON_STEPS)} AS w FROM drawn)
   SELECT o_orderpriority, CAST(copy AS INTEGER) AS copy, CAST(sum(w) AS BIGINT) AS n,
     round(sum(w * o_totalprice) / sum(w), 4) AS mean FROM weighted GROUP BY ALL"""
@@ -192,5 +192,5 @@ BOOTSTRAP_SQL = f"""WITH drawn AS (SELECT o_orderpriority, copy, o_totalprice,
 @query(BOOTSTRAP_SQL)
 def bootstrap_copies(spark, folder):
     orders = table(spark, folder, "orders")
-    means = bootstrap_means(orders, ["o_orderpriority"], "o_totalprice", ["o_orderkey"], 8, 7)
+    means = bootstrap_means(orders, ["o_orderpriority"], "o_totalprice", ["o_orderkey"], 200, 7)
     return rounded(means, "mean")

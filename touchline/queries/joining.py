@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from touchline.operators import joins
 from touchline.plans.games import game_outcomes
 from touchline.queries.common import GAMES_SQL, games, query
+from touchline.session import cut_lineage
 from touchline.sources.tables import in_years, table
 
 
-@query("""SELECT o_orderkey, o_orderstatus, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_totalprice > 300000""")
+@query("""SELECT o_orderkey, o_orderstatus, c_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey""")
 def inner_join_names(spark, folder):
-    orders = table(spark, folder, "orders").where(F.col("o_totalprice") > 300000)
+    orders = table(spark, folder, "orders")
     customer = table(spark, folder, "customer").withColumnRenamed("c_custkey", "o_custkey")
     return orders.join(customer, "o_custkey").select("o_orderkey", "o_orderstatus", "c_name", "c_mktsegment")
 
@@ -144,8 +144,8 @@ def join_sizes(spark, folder):
 def both_sides_lookup(spark, folder):
     """Games with the season table of both teams."""
     played = game_outcomes(games(spark, folder), "home", "away", "home_score", "away_score")
-    paired = played.groupBy("season", "home", "away").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("score_diff").alias("score_diff"))
+    paired = cut_lineage(played.groupBy("season", "home", "away").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("score_diff").alias("score_diff")))
     teams = paired.groupBy("season", F.col("home").alias("team")).agg(F.sum("n").alias("home_games"))
     return joins.both_sides(paired, teams, ["season", "home"], ["season", "away"], ["season", "team"])
 

@@ -121,7 +121,7 @@ GOLF = ", ".join(f"""CAST(p_partkey % {i + 7} AS DOUBLE) AS "{n}\"""" for i, n i
     CAST(p_partkey % 5 AS INTEGER) AS wins, CAST(p_partkey % 6 AS INTEGER) AS podiums, CAST(p_partkey % 11 AS INTEGER) AS top_10s,
     CAST(p_partkey % 13 AS INTEGER) AS top_20s, CAST(p_partkey % 40 + 0.5 AS DOUBLE) AS avg_place, CAST(p_partkey % 100 AS DOUBLE) AS "top_10%",
     CAST(p_partkey % 90 AS DOUBLE) AS "top_20%", CAST(p_partkey * 1000 AS DOUBLE) AS total_earnings, CAST(3000 + p_partkey AS DOUBLE) AS total_strokes
-  FROM part WHERE p_size > 10""")
+  FROM part""")
 def disc_golf_season(spark, folder):
     """Two published tables with two header rows each, joined by player."""
     key = F.col("p_partkey")
@@ -138,7 +138,7 @@ def disc_golf_season(spark, folder):
             (F.col("r_regionkey") + 1).cast("long").alias("row_no"), *[F.lit("head").alias(f"X{i}") for i in range(1, len(columns) + 1)])
         return heads.union(body)
 
-    return leagues.disc_golf_table(sheet(first, part), sheet(second, part.where("p_size > 10")))
+    return leagues.disc_golf_table(sheet(first, part), sheet(second, part))
 
 
 def _skier_sql(no, gap1, gap2, total):

@@ -49,7 +49,7 @@ def numbered_csv_round_trip(spark, folder):
     path = scratch_dir(spark, "orders-numbered")
     orders = _holed(_orders(spark, folder))
     files.write_csv(orders.select(F.col("o_orderkey").alias("_row"), "*"), path)
-    return files.read_csv(spark, path, ORDER_SCHEMA, has_row_numbers=True)
+    return files.read_csv(spark, path, ORDER_SCHEMA)
 
 
 @query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -68,6 +68,53 @@ def yearly_files(spark, folder):
     )
 
 
+@query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey, o_custkey,
+  CASE WHEN year(o_orderdate) % 2 = 0 THEN o_orderstatus END AS o_orderstatus FROM orders""")
+def yearly_files_by_name(spark, folder):
+    """Years with the columns in another order, and years that lack one."""
+    path = scratch_dir(spark, "orders-mixed")
+    orders = _orders(spark, folder).withColumn("year", F.year("o_orderdate"))
+    even, odd = orders.where("year % 2 = 0"), orders.where("year % 2 = 1")
+    for rows, columns in ((even, ["o_custkey", "o_orderstatus", "o_orderkey"]), (odd, ["o_orderkey", "o_totalprice", "o_custkey"])):
+        rows.select("year", *columns).write.mode("append").partitionBy("year").option("header", True).csv(path)
+    stacked = files.read_years(spark, f"{path}/year=*", "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING", r"year=(\d{4})")
+    return stacked.select("year", "o_orderkey", "o_custkey", "o_orderstatus")
+
+
+BROKEN_SQL = "SELECT o_orderkey, o_orderstatus || chr(10) || '\"' || o_orderpriority || '\", NA' || chr(10) AS note FROM orders"
+
+
+def _broken(spark, folder):
+    note = F.concat("o_orderstatus", F.lit('\n"'), "o_orderpriority", F.lit('", NA\n'))
+    return _orders(spark, folder).select("o_orderkey", note.alias("note"))
+
+
+@query(BROKEN_SQL)
+def csv_with_line_breaks(spark, folder):
+    """Texts with line breaks and quotes survive writing and reading, plain and gzipped."""
+    plain, packed = scratch_dir(spark, "orders-breaks"), scratch_dir(spark, "orders-breaks-gz")
+    rows = _broken(spark, folder)
+    files.write_csv(rows.where("o_orderkey % 2 = 0"), plain)
+    files.write_csv(rows.where("o_orderkey % 2 = 1"), packed, compression="gzip")
+    return files.read_csv(spark, [plain, packed], "o_orderkey BIGINT, note STRING")
+
+
+@query(BROKEN_SQL)
+def zip_with_line_breaks(spark, folder):
+    """Zip members whose records span lines, half of them with the columns in another order."""
+
+    def pack(batches):
+        for batch in batches:
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+                half = len(batch) // 2
+                archive.writestr("a.csv", batch[:half].to_csv(index=False))
+                archive.writestr("b.csv", batch[half:][["note", "o_orderkey"]].to_csv())
+            yield pd.DataFrame({"content": [held.getvalue()]})
+
+    return files.zip_csv(_broken(spark, folder).mapInPandas(pack, "content binary"), "o_orderkey BIGINT, note STRING")
+
+
 @query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS season, o_orderstatus, count(*) AS n
   FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1998 GROUP BY ALL""")
 def season_scan(spark, folder):

@@ -188,5 +188,5 @@ def odds_ratios(spark, folder):
     round(quantile_cont(mean, 0.05), 4) AS low, round(quantile_cont(mean, 0.95), 4) AS high FROM copies GROUP BY 1""")
 def bootstrap_intervals(spark, folder):
     orders = table(spark, folder, "orders")
-    made = inference.bootstrap_interval(orders, ["o_orderpriority"], "o_totalprice", ["o_orderkey"], 8, 7, 0.9)
+    made = inference.bootstrap_interval(orders, ["o_orderpriority"], "o_totalprice", ["o_orderkey"], 200, 7, 0.9)
     return rounded(made, "center", "se", "low", "high")

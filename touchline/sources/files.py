@@ -1,9 +1,12 @@
 """Delimited, gzip, zip and JSON files."""
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -13,44 +16,77 @@ from pyspark.sql import types as T
 LINES_PER_BATCH = 10_000
 
 
+def _headers(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first record. Only that record is read of each file."""
+    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path")
+    names = [r["path"] for r in listed.toLocalIterator()]
+
+    def header(name: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(name).columns)
+
+    with ThreadPoolExecutor(16) as pool:
+        found = list(pool.map(header, names))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for name, columns in zip(names, found):
+        if columns:
+            by_header.setdefault(columns, []).append(name)
+    return by_header
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: T.StructType | str,
-    multi_line: bool = False,
-    has_row_numbers: bool = False,
+    multi_line: bool = True,
     spread_over: int | None = None,
+    missing: str = "NA",
+    path_column: str | None = None,
 ) -> DataFrame:
-    """Headed CSV files, ``NA`` and empty as missing; one type per column over all files.
+    """Headed CSV files as the columns of ``schema``, matched by name file by file.
 
-    ``has_row_numbers`` drops a leading unnamed counter column. ``spread_over``
-    shuffles gzip input, which Spark reads as one task per file.
+    Files may hold the columns in any order, lack some (missing there) or have others, such
+    as an unnamed row counter (dropped); a column that no file has is an error. A value equal to ``missing`` and an
+    empty one are missing. Records may hold line breaks in quotes; files known to have
+    none can be split over tasks with ``multi_line=False``. ``spread_over`` shuffles gzip input, which
+    Spark reads as one task per file. ``path_column`` adds each row's file.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    if has_row_numbers:
-        schema = T.StructType([T.StructField("__row", T.LongType()), *schema.fields])
-    reader = spark.read.schema(schema).option("header", True).option("nullValue", "NA")
-    # the header is not matched to the schema: the counter column has no name
-    reader = reader.option("enforceSchema", True).option("multiLine", multi_line)
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
-    if has_row_numbers:
-        df = df.drop("__row")
+    groups = _headers(spark, paths, multi_line)
+    absent = [n for n in schema.names if groups and not any(n in header for header in groups)]
+    if absent:
+        raise ValueError(f"no file has the columns {absent}")
+    parts = []
+    for header, names in groups.items():
+        own = T.StructType([schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in header])
+        reader = spark.read.schema(own).option("header", True).option("nullValue", missing).option("escape", '"')
+        # every header was matched by name above
+        part = reader.option("enforceSchema", True).option("multiLine", multi_line).csv(names)
+        columns = [F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        parts.append(part.select(*columns, *([F.col("_metadata.file_path").alias(path_column)] if path_column else [])))
+    if not parts:
+        fields = [*schema.fields, *([T.StructField(path_column, T.StringType())] if path_column else [])]
+        return spark.createDataFrame([], T.StructType(fields))
+    df = reduce(DataFrame.union, parts)
     return df.repartition(spread_over) if spread_over else df
 
 
-def read_years(spark: SparkSession, path: str, schema: T.StructType | str, pattern: str = r"(\d{4})") -> DataFrame:
-    """One file or folder per year, read together; the year comes from the path."""
-    reader = spark.read.schema(schema).option("header", True).option("nullValue", "NA")
-    df = reader.csv(path)
-    tail = F.substring_index(F.col("_metadata.file_path"), "/", -2)
-    return df.select("*", F.regexp_extract(tail, pattern, 1).cast("int").alias("year"))
+def read_years(
+    spark: SparkSession, path: str, schema: T.StructType | str, pattern: str = r"(\d{4})", multi_line: bool = True, missing: str = "NA"
+) -> DataFrame:
+    """One file or folder per year, columns matched by name in each; the year comes from the path."""
+    df = read_csv(spark, path, schema, multi_line, missing=missing, path_column="__path")
+    tail = F.substring_index(F.col("__path"), "/", -2)
+    return df.withColumn("year", F.regexp_extract(tail, pattern, 1).cast("int")).drop("__path")
 
 
-def write_csv(df: DataFrame, path: str, compression: str | None = None, one_file: bool = False) -> None:
-    """Headed CSV, missing as ``NA``. ``one_file`` is for small published tables."""
+def write_csv(df: DataFrame, path: str, compression: str | None = None, one_file: bool = False, missing: str = "NA") -> None:
+    """Headed CSV, missing values as ``missing`` (choose a mark that no text equals).
+
+    ``one_file`` is for small published tables."""
     out = df.coalesce(1) if one_file else df
-    writer = out.write.option("header", True).option("nullValue", "NA")
+    writer = out.write.option("header", True).option("nullValue", missing).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(path)
@@ -115,8 +151,40 @@ def zip_lines(archives: DataFrame, member: str = ".csv") -> DataFrame:
     )
 
 
-def zip_csv(archives: DataFrame, schema: str, member: str = ".csv") -> DataFrame:
-    """Headed CSV members of zip archives as typed rows (one record per line)."""
-    body = zip_lines(archives, member).where(F.col("line_no") > 0)
-    parsed = F.from_csv("line", schema, {"nullValue": "NA"})
-    return body.select(parsed.alias("r")).select("r.*")
+def zip_csv(archives: DataFrame, schema: T.StructType | str, member: str = ".csv", missing: str = "NA") -> DataFrame:
+    """Headed CSV members of zip archives as typed rows, columns matched by name in each member.
+
+    Records may hold line breaks in quotes. One task per archive, streamed in batches. A value
+    that is not of its column's type is missing.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    names = schema.names
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for content in batch["content"]:
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for name in archive.namelist():
+                        if name.endswith(member):
+                            with io.TextIOWrapper(archive.open(name), encoding="utf-8-sig", newline="") as text:
+                                yield from records(csv.reader(text))
+
+    def records(reader) -> Iterator[pd.DataFrame]:
+        header = next(reader, [])
+        places = [header.index(n) if n in header else None for n in names]
+        rows: list[list] = []
+        for record in reader:
+            if not record:
+                continue
+            values = [record[p] if p is not None and p < len(record) else None for p in places]
+            rows.append([None if v in ("", missing) else v for v in values])
+            if len(rows) == LINES_PER_BATCH:
+                yield pd.DataFrame(rows, columns=names, dtype=object)
+                rows = []
+        if rows:
+            yield pd.DataFrame(rows, columns=names, dtype=object)
+
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = archives.select("content").mapInPandas(unpack, texts)
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
