@@ -279,7 +279,7 @@ def contaminated(seed=7):
     return texts, items
 
 
-@pytest.mark.parametrize("most", [decontamination.MOST_WINDOWS, 20])
+@pytest.mark.parametrize("most", [decontamination.MOST_WINDOWS, 120])
 def test_verdicts_match_plain_search(spark, most):
     texts, items = contaminated()
     want = plain_verdicts(texts, items)

@@ -17,6 +17,7 @@ table gives no rows, an empty benchmark no hits.
 """
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 
@@ -217,23 +218,28 @@ def clean_documents(df: DataFrame, benchmark: DataFrame, text: str = "text", sha
 
 def cut_spans(df: DataFrame, benchmark: DataFrame, text: str = "text", **settings) -> DataFrame:
     """All columns, with every run of hit words cut out of the text (from its first to its last character)."""
-    name, new = free_name(df, "benchmark_hits"), free_name(df, "benchmark_cut")
+    name, key = free_name(df, "benchmark_hits"), free_name(df, "benchmark_runs")
     found = hits(df, benchmark, df.columns, text, name=name, **settings)
+    clean = found.where(F.size(f"{name}.runs") == 0).select(*[F.col(f"`{c}`") for c in df.columns])
+    # only texts with hits go to the workers again; runs travel beside their text
+    dirty = found.where(F.size(f"{name}.runs") > 0).withColumn(key, F.to_json(F.struct(F.col(f"`{text}`").alias("t"), F.col(f"{name}.runs").alias("r"))))
 
-    @F.pandas_udf("string")
-    def cut(texts, runs):
-        return texts.combine(runs, _without)
+    def work():
+        def cut(pair):
+            held = json.loads(pair)
+            return _without(held["t"], [(r["first"], r["after"]) for r in held["r"]])
+
+        return lambda pairs: [[cut(p) for p in pairs]]
 
-    changed = F.when(F.size(f"{name}.runs") > 0, cut(F.col(f"`{text}`"), F.col(f"{name}.runs"))).otherwise(F.col(f"`{text}`"))
-    return found.withColumn(new, changed).select(*[(F.col(new) if c == text else F.col(f"`{c}`")).alias(c) for c in df.columns])
+    others = [c for c in df.columns if c != text]
+    mended = per_text(dirty, key, others, [StructField(text, StringType())], work).select(*[F.col(f"`{c}`") for c in df.columns])
+    return clean.union(mended)
 
 
-def _without(text, runs):
-    if text is None or not len(runs):
-        return text
+def _without(text: str, runs: Sequence[tuple[int, int]]) -> str:
     spans = [m.span() for m in WORDS.finditer(text)]
     out, at = [], 0
-    for first, after in _merged([(int(r["first"]), int(r["after"])) for r in runs]):
+    for first, after in _merged(list(runs)):
         out.append(text[at:spans[first][0]])
         at = spans[after - 1][1]
     return "".join([*out, text[at:]])

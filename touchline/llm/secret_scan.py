@@ -25,11 +25,11 @@ from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from touchline.llm.batches import free_name, per_text
+from touchline.llm.batches import per_text
 from touchline.session import cut_lineage, scratch_dir
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_~.-])(?=[A-Za-z+/_~.-]*[0-9])[A-Za-z0-9+/_~.-]{8,}={0,2}")
@@ -223,29 +223,33 @@ def findings(df: DataFrame, model, keep: Sequence[str], text: str = "text", limi
     return per_text(df, text, keep, [StructField(name, FINDING)], work)
 
 
-def covered(text: str, name: str, mask: str = "[SECRET]") -> Column:
-    """The text with every secret of the findings column replaced."""
-
-    @F.pandas_udf(StringType())
-    def replaced(texts, found):
-        return texts.combine(found, lambda t, fs: _covered(t, fs, mask))
-
-    return replaced(F.col(f"`{text}`"), F.filter(F.col(name), lambda f: f["secret"]))
-
-
-def _covered(text, spans, mask):
+def covered(text: str, spans: Sequence[tuple[int, int]], mask: str) -> str:
+    """The text with the spans, in order and apart, replaced."""
     out, at = [], 0
-    for span in spans:
-        out += [text[at:span["start"]], mask]
-        at = span["end"]
+    for start, end in spans:
+        out += [text[at:start], mask]
+        at = end
     return "".join([*out, text[at:]])
 
 
 def without_secrets(df: DataFrame, model=None, text: str = "text", mask: str = "[SECRET]", limit: float = 0.5) -> DataFrame:
     """All rows and columns, with secrets replaced in the text. Without a model it is trained on rule findings."""
-    model = model or fitted(rule_findings(df, text))
-    name, new = free_name(df, "secret_findings"), free_name(df, "secret_text")
-    found = findings(df, model, df.columns, text, limit, name)
-    any_secret = F.exists(F.col(name), lambda f: f["secret"])
-    changed = F.when(any_secret, covered(text, name, mask)).otherwise(F.col(f"`{text}`"))
-    return found.withColumn(new, changed).select(*[(F.col(new) if c == text else F.col(f"`{c}`")).alias(c) for c in df.columns])
+    shared = df.sparkSession.sparkContext.broadcast(model or fitted(rule_findings(df, text)))
+
+    def work():
+        forest = shared.value
+
+        def compute(texts):
+            made = [scanned(t) for t in texts]
+            rows = np.array([f for _, fs in made for f in fs]).reshape(-1, len(FEATURES))
+            secret = iter((forest.probability(rows) >= limit).tolist())
+            out = []
+            for t, (spans, _) in zip(texts, made):
+                kept = [s for s in spans if next(secret)]
+                out.append(covered(t, kept, mask) if kept else t)
+            return [out]
+
+        return compute
+
+    others = [c for c in df.columns if c != text]
+    return per_text(df, text, others, [StructField(text, StringType())], work).select(*[F.col(f"`{c}`") for c in df.columns])
