@@ -180,18 +180,19 @@ def tolerant_apply(spark, folder):
     return parsed.withColumn("k", F.col("k").cast("long"))
 
 
-@query("""SELECT l_orderkey, CASE WHEN count(*) > 1 THEN count(*) END AS lines, CASE WHEN count(*) > 1 THEN CAST(max(l_quantity) - min(l_quantity) AS BIGINT) END AS width,
-  CASE WHEN count(*) = 1 THEN 'ValueError' END AS error FROM lineitem GROUP BY l_orderkey""")
+@query("""SELECT l_suppkey, CASE WHEN count(*) % 2 = 0 THEN count(*) END AS lines,
+  CASE WHEN count(*) % 2 = 0 THEN CAST(max(l_quantity) - min(l_quantity) AS BIGINT) END AS width,
+  CASE WHEN count(*) % 2 = 1 THEN 'ValueError' END AS error FROM lineitem GROUP BY l_suppkey""")
 def tolerant_groups(spark, folder):
-    """A function of each order's lines that fails for orders of one line."""
+    """A function of each supplier's lines that fails for an odd number of them."""
 
     def width(rows):
-        if len(rows) < 2:
-            raise ValueError("one line has no width")
+        if len(rows) % 2:
+            raise ValueError("the lines do not pair up")
         return pd.DataFrame({"lines": [len(rows)], "width": [int(rows["l_quantity"].max() - rows["l_quantity"].min())]})
 
-    line = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity")
-    return stints.tolerant_groups(line, ["l_orderkey"], width, "lines long, width long")
+    line = table(spark, folder, "lineitem").select("l_suppkey", "l_quantity")
+    return stints.tolerant_groups(line, ["l_suppkey"], width, "lines long, width long")
 
 
 def _team_plays(spark, folder):
