@@ -199,3 +199,9 @@ def test_task_helpers_need_no_installed_package(tmp_path):
             "print(tables('<table><tr><td>a<td>b</table>'), round(area(2.0, 10.0), 6))")
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "[[['a', 'b']]] 0.073388", done.stderr
+
+
+def test_a_row_that_only_begins_like_the_header_stays(spark):
+    df = spark.createDataFrame([(0, "Name", "Pos"), (1, "Name", "x"), (2, "Name", "Pos"), (3, None, "y")], "n int, X1 string, X2 string")
+    made = reshape.promote_header(df, "n")
+    assert made.columns == ["n", "Name", "Pos"] and rows(made) == [(1, "Name", "x"), (3, None, "y")]

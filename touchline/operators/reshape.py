@@ -71,8 +71,10 @@ def promote_header(df: DataFrame, row: str, keep: Sequence[str] = (), first: int
         names = df.agg(F.min_by(cells, F.col(row))).first()[0]
     else:
         names = df.where(F.col(row) == first).select(cells).first()[0]
-    lead = F.col(f"`{data[0]}`")
-    kept = df.where(lead.isNull() | (lead.cast("string") != F.lit(names[0])))
+    repeated = F.lit(True)
+    for c, n in zip(data, names):
+        repeated = repeated & F.col(f"`{c}`").cast("string").eqNullSafe(F.lit(n))
+    kept = df.where(~repeated)
     return kept.select(*keep, row, *[F.col(f"`{c}`").alias(n) for c, n in zip(data, names)])
 
 
