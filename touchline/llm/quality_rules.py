@@ -40,6 +40,7 @@ RULES = {
 STEPS = 200
 RISK, DOUBT, WEIGHT = 0.005, 0.05, 10
 MANY_WORDS = 100_000
+FEW = 10_000
 
 
 def repeated_words(words: list[bytes], width: int = 3) -> int:
@@ -171,18 +172,22 @@ def cutoffs(
         return pd.DataFrame({k: pd.Series([v], dtype=object) for k, v in row.items()})
 
     kind = table.schema["stratum"].dataType.simpleString()
-    return table.groupBy("stratum", "rule").applyInPandas(choose, f"stratum {kind}, rule string, cutoff int, n_good long, n_lost long, bound double").where(
-        F.col("cutoff").isNotNull())
+    found = table.groupBy("stratum", "rule").applyInPandas(choose, f"stratum {kind}, rule string, cutoff int, n_good long, n_lost long, bound double")
+    return cut_lineage(found.where(F.col("cutoff").isNotNull()))
 
 
 def judged(counted: DataFrame, chosen: DataFrame, stratum: str = "lang", counts: str = "counts", name: str = "kept") -> DataFrame:
-    """The counted documents with a verdict: false if the base rules fail or a certified cutoff is passed."""
+    """The counted documents with a verdict: false if the base rules fail or a certified cutoff is passed.
+
+    Up to FEW cutoffs (they are counted) go to the rows, so that texts stay in place; more are joined by shuffle.
+    """
     key, limits = free_name(counted, "rule_stratum"), free_name(counted, "rule_limits")
     wide = chosen.groupBy(F.col("stratum").alias(key)).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(limits))
     above = [F.coalesce(level(counts, r) > F.col(limits)[r], F.lit(False)) for r in RULES]
     kept = ~base_failed(counts)
     for a in above:
         kept = kept & ~a
+    wide = F.broadcast(wide) if chosen.limit(FEW + 1).count() <= FEW else wide
     joined = counted.join(wide, F.col(f"`{stratum}`").eqNullSafe(F.col(key)), "left")
     return joined.withColumn(name, kept).drop(key, limits)
 
@@ -194,4 +199,4 @@ def kept_documents(
     chosen = cutoffs(measures(df, list(dict.fromkeys([id_column, stratum])), text), labels, id_column, stratum, **settings)
     name, verdict = free_name(df, "quality_counts"), free_name(df, "quality_kept")
     counted = measures(df, df.columns, text, name)
-    return judged(counted, cut_lineage(chosen), stratum, name, verdict).where(F.col(verdict)).select(*[F.col(f"`{c}`") for c in df.columns])
+    return judged(counted, chosen, stratum, name, verdict).where(F.col(verdict)).select(*[F.col(f"`{c}`") for c in df.columns])
