@@ -10,7 +10,17 @@ from pyspark.sql.types import StructField, StructType
 
 from touchline.sources.tables import table
 
-CHUNK_BYTES = 8_000_000
+CHUNK_BYTES = 4_000_000
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """Limit the session's Arrow batches to CHUNK_BYTES, if they are larger: rows with whole texts are
+    large, and both ends of the exchange hold several batches of every running task."""
+    conf = df.sparkSession.conf
+    if int(str(conf.get(BATCH_KEY)).rstrip("b")) > CHUNK_BYTES:
+        conf.set(BATCH_KEY, str(CHUNK_BYTES))
+    return df
 
 
 def pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -48,32 +58,9 @@ def per_text(
                 made = compute(part.column(text).to_pylist())
                 arrays = [part.column(c) for c in keep] + [pa.array(v, t) for v, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
+            pa.default_memory_pool().release_unused()
 
-    return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
-
-
-def per_row_many(
-    df: DataFrame, text: str, keep: Sequence[str], fields: Sequence[StructField], work: Callable[[], Callable]
-) -> DataFrame:
-    """Like ``per_text`` with any number of rows for each text: ``work()`` returns a function from a list
-    of texts to (row positions, one list for each field)."""
-    schema = StructType([df.schema[c] for c in keep] + list(fields))
-    types = [_arrow(f.dataType) for f in fields]
-    names = schema.names
-    columns = list(dict.fromkeys([*keep, text]))
-
-    def run(batches):
-        compute = work()
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for part in pieces(batch, text):
-                places, made = compute(part.column(text).to_pylist())
-                at = pa.array(places, pa.int64())
-                arrays = [part.column(c).take(at) for c in keep] + [pa.array(v, t) for v, t in zip(made, types)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
+    return bound_batches(df).select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(run, schema)
 
 
 def _arrow(kind):

@@ -26,7 +26,7 @@ from touchline.llm.batches import per_text
 PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # fixed values: the white space of that pattern (Unicode White_Space)
 SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 SEEN = 1 << 20
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,8 +176,7 @@ class PrefixCounter:
     def know(self, words: set[str]) -> None:
         new = sorted(w for w in words if w not in self.tables)
         if len(self.tables) + len(new) > REMEMBERED:
-            self.tables.clear()
-            new = sorted(words)
+            self.tables = {w: self.tables[w] for w in words if w in self.tables}
         self.tables.update(zip(new, self.tables_of(new)))
 
     def general(self, text: str) -> bytes:
@@ -206,7 +205,7 @@ class PrefixCounter:
         """Remember the tables of all pieces between single spaces, each with the space before it."""
         found = {p for t in texts for p in t.split(" ")}
         if len(self.pieces) + len(found) > REMEMBERED:
-            self.pieces = {p: self.pieces[p] for p in found & self.pieces.keys()}
+            self.pieces = {p: self.pieces[p] for p in found if p in self.pieces}
         words: dict[str, list[str]] = {}
         for piece in found:
             if piece in self.pieces:
