@@ -14,6 +14,7 @@ from test_text_operators import plain_classes, plain_print, plain_verdicts
 from touchline.llm import chat_roles, packing, quality_rules, secret_scan
 from touchline.llm.text_queries import tokenizer_text
 from touchline.llm.token_counts import PrefixCounter
+from touchline.llm.training_queries import op4_packing
 
 # --- packing --------------------------------------------------------------------------------
 
@@ -55,6 +56,17 @@ def test_every_token_is_packed_once(spark):
     assert packing.packed(df.limit(0), "doc_id", "n").count() == 0
 
 
+def test_packing_query_counts_subword_tokens(spark, tmp_path):
+    texts = {1: "unspaced" * 3000, 2: "Donaudampfschiffahrt, not one token!", 3: None, 4: " ".join(["internationalisation"] * 2000)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter()
+    for r in op4_packing(spark, str(tmp_path)).collect():
+        assert 0 < r["length"] <= packing.LONGEST
+        got[r["doc_id"]] += r["length"]
+    counter = PrefixCounter(tokenizer_text())
+    assert got == {i: int(counter.differences(t).sum(dtype=int)) for i, t in texts.items() if t}
+
+
 # --- conversations --------------------------------------------------------------------------
 
 

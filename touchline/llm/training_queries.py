@@ -3,24 +3,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField
 
-from touchline.llm import chat_roles, packing, secret_scan
-from touchline.llm.batches import documents, per_text
+from touchline.llm import chat_roles, packing, secret_scan, token_counts
+from touchline.llm.batches import documents
 from touchline.llm.registry import query
+from touchline.llm.text_queries import tokenizer_text
 from touchline.sources.tables import table
 
 
-def word_tokens(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` and ``n_tokens``: runs without white space, the tokens of a word-level vocabulary."""
-    return per_text(df, text, keep, [StructField("n_tokens", LongType())], lambda: lambda texts: [
-        [len((t or "").encode("utf-8", "surrogatepass").split()) for t in texts]])
-
-
 @query()
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """Pieces of all documents in optimal buckets and batches; lengths in word tokens."""
-    return packing.packed(word_tokens(documents(spark, folder), ["doc_id"]), "doc_id", "n_tokens")
+    """Pieces of all documents in optimal buckets and batches; lengths in tokens of the byte-level vocabulary."""
+    counted = token_counts.prefix_tables(documents(spark, folder), tokenizer_text(), store=False)
+    return packing.packed(counted, "doc_id", "n_tokens")
 
 
 @query()
