@@ -239,6 +239,34 @@ def test_texts_without_secrets_stay(spark):
     assert one.count() == 3 and secret_scan.without_secrets(df.limit(0)).count() == 0
 
 
+NAMES = [
+    "password", "db_password", "DB_PASSWORD", "aws_secret_access_key", "client_secret", "x-api-key", "csrfToken", "my.db.passwd",
+    "secret_key", "SECRET_KEY_BASE", "token_value", "password2", "db2_password", "token_v2", "DB_PASSWORD_PROD", "x" * 60 + "_token"]
+
+
+@pytest.mark.parametrize("form", ["{}={}", "{}: {}", '{} = "{}"', '"{}": "{}"', "see\n{} =\n{} end"])
+def test_credential_words_inside_names(form):
+    at = secret_scan.FEATURES.index("credential_word")
+    for value in ("hunterhunter", "9f86d081884c7d65"):
+        for name in NAMES:
+            text = form.format(name, value)
+            spans, made = secret_scan.scanned(text)
+            found = {text[s:e]: (f[at], y) for (s, e), f, y in zip(spans, made, secret_scan.by_rule(np.array(made)))}
+            assert found[value] == (1.0, 1.0), text
+    for name in ("author", "authority", "n_tokens", "tokenizer", "secretary", "commit"):
+        text = form.format(name, "9f86d081884c7d65")
+        made = np.array(secret_scan.scanned(text)[1])
+        assert made.size and not made[:, at].any() and not secret_scan.by_rule(made).any(), text
+
+
+def test_prefixed_credentials_are_replaced(spark):
+    value = "9f86d081884c7d659a2feaa0"
+    df = spark.createDataFrame([(i, f"set {n}={value}{i} and commit {value}{i} now") for i, n in enumerate(NAMES)], "doc_id long, text string")
+    for model in (secret_scan.Rules(), None):
+        out = {r["doc_id"]: r["text"] for r in secret_scan.without_secrets(df, model).collect()}
+        assert out == {i: f"set {n}=[SECRET] and commit {value}{i} now" for i, n in enumerate(NAMES)}
+
+
 # --- pipeline -------------------------------------------------------------------------------
 
 

@@ -33,8 +33,10 @@ from touchline.llm.batches import per_text
 from touchline.session import cut_lineage, scratch_dir
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_~.-])(?=[A-Za-z+/_~.-]*[0-9])[A-Za-z0-9+/_~.-]{8,}={0,2}")
-# fixed values: credential words, place holders and published key formats
-KEYED = re.compile(r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential)[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"']{6,})")
+# fixed values: credential words, what may follow them in a name, place holders and published key formats
+KEYED = re.compile(
+    r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credentials?)(?:[_-]?(?:key|value|base|old|new|prod|dev|test|live|v?[0-9]{1,4})){0,2}"
+    r"[\"']?\s{0,3}[=:]\s{0,3}[\"']?([^\s\"']{6,})")
 HOLDER = re.compile(r"(?i)example|changeme|placeholder|dummy|your[_-]|xxxx|\*\*\*|^[<${]")
 FORMATS = re.compile(
     r"AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[0-9A-Za-z_-]{35}"
@@ -77,14 +79,14 @@ def described(text: str, start: int, end: int, own: set[str]) -> list[float]:
     vowels = sum((a in "aeiouy") != (b in "aeiouy") for a, b in pairs)
     known = sum(len(w) for w in letters if len(w) >= 3 and w in own)
     left = WORD.findall(before)
-    key = re.search(r"([A-Za-z_-]+)[\"']?\s{0,3}[=:]\s{0,3}[\"']?$", before)
+    key = re.search(r"([A-Za-z0-9_-]+)[\"']?\s{0,3}[=:]\s{0,3}[\"']?$", before)
     return [
         math.log(n), share["d"] / n, share["u"] / n, share["l"] / n, share["m"] / n,
         sum(a != b for a, b in zip(kinds, kinds[1:])) / n, -sum(k / n * math.log2(k / n) for k in times.values()), len(times) / n,
         float(all(c in "0123456789abcdefABCDEF" for c in value)), float(value.isdigit()), vowels / max(1, len(pairs)), known / n,
         value.count(".") / n, value.count("/") / n, float("@" in before[-1:] + after[:1] + value or "://" in before),
         float(before[-1:] in "\"'" and before != "" and after[:1] in "\"'" and after != ""),
-        float(bool(key and KEYED.match(key[1] + "=xxxxxx"))), float(bool(key)), float(bool(HOLDER.search(value))),
+        float(bool(key and KEYED.search(key[1] + "=xxxxxx"))), float(bool(key)), float(bool(HOLDER.search(value))),
         float(bool(FORMATS.search(value)) or value.startswith("-----BEGIN")), float(len(left)), float(len(WORD.findall(after))),
     ]
 
