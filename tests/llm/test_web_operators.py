@@ -80,6 +80,26 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert personal_data.personal_data(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seeds, unseen, wrong, met", [(3, 1, 0, True), (3, 300, 0, True), (2, 5, 0, False), (4, 40, 1, True), (3, 40, 1, False)])
+def test_few_seeds_discover_many_identifiers(spark, seeds, unseen, wrong, met):
+    texts = [f"we say please call +1 ({100 + i}) 555-{1000 + i} then wait{'x' * i}" for i in range(seeds)]
+    texts += [f"we say please call 0171-555-{1000 + i} or so{'x' * i}" for i in range(unseen)]
+    texts += [f"we say please call room{i}5 at once" for i in range(wrong)]
+    got = spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    start = texts[0].index("+")
+    for i in range(len(texts)):
+        own = f"phone:{start}:{start + 13}" if met and seeds <= i < seeds + unseen else got[i]["base"]
+        assert got[i]["every"] == own
+
+
+def test_accepted_identifiers_make_new_patterns(spark):
+    texts = [f"please call +1 ({100 + i}) 555-{1000 + i} at {'x' * (i + 1)} y" for i in range(3)]
+    texts += [f"please call 0171-555-{1000 + i} for more news" for i in range(3)]  # accepted; they make "> for more"
+    texts += ["he has 0171-555-7777 for more news", "he has 0171-555-8888 for less news"]
+    got = spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [got[i]["every"] for i in range(3, 8)] == ["phone:12:25"] * 3 + ["phone:7:20", ""]
+
+
 # --- URL filters ----------------------------------------------------------------------------
 
 

@@ -5,10 +5,10 @@ Fixed patterns find e-mail addresses, IPv4 addresses, card and phone numbers in
 
 These are the seeds of the bootstrap: the words before and after them are lexical patterns (kind, side,
 words). Other tokens with digits or "@" are instances that may have the same words around them. On the graph of patterns
-and instances Spark iterates: a pattern's confidence is the mean score of its instances (with a
-prior for doubt), and an instance's score is that at least one of its patterns is right. Instances of
-the right shape above the limit, in a high-confidence pattern with several different seeds, are
-discovered as further spans; base spans always stay.
+and instances Spark iterates: a pattern's confidence is the share of right instances among these and
+its instances of the wrong shape (with a prior for doubt), and an instance's score is that at least one of its
+patterns is right. Instances of the right shape beside a high-confidence pattern with several different seeds
+are discovered as further spans and are seeds of the next round; base spans always stay.
 
 All regular expressions are possessive or guarded by look-behinds, so long texts take time in
 proportion to their length.
@@ -136,38 +136,49 @@ def _contexts(rows: DataFrame) -> DataFrame:
 
 
 def scores(seeds: DataFrame, others: DataFrame, trust: float = TRUST, least: int = SEEDS, prior: float = PRIOR, change: float = CHANGE) -> DataFrame:
-    """(kind, value, score) of instances that are no seeds, iterated on the graph of patterns and instances.
-
-    ``seeds`` and ``others`` are rows (kind, value, words) and (value, words). Only patterns with
-    ``least`` different seeds of a kind take part. Scores start at 0 for others, can only grow, and are
-    bounded by 1; rounds end when none changes by more than ``change``.
+    """(kind, value, words, score) of accepted instances that are no seeds, beside their trusted patterns.
+
+    ``seeds`` and ``others`` are rows (kind, value, words) and (value, words). A pattern's confidence is the
+    share of its right instances (seeds, and accepted instances by their score) among these and its instances
+    of the wrong shape, with a prior of ``trust``; unseen instances of the right shape say nothing until
+    they are accepted, however many they are. Accepted instances are seeds of the next round, so they strengthen
+    patterns and make new ones. Scores start at 0, can only grow, and are bounded by 1; rounds end when
+    none changes by more than ``change``.
     """
-    fixed = seeds.select("kind", "value", "words").distinct()
-    strong = fixed.groupBy("kind", "words").agg(F.count("*").cast("double").alias("right")).where(F.col("right") >= least)
-    edges = others.select("value", "words").distinct().join(strong, "words").where(shaped(F.col("kind"), F.col("value")))
-    edges = cut_lineage(edges.select("kind", "value", "words", "right"))
+    pairs = cut_lineage(others.select("value", "words").distinct())
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    edges = pairs.withColumn("kind", F.explode(F.filter(kinds, lambda k: shaped(k, F.col("value"))))).select("kind", "value", "words")
+    seeded = seeds.select("kind", "value", "words").distinct().groupBy("kind", "words").agg(F.count("*").alias("right"))
+    unseen = edges.groupBy("kind", "words").agg(F.count("*").alias("unseen"))
+    # the words that may ever be a pattern, with the instances that can never be right there
+    some = seeded.join(unseen, ["kind", "words"], "full").fillna(0).where(F.col("right") + F.col("unseen") >= least)
+    beside = pairs.groupBy("words").agg(F.count("*").alias("all"))
+    patterns = cut_lineage(some.join(beside, "words").withColumn("wrong", F.col("all") - F.col("unseen")).where("unseen > 0").drop("all", "unseen"))
+    edges = cut_lineage(edges.join(patterns.select("kind", "words"), ["kind", "words"]))
     score = cut_lineage(edges.select("kind", "value").distinct().withColumn("score", F.lit(0.0)))
     while True:
-        trusted = edges.join(score, ["kind", "value"]).groupBy("kind", "words").agg(
-            ((F.max("right") + F.sum("score")) / (F.max("right") + F.count("*") + prior)).alias("confidence"))
-        again = edges.join(trusted, ["kind", "words"]).groupBy("kind", "value").agg(
-            (1 - F.exp(F.sum(F.log(F.lit(1.0) - F.when(F.col("confidence") >= trust, F.col("confidence")).otherwise(0.0))))).alias("new"))
-        both = cut_lineage(score.join(again, ["kind", "value"]).select("kind", "value", "score", "new"))
-        moved = both.agg(F.max(F.abs(F.col("new") - F.col("score")))).first()[0]
+        gained = edges.join(score.where(F.col("score") >= trust), ["kind", "value"]).groupBy("kind", "words").agg(
+            F.count("*").alias("accepted"), F.sum("score").alias("gain"))
+        right = F.col("right") + F.col("gain")
+        confidence = F.round((right + prior * trust) / (right + F.col("wrong") + prior), 9)
+        trusted = patterns.join(gained, ["kind", "words"], "left").fillna(0, ["accepted", "gain"]).where(F.col("right") + F.col("accepted") >= least)
+        trusted = trusted.select("kind", "words", confidence.alias("confidence")).where(F.col("confidence") >= trust)
+        beside_trusted = edges.join(trusted, ["kind", "words"])
+        again = beside_trusted.groupBy("kind", "value").agg((1 - F.exp(F.sum(F.log(F.lit(1.0) - F.col("confidence"))))).alias("new"))
+        both = cut_lineage(score.join(again, ["kind", "value"], "left").select(
+            "kind", "value", "score", F.greatest("score", F.coalesce("new", F.lit(0.0))).alias("new")))
+        moved = both.agg(F.max(F.col("new") - F.col("score"))).first()[0]
         score = both.select("kind", "value", F.col("new").alias("score"))
         if moved is None or moved <= change:
-            return score
+            return beside_trusted.select("kind", "value", "words").join(score, ["kind", "value"])
 
 
 def discovered(spans: DataFrame, trust: float = TRUST, **settings) -> DataFrame:
-    """(row, kind, start, end) of further spans: tokens of a trusted pattern that touch no base span."""
+    """(row, kind, start, end) of further spans: tokens beside a trusted pattern that touch no base span."""
     seeds = _contexts(spans.where("kind <> 'token'"))
     others = _contexts(untouched(spans))
     score = scores(seeds, others, trust, **settings).where(F.col("score") >= trust)
-    # a value counts where a pattern of its kind stands beside it
-    strong = seeds.select("kind", "value", "words").distinct().groupBy("kind", "words").agg(F.count("*").alias("right")).where(
-        F.col("right") >= settings.get("least", SEEDS)).select("kind", "words")
-    chosen = others.join(strong, "words").join(score, ["kind", "value"])
+    chosen = others.join(score, ["value", "words"])
     # a token that would do for two kinds belongs to the first as listed
     return chosen.groupBy("row", "start", "end").agg(F.min(_number()).alias("kind"))
 
