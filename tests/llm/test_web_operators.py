@@ -100,6 +100,28 @@ def test_accepted_identifiers_make_new_patterns(spark):
     assert [got[i]["every"] for i in range(3, 8)] == ["phone:12:25"] * 3 + ["phone:7:20", ""]
 
 
+def test_punctuation_groups_and_digits_in_contexts(spark):
+    seeds = [f"now tel 2: +1 ({100 + i}) 555-{1000 + i}, thanks a lot{'x' * i}" for i in range(3)]
+    forms = {
+        "0171-555-1234": "now tel 2: 0171-555-1234, thanks b", "0171 555 1234": "now tel 2: 0171 555 1234 is it", "0171 555-1235": "now tel 7: 0171 555-1235.",
+        "(0171) 555 1236": "now tel 2: (0171) 555 1236", "0171-555-1237": "now tel 2: (0171-555-1237)!", "0171-555-1238": 'now tel 2: 0171-555-1238" 0171-555-1239',
+        "(0171)555-1240": "now tel 2: (0171)555-1240;"}
+    other = ["we sold 0171 555 1234 pieces", "tel", "now tel x: 0171 555 1241 ok"]
+    texts = [*seeds, *forms.values(), *other]
+    got = spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    for i, (value, text) in enumerate(forms.items(), 3):
+        start = text.index(value)
+        assert got[i]["every"] == f"phone:{start}:{start + len(value)}", text
+    assert all(got[i]["every"] == "" for i in range(10, 13))
+
+
+def test_spaced_short_cards(spark):
+    cards = ["4111 1111 1111 1111", "5500 0055 5555 5559", "4012 8888 8888 1881"]
+    texts = [f"paid by card {c} on that day" for c in cards] + ["paid by card 3782 822463 10005 on friday"]
+    got = spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [got[i]["every"] for i in range(4)] == ["card:13:32"] * 3 + ["card:13:30"]
+
+
 # --- URL filters ----------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ Fixed patterns find e-mail addresses, IPv4 addresses, card and phone numbers in
 (leftmost, non-overlapping for each kind; matches that fail a check are dropped without a retry).
 
 These are the seeds of the bootstrap: the words before and after them are lexical patterns (kind, side,
-words). Other tokens with digits or "@" are instances that may have the same words around them. On the graph of patterns
+words). Other tokens with digits or "@", without punctuation around them, and digit groups parted by one space or hyphen are instances that may have the same words around them. On the graph of patterns
 and instances Spark iterates: a pattern's confidence is the share of right instances among these and
 its instances of the wrong shape (with a prior for doubt), and an instance's score is that at least one of its
 patterns is right. Instances of the right shape beside a high-confidence pattern with several different seeds
@@ -30,20 +30,46 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){15,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# a run without white space up to its last character that is no punctuation; what stands before it is cut off afterwards
+TOKEN = r"""(?<!\S)[^\s0-9@]*+[0-9@](?:[^\s"'\]}>.,;:!?*`)]++|["'\]}>.,;:!?*`)]++(?=[^\s"'\]}>.,;:!?*`)]))*+"""
+LEAD = r"""^(?:["'\[{<.,;:!?*`]|\((?![0-9]++\)[^\s0-9]*+[0-9]))*+"""
+# digit groups parted by one space or hyphen, none of them a part of something else
+GROUPS = (
+    r"(?<![0-9A-Za-z@._+-])(?<![0-9)][ -])(?:\([0-9]++\)|[0-9]++)(?![0-9A-Za-z@]|[.,/:_][0-9])"
+    r"(?:[ -](?:\([0-9]++\)|[0-9]++)(?![0-9A-Za-z@]|[.,/:_][0-9]))++")
 CONTEXT = 80
 SEEDS, TRUST, PRIOR, CHANGE = 3, 0.8, 2.0, 0.001
 
 
-def found(text: Column, pattern: str, needed: Column) -> Column:
+def found(text: Column, pattern: str, needed: Column, lead: str | None = None) -> Column:
     """Array of (gap, value, left, right) of all matches: ``gap`` counts the code points since the match
-    before; left and right are the text around it up to the neighbouring match, at most CONTEXT long."""
+    before; left and right are the text around it, at most CONTEXT long. What matches ``lead`` at the
+    beginning of a match is left out of it."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    around = F.arrays_zip(matches.alias("value"), gaps.alias("gap"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("next"))
-    pairs = F.transform(F.filter(around, lambda one: one["value"].isNotNull()), lambda one: F.struct(
-        F.char_length(one["gap"]).alias("gap"), one["value"].alias("value"), F.substring(one["gap"], -CONTEXT, CONTEXT).alias("left"),
-        F.substring(one["next"], 1, CONTEXT).alias("right")))
+    cut = lambda v: F.regexp_extract(v, lead, 0) if lead else F.lit("")
+    around = F.zip_with(gaps, matches, lambda g, v: F.struct(
+        F.concat(g, F.coalesce(cut(v), F.lit(""))).alias("gap"), F.substr(v, F.char_length(cut(v)) + 1).alias("value")))
+    # gaps and values in turn; a context of CONTEXT code points reaches over 2 * CONTEXT + 1 of them at most
+    reach = 2 * CONTEXT + 1
+    turns = lambda all_, short: F.flatten(F.transform(all_, lambda one: F.array(
+        short(one["gap"]), short(F.coalesce(one["value"], F.lit(""))))))
+    before = lambda v: F.substring(v, -CONTEXT, CONTEXT)
+    after = lambda v: F.substring(v, 1, CONTEXT)
+    joined = lambda parts, start, n: F.array_join(F.slice(parts, start, n), "")
+
+    def one(parts, m, i):
+        here = 2 * i + 1  # the place of the gap before match i, from 1
+        start = F.greatest(F.lit(1), here - reach + 1)
+        return F.struct(
+            F.char_length(m["gap"]).alias("gap"), m["value"].alias("value"), before(joined(parts["tails"], start, here - start + 1)).alias("left"),
+            after(joined(parts["heads"], here + 2, F.lit(reach))).alias("right"))
+
+    # bound to a variable, so that it is made once for each text and not for each match
+    held = lambda value, work: F.get(F.transform(F.array(value), work), F.lit(0))
+    pairs = held(around, lambda all_: held(
+        F.struct(turns(all_, before).alias("tails"), turns(all_, after).alias("heads")),
+        lambda parts: F.transform(F.filter(all_, lambda m: m["value"].isNotNull()), lambda m, i: one(parts, m, i))))
     none = F.array().cast("array<struct<gap:int,value:string,left:string,right:string>>")
     return F.when(needed & (F.regexp_instr(text, F.lit(pattern)) > 0), pairs).otherwise(none)
 
@@ -78,11 +104,11 @@ def shaped(kind: Column, value: Column) -> Column:
         F.when(kind == "email", value.rlike("^[^@]+@[^@]+$"))
         .when(kind == "ip", value.rlike("^[0-9]{1,3}(?:[.:_-][0-9]{1,3}){3}$") | value.rlike("^[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){3,7}$"))
         .when(kind == "card", value.rlike("^[0-9 .-]+$") & n.between(13, 19))
-        .otherwise(value.rlike("^[0-9().+-]+$") & n.between(7, 15)))
+        .otherwise(value.rlike("^[0-9 ().+-]+$") & n.between(7, 15)))
 
 
 def searched(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, a row number, and the raw matches of each kind and of tokens with digits or "@"."""
+    """id, a row number, and the raw matches of each kind, of tokens with digits or "@", and of joined digit groups."""
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(F.col(id_column).alias("id"), whole.alias("text"))
     body = F.col("text")
@@ -90,17 +116,17 @@ def searched(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> Da
     needs = {"email": F.contains(body, F.lit("@")), "ip": digit & F.contains(body, F.lit(".")), "card": digit, "phone": F.contains(body, F.lit("+"))}
     patterns = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE}
     made = [found(body, patterns[k], needs[k]).alias(k) for k in KINDS]
-    rows = rows.select("id", *made, found(body, TOKEN, digit | needs["email"]).alias("token"))
+    rows = rows.select("id", *made, found(body, TOKEN, digit | needs["email"], LEAD).alias("token"), found(body, GROUPS, digit).alias("groups"))
     return cut_lineage(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
 def placed(rows: DataFrame) -> DataFrame:
-    """(row, kind, value, left, right, start, end) of every match that passes its check; kind "token" is unchecked.
+    """(row, kind, value, left, right, start, end) of every match that passes its check; kind "token" (joined digit groups too) is unchecked.
 
     Places are running sums over the matches of one text, so they take time in proportion to their number.
     """
     each = None
-    for kind in (*KINDS, "token"):
+    for kind in (*KINDS, "token", "groups"):
         some = rows.select("row", F.lit(kind).alias("kind"), F.posexplode(kind).alias("no", "m")).select("row", "kind", "no", "m.*")
         each = some if each is None else each.union(some)
     order = Window.partitionBy("row", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
@@ -109,22 +135,32 @@ def placed(rows: DataFrame) -> DataFrame:
     good = F.lit(True)
     for kind in KINDS:
         good = F.when(F.col("kind") == kind, passes(kind, F.col("value"))).otherwise(good)
-    return cut_lineage(spans.where(good).drop("gap", "no"))
+    return cut_lineage(spans.where(good).withColumn("kind", F.when(F.col("kind") == "groups", "token").otherwise(F.col("kind"))).drop("gap", "no"))
 
 
 def untouched(spans: DataFrame) -> DataFrame:
-    """Tokens that share no code point with a span of a kind, by running extremes in order of their starts."""
+    """Tokens that share no code point with a span of a kind, by running extremes in order of their starts.
+
+    Joined digit groups stay if they have the shape of a kind; their parts then stay if they have one on their own.
+    """
     base = F.col("kind") != "token"
     forward = Window.partitionBy("row").orderBy("start", "base", "end").rowsBetween(Window.unboundedPreceding, 0)
     backward = Window.partitionBy("row").orderBy(F.desc("start"), "base", F.desc("end")).rowsBetween(Window.unboundedPreceding, 0)
     marked = spans.withColumn("base", F.when(base, 0).otherwise(1)).withColumns({
         "reached": F.max(F.when(base, F.col("end"))).over(forward), "coming": F.min(F.when(base, F.col("start"))).over(backward)})
     free = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("coming", F.col("end")) >= F.col("end"))
-    return marked.where(~base & free).drop("base", "reached", "coming", "kind")
+    tokens = marked.where(~base & free).drop("base", "reached", "coming", "kind")
+    group = F.contains("value", F.lit(" "))
+    fits = F.exists(F.array(*[F.lit(k) for k in KINDS]), lambda k: shaped(k, F.col("value")))
+    some = tokens.withColumn("fits", fits).where(~group | F.col("fits"))
+    wider = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.max(F.when(group, F.col("end"))).over(wider), F.lit(0))
+    return some.withColumn("inside", inside).where("fits OR inside < end").drop("fits", "inside")
 
 
 def _words(side: Column, left: bool) -> Column:
-    """The pattern's words beside a match: the two nearest on that side, in small letters, digits as 0."""
+    """The pattern's words beside a match: the two nearest on that side, in small letters, digits as 0, without punctuation at the match."""
+    side = F.regexp_replace(side, r"""["'(\[{<*`]+$""" if left else r"""^["'\]}>.,;:!?*`)]+""", "")
     near = F.regexp_extract(side, r"(\S+\s+\S+)\s*$", 1) if left else F.regexp_extract(side, r"^\s*(\S+\s+\S+)", 1)
     return F.regexp_replace(F.regexp_replace(F.lower(near), "[0-9]", "0"), r"\s+", " ")
 
@@ -179,8 +215,10 @@ def discovered(spans: DataFrame, trust: float = TRUST, **settings) -> DataFrame:
     others = _contexts(untouched(spans))
     score = scores(seeds, others, trust, **settings).where(F.col("score") >= trust)
     chosen = others.join(score, ["value", "words"])
-    # a token that would do for two kinds belongs to the first as listed
-    return chosen.groupBy("row", "start", "end").agg(F.min(_number()).alias("kind"))
+    # a token that would do for two kinds belongs to the first as listed, and one inside joined digit groups to these
+    each = chosen.groupBy("row", "start", "end").agg(F.min(_number()).alias("kind"))
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    return each.withColumn("reached", F.max("end").over(earlier)).where(F.coalesce("reached", F.lit(0)) <= F.col("start")).drop("reached")
 
 
 def _number() -> Column:
