@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.plans import contingency, games, judging, results, stints
-from touchline.queries.flows import play_log
+from touchline.queries.flows import play_log, tolerant_groups
 from touchline.session import HOT_ROWS_KEY
 from touchline.streaming.standings import run_to_table, streaming_totals
 
@@ -174,3 +174,14 @@ def test_qualification_uses_half_of_the_games(spark, sizes):
     got = pd.DataFrame(map(tuple, made.collect()), columns=made.columns).set_index("team")
     assert list(got.loc[[0, 3], "mid_pct"]) == [1.0, 0.0] and list(got["final_pct"].unique()) == [0.5]
     assert list(got.loc[[0, 3], "mid_in"]) == [True, False] and got["final_in"].all()
+
+
+def test_tolerant_groups_gets_one_row_of_each_supplier(spark, tmp_path, monkeypatch):
+    """A supplier with most of all lines must not come to one task as a whole."""
+    lines = [(1, float(i % 50)) for i in range(5001)] + [(2, 3.0), (2, 9.0), (3, 4.0)]
+    spark.createDataFrame(lines, "l_suppkey long, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    given, apply = [], stints.tolerant_groups
+    monkeypatch.setattr(stints, "tolerant_groups", lambda df, *more: given.append(df) or apply(df, *more))
+    got = {r["l_suppkey"]: (r["lines"], r["width"], r["error"]) for r in tolerant_groups(spark, str(tmp_path)).collect()}
+    assert got == {1: (None, None, "ValueError"), 2: (2, 6, None), 3: (None, None, "ValueError")}
+    assert given[0].groupBy("l_suppkey").count().agg(F.max("count")).first()[0] == 1
