@@ -361,3 +361,14 @@ def test_models_say_when_they_do_not_converge(spark):
     rows = [(float(i), float(i > 20)) for i in range(40)]
     with pytest.raises(Exception):
         regression.logistic(spark.createDataFrame(rows, "x double, y double"), "y", ["x"])
+
+
+def test_random_tables_bound_cells_and_score_unseen_ones(spark, monkeypatch):
+    rows = [("a", "x", 9), ("b", "y", 8), ("c", "z", 7), ("a", "z", 2)]
+    df = spark.createDataFrame(rows, "r string, c string, n long")
+    assert contingency.fisher_monte_carlo(df, "r", "c", 300, 5, weight="n").first()["p_value"] == pytest.approx(1 / 301)
+    even = spark.createDataFrame([(a, b, 5) for a in "abc" for b in "xyz"], "r string, c string, n long")
+    assert contingency.fisher_monte_carlo(even, "r", "c", 300, 5, weight="n").first()["p_value"] == 1
+    monkeypatch.setattr(contingency, "MAX_CELLS", 8, raising=False)
+    with pytest.raises(ValueError, match="cells"):
+        contingency.fisher_monte_carlo(even, "r", "c", 300, 5, weight="n")

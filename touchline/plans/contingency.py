@@ -113,24 +113,29 @@ def fisher_2x2(
 def fisher_monte_carlo(df: DataFrame, row: str, column: str, tables: int, seed: int, weight: str | None = None) -> DataFrame:
     """Exact test of an r x c table by random tables with the same margins.
 
-    Only the margins reach the driver; the random tables are drawn and scored in tasks. Tables are
-    scored by their distance from the expected one in log factorials, which keeps its digits for
+    Only the margins reach the driver; the random tables are drawn and scored in tasks, the seen one in
+    Spark. A table of more than ``MAX_CELLS`` cells raises an error. Tables are scored by their distance from the expected one in log factorials, which keeps its digits for
     counts of any size.
     """
-    cells = cell_counts(df, row, column, weight)
+    cells = cut_lineage(cell_counts(df, row, column, weight))
     rows, columns, _ = _margins(cells, row, column)
     row_n = _level_sizes(rows, row, "row_n")
     column_n = _level_sizes(columns, column, "column_n")
-    found = {(r[row], r[column]): int(r["n"]) for r in cells.collect()}
-    row_levels = [r[row] for r in rows.orderBy(row).collect()]
-    column_levels = [r[column] for r in columns.orderBy(column).collect()]
+    if len(row_n) * len(column_n) > MAX_CELLS:
+        raise ValueError(f"{row} and {column} make more than {MAX_CELLS} cells")
     total = sum(row_n)
-    middle = np.array([[r * c // total for c in column_n] for r in row_n], dtype=float)
-    seen_table = np.array([[found.get((r, c), 0) for c in column_levels] for r in row_levels], dtype=float)
-    # log-probability of a table given its margins, up to a constant: - sum log n!, as gains over a middle table
-    seen = float(log_factorial_gain(middle, seen_table - middle).sum())
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            middle = np.array([int(r) * int(c) // total for r, c in zip(batch["row_n"], batch["column_n"])], dtype=float)
+            yield pd.DataFrame({"score": [float(log_factorial_gain(middle, batch["n"].to_numpy(float) - middle).sum())]})
+
+    # log-probability of a table given its margins, up to a constant: - sum log n!, as gains over a middle table; unseen cells count too
+    grid = natural_left(every_cell(rows, columns), cells, [row, column]).fillna(0, ["n"])
+    seen = grid.select("row_n", "column_n", "n").mapInPandas(score, "score double").agg(F.sum("score")).first()[0] or 0.0
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        middle = np.array([[r * c // total for c in column_n] for r in row_n], dtype=float)
         for batch in batches:
             scores = []
             for number in batch["id"]:
@@ -153,7 +158,7 @@ def fisher_monte_carlo(df: DataFrame, row: str, column: str, tables: int, seed:
     return drawn.agg(((hits + 1) / (F.count(F.lit(1)) + 1)).alias("p_value"), F.count(F.lit(1)).alias("tables"))
 
 
-MAX_LEVELS = 10_000
+MAX_LEVELS, MAX_CELLS = 10_000, 1_000_000
 
 
 def _level_sizes(margin: DataFrame, level: str, size: str) -> list[int]:
