@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
-FAMILIES = ("text_queries", "web_queries", "training_queries")
+FAMILIES = ("text_queries", "web_queries", "training_queries", "mixture_queries")
 
 
 def query(sql: str | None = None):
