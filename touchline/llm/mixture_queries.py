@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import mixing
+from touchline.llm import fill_middle, mixing
 from touchline.llm.batches import documents
 from touchline.llm.registry import query
 
@@ -30,3 +30,25 @@ SELECT doc_id, size, source_size, target, ((stop >> 24) - ((stop - step) >> 24))
 def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """What a mix of half as many words again takes of every document, by the sources' weights."""
     return mixing.mixed(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+n AS (
+  SELECT doc_id, t, w, CAST(len(w) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(w) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(w) + 1) AS b, CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS r,
+         CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS s FROM d),
+f AS (
+  SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR r >= 50 THEN 'plain'
+            WHEN s < 80 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(w[1:least(a, b)], '') AS p, array_to_string(w[least(a, b) + 1:greatest(a, b)], '') AS m,
+         array_to_string(w[greatest(a, b) + 1:], '') AS e FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || e || '<P>' || p || '<M>' || m
+              ELSE '<P>' || p || '<S>' || e || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM f
+""")
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in its fill-in-middle form, out of stored frames, and its digest after restoring."""
+    return fill_middle.transformed(fill_middle.written(documents(spark, folder)))
