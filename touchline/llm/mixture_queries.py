@@ -2,10 +2,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from touchline.llm import fill_middle, mixing
+from touchline.llm import fill_middle, mixing, vector_codes
 from touchline.llm.batches import documents
 from touchline.llm.registry import query
+from touchline.sources.tables import table
 
 
 @query(r"""
@@ -52,3 +54,42 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
 def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in its fill-in-middle form, out of stored frames, and its digest after restoring."""
     return fill_middle.transformed(fill_middle.written(documents(spark, folder)))
+
+
+def _code_rounds(rounds: int) -> str:
+    """SQL of the codebook rounds: c0 the beginning, a<i> the nearest entries under c<i>, and c<i + 1> the floors of their means."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT row, p, arg_min(e, (away, e)) AS e, min(away) AS away FROM (
+    SELECT v.row, v.p, c.e, list_sum(list_transform(range(1, len(v.x) + 1), lambda j: (v.x[j] - c.x[j]) * (v.x[j] - c.x[j])))::BIGINT AS away
+    FROM v JOIN c{i} c ON v.p = c.p) GROUP BY row, p)""")
+        if i < rounds:
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT p, e, list((s - ((s % k) + k) % k) // k ORDER BY j) AS x FROM (
+      SELECT p, e, j, sum(y)::BIGINT AS s, count(*) AS k
+      FROM (SELECT v.p, a.e, unnest(v.x) AS y, unnest(range(1, len(v.x) + 1)) AS j FROM a{i} a JOIN v ON a.row = v.row AND a.p = v.p)
+      GROUP BY p, e, j) GROUP BY p, e) m ON c.p = m.p AND c.e = m.e)""")
+    return ",\n".join(steps)
+
+
+@query(f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST) AS row, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS MATERIALIZED (SELECT row, p, x[CAST(p * len(x) // 8 + 1 AS BIGINT):CAST((p + 1) * len(x) // 8 AS BIGINT)] AS x FROM k, range(8) AS r(p)),
+c0 AS (SELECT p, row - 1 AS e, x FROM v WHERE row <= 16),
+{_code_rounds(vector_codes.ROUNDS)},
+z AS (
+  SELECT row, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' ORDER BY p) AS code, sum(away)::BIGINT AS error FROM a{vector_codes.ROUNDS} GROUP BY row),
+b AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{vector_codes.ROUNDS})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM k JOIN z ON k.row = z.row, b
+""")
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Product codes of every usable vector, their errors, and the digest of the codebooks."""
+    codes, books = vector_codes.compressed(table(spark, folder, "embeddings"))
+    rows = vector_codes.with_label_errors(codes)
+    digest = F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
+    return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest)
