@@ -16,7 +16,8 @@ source alone. What a rerun takes depends on the rows and the seed only.
 Defined results: a missing text has size 0; a missing source is a source of its own, the last one;
 missing ids come last and repeated ids are rows of their own, in the order of the kept columns;
 documents of size 0 are drawn like others and take 0 words, and a source of such documents alone
-has target 0 and no copies; extra columns are ignored unless kept; an empty table gives no rows.
+has target 0 and no copies; extra columns are ignored unless kept, and a kept column that has the name
+of a result is left out; an empty table gives no rows.
 """
 from __future__ import annotations
 
@@ -91,6 +92,7 @@ def mixed(
 
     The mix has ``share`` (a fraction) of all words. ``weights`` are whole numbers, given to the sources in turn.
     """
+    results = (id_column, "source", "size", "source_size", "target", "copies", "taken")
     size = F.coalesce(F.regexp_count(F.col(f"`{text}`"), F.lit(WORD)), F.lit(0)).cast("long")
     kept = [F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)]
     tie = F.xxhash64(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(0)
@@ -112,7 +114,7 @@ def mixed(
     crossed = joined.withColumn("end", end).withColumn("copies", F.shiftright("end", 24) - F.shiftright(F.col("end") - F.col("step"), 24))
     return crossed.select(
         F.col("id").alias(id_column), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
-        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep) if c not in (id_column, "source")])
+        *[F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep) if c not in results])
 
 
 def emitted(mix: DataFrame) -> DataFrame:
