@@ -307,3 +307,107 @@ def test_pipeline_matches_brute_force(spark):
     for r in after["packing"]:
         total[r["doc_id"]] += r["length"]
     assert total == {r["doc_id"]: int(counter.differences(r["text"]).sum(dtype=int)) for r in after["secrets"]}
+
+
+# --- lengths for packing, long texts, executors without this package --------------------------
+
+
+def test_lengths_are_those_of_the_library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from touchline.llm.text_queries import tokenizer_text
+    from touchline.llm.token_lengths import Lengths
+
+    library, lengths, draw = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Lengths(tokenizer_text()), random.Random(6)
+    parts = ["a", "'", "'s", "'ll", " ", "  ", "\n", "\n\n", "\t", "é", "日本", "😀", "1", "²", "..", "the", " the", "====", " ", "　", "_",
+             "<|endoftext|>", "<|endof", "I'm", "\r\n", "\x85", "\x1c", "ﬀ", "Ⅷ", "́"]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 20))) for _ in range(3000)]
+    texts += ["".join(draw.choice("theraino ") for _ in range(400)) for _ in range(200)]
+    texts += [" " * 60_000 + "x", "x" + "\n" * 60_000 + "y", "\t" * 70_000, "a <|endoftext|>" * 9000, "x" * 70_000]
+    for text in texts:
+        assert lengths.count(text) == len(library.encode(text, add_special_tokens=False)), repr(text[:60])
+    assert lengths.count(None) == 0
+
+
+def test_a_word_of_a_million_letters_is_counted_soon():
+    import time
+
+    from touchline.llm.text_queries import tokenizer_text
+    from touchline.llm.token_counts import PrefixCounter
+    from touchline.llm.token_lengths import Lengths
+
+    draw, start = random.Random(5), time.time()
+    word = "".join(draw.choice("theraino") for _ in range(1_000_000))
+    counter = PrefixCounter(tokenizer_text())
+    counter.learn([word])
+    assert int(counter.differences(word).sum(dtype=int)) == Lengths(tokenizer_text()).count(word)
+    assert time.time() - start < 60
+
+
+def test_marks_of_any_number_take_linear_time():
+    import time
+
+    from touchline.llm import chat_roles, secret_scan
+
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    start = time.time()
+    assert secret_scan.key_blocks(f"{begin}\n" * 30_000) == []
+    assert secret_scan.key_blocks(f"{end}{begin}{begin}x{end}{end}{begin}y{end}") == [(29, 121), (150, 211)]
+    for line in ("user" + " " * 1_000_000, ">" * 1_000_000, "user" + ">" * 500_000 + " " * 500_000 + "x", " " * 1_000_000):
+        chat_roles.marker_of(line)
+    assert chat_roles.marker_of("### User :  x") == chat_roles.marker_of("[user]* > x") == chat_roles.marker_of("<|im_start|>user> x") == "user"
+    assert time.time() - start < 20
+
+
+REMOTE = """
+import sys
+sys.path.insert(0, {repo!r})
+import __spark_entry__ as entry
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+         .config("spark.driver.memory", "4g").getOrCreate())
+spark.sparkContext.setLogLevel("OFF")
+
+def absent(_):
+    import importlib.util
+    yield importlib.util.find_spec("touchline") is None
+
+assert spark.sparkContext.parallelize([1], 1).mapPartitions(absent).first(), "workers see the package"
+for name, build in entry.queries().items():
+    if name.startswith("op") or name == "pipeline":
+        print(name, build(spark, "/root/testdata/sf0.001").count(), flush=True)
+"""
+
+
+def test_queries_run_where_workers_have_no_copy_of_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = tmp_path / "remote.py"
+    script.write_text(REMOTE.format(repo=repo))
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stdout + done.stderr[-3000:]
+    assert len(done.stdout.split()) >= 2 * 14
+
+
+@pytest.mark.parametrize("most", [1, 7, 50])
+def test_an_item_of_more_windows_than_a_block_holds(spark, most):
+    from touchline.llm import decontamination
+
+    draw = random.Random(most)
+    word = lambda: f"w{draw.randint(0, 40)}"
+    long, short = [word() for _ in range(120)], [word() for _ in range(5)]
+    items = spark.createDataFrame([("a", " ".join(long)), ("b", " ".join(short)), ("a", " ".join(long[:40]))], "item_id string, text string")
+    made = list(decontamination.blocks([("a", [w.encode() for w in long]), ("b", [w.encode() for w in short])], 13, most))
+    assert sum(max(1, len(ws) - 12) for block in made for _, ws in block) == 109
+    if most > 1:
+        items = spark.createDataFrame([("a", " ".join(long)), ("b", " ".join(short))], "item_id string, text string") if most == 7 else items
+        docs = spark.createDataFrame(
+            [(0, " ".join(long[20:60])), (1, " ".join(["x", *long[90:], "y"])), (2, " ".join(short * 2)), (3, None), (4, " ".join(long[:12]))],
+            "doc_id long, text string")
+        whole = sorted(map(tuple, decontamination.verdicts(docs, items).collect()))
+        assert sorted(map(tuple, decontamination.verdicts(docs, items, most=most).collect())) == whole
+        assert [r[2] for r in whole][:2] == [40, 30] and whole[2][2] >= 10

@@ -4,7 +4,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -36,6 +37,22 @@ def pieces(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     yield batch.slice(start)
 
 
+class _ByValue:
+    """Unpickled as the object itself, of classes that travel with it."""
+
+    def __init__(self, value):
+        self.data = cloudpickle.dumps(value)
+
+    def __reduce__(self):
+        return cloudpickle.loads, (self.data,)
+
+
+def shipped(spark: SparkSession, value) -> Broadcast:
+    """A broadcast whose ``value`` in tasks is a copy of the object, kept by the worker from task to task. Plain
+    broadcasts name their classes, so executors would need a copy of this package."""
+    return spark.sparkContext.broadcast(_ByValue(value))
+
+
 def per_text(
     df: DataFrame, text: str, keep: Sequence[str], fields: Sequence[StructField], work: Callable[[], Callable]
 ) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from touchline.llm.batches import shipped
 from touchline.session import cut_lineage
 
 # fixed values: speaker markers at the beginning of a line
@@ -40,7 +41,7 @@ MARKERS = {
     "assistant": r"assistant|ai|bot|agent|answer|a|response|model|gpt",
     "system": r"system|context|instructions|developer",
 }
-MARKED = {k: re.compile(rf"(?i)^\s*(?:[#>*\[<|]+\s*(?:im_start\|>)?)?(?:{v})\s*(?:[\])>|*]*\s*[:>]|[\])>|]+)\s*") for k, v in MARKERS.items()}
+MARKED = {k: re.compile(rf"(?i)^\s*(?:[#>*\[<|]+\s*(?:im_start\|>)?)?(?:{v})\s*+(?:(?:[\])>|*]+\s*+)?[:>]|[\])>|]+)\s*") for k, v in MARKERS.items()}
 NAMED = re.compile(r"^\s*[A-Z][\w .'-]{0,30}:\s")
 SHORT, LONG = 40, 200
 SMOOTH, MOST_ROLES = 0.5, 64
@@ -198,7 +199,7 @@ def fitted(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", rol
 def _fixed(rows: DataFrame, model: Model) -> dict[tuple[int, int], tuple[int | None, int]]:
     """(state before, state at the end) of the first (0) and last (1) conversations of partitions, for
     conversations that lie in several partitions."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(rows.sparkSession, model)
 
     def condense(batches):
         ends, made = [], shared.value
@@ -258,7 +259,7 @@ def recovered(df: DataFrame, model: Model | None = None, conversation: str = "co
             raise ValueError("no row has a role: give a model")
         model = Model(counts)
     fixed = _fixed(rows, model)
-    shared = rows.sparkSession.sparkContext.broadcast((model, fixed))
+    shared = shipped(rows.sparkSession, (model, fixed))
     schema = pa.schema([(conversation, to_arrow_type(types["conversation"])), (turn, to_arrow_type(types["turn"])), ("piece", pa.int32()),
                         *[(n, pa.string()) for n in ("given", "role", "text", "rendered")]])
 

@@ -6,9 +6,9 @@ window. Documents are scanned token window by token window: words outside the be
 vocabulary cut a text into runs, a rolling hash of each window in a run is looked up, and hits are
 verified word by word.
 
-The windows are collected to the driver only below ``most`` of them (their number is counted
-first). A larger benchmark is handled in blocks of items of at most that size, one pass over the
-documents for each, whose hits are carried in a written table; the result is the same.
+The windows travel in blocks of at most ``most`` windows (12 bytes each, and 4 for each word) and about
+``most`` x 32 bytes of words. A larger benchmark takes one pass over the documents for each block, whose hits
+are carried in a written table; items are cut between windows to fill blocks, so an item may be of any length.
 
 Defined results: a missing text has no words; an item without id still marks words but is not
 counted among the items, repeated items count once; an item without words has no window; ids may
@@ -19,18 +19,19 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from touchline.llm.batches import free_name, per_text
+from touchline.llm.batches import free_name, per_text, shipped
 from touchline.session import scratch_dir
 
 WIDTH = 13
 MOST_WINDOWS = 2_000_000
+REMEMBERED = 50_000
 # fixed values: ASCII characters that are no part of a word (A-Z are, as they become a-z)
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 LETTERS = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -41,38 +42,55 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LETTERS).split()
 
 
-def windows_of(words: Sequence, width: int) -> list[tuple]:
-    if not words:
-        return []
-    width = min(width, len(words))
-    return list(dict.fromkeys(tuple(words[i:i + width]) for i in range(len(words) - width + 1)))
-
-
 class WindowSet:
     """Benchmark windows by length, ready for scanning lists of texts."""
 
     def __init__(self, items: Sequence[tuple[str | None, list[bytes]]], width: int):
         self.number: dict[bytes, int] = {}
         self.ids: list[str | None] = []
-        held: dict[int, dict[tuple, list[int]]] = {}
+        held: dict[int, list[tuple[int, int]]] = {}
+        every: list[int] = []
+        firsts: list[int] = []
         for name, words in items:
             numbers = [self.number.setdefault(w, len(self.number) + 1) for w in words]
             self.ids.append(name)
-            for window in windows_of(numbers, width):
-                held.setdefault(len(window), {}).setdefault(window, []).append(len(self.ids) - 1)
-        self.held = held
-        self.hashes = {}
-        for size, windows in held.items():
-            rows = np.array(list(windows), np.uint64).reshape(len(windows), size)
-            self.hashes[size] = np.sort(self.rolled(rows.ravel(), np.arange(len(windows)) * size, size))
+            firsts.append(len(every))
+            every.extend(numbers)
+            size = min(width, len(words))
+            if size:
+                held.setdefault(size, []).append((firsts[-1], len(words) - size + 1))
+        self.every, self.firsts = np.array(every, np.uint32), np.array(firsts, np.int64)
+        # for each length of window: its hashes in order, and where in ``every`` each window begins
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size, places in held.items():
+            starts = np.concatenate([np.arange(first, first + n) for first, n in places])
+            hashes = self.rolled(self.every, starts, size)
+            order = np.argsort(hashes, kind="stable")
+            self.windows[size] = hashes[order], starts[order].astype(np.uint32)
+        self.same: dict[tuple[int, int], tuple[np.ndarray, frozenset[int]]] = {}
 
     @staticmethod
     def rolled(numbers: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
         out = np.zeros(len(starts), np.uint64)
         for i in range(size):
-            out = out * np.uint64(BASE) + numbers[starts + i]
+            out = out * np.uint64(BASE) + numbers[starts + i].astype(np.uint64)
         return out ^ (out >> np.uint64(29))
 
+    def items_of(self, size: int, place: int, found: np.ndarray) -> frozenset[int] | None:
+        """Items with this window, whose hash stands at ``place`` first; None if only the hash is the same."""
+        hashes, starts = self.windows[size]
+        if (size, place) not in self.same:
+            if len(self.same) >= REMEMBERED:
+                self.same.clear()
+            alike = starts[place:place + int(np.searchsorted(hashes[place:], hashes[place], "right"))].astype(np.int64)
+            rows = self.every[alike[:, None] + np.arange(size)]
+            if not (rows == rows[0]).all():  # two windows with one hash: never remembered
+                alike = alike[(rows == found).all(1)]
+                return frozenset((np.searchsorted(self.firsts, alike, "right") - 1).tolist()) or None
+            self.same[size, place] = rows[0], frozenset((np.searchsorted(self.firsts, alike, "right") - 1).tolist())
+        window, items = self.same[size, place]
+        return items if (window == found).all() else None
+
     def scan(self, texts: Sequence[str | None]) -> list[tuple[int, list[tuple[int, int]], set[int]]]:
         """For each text: its number of words, hit runs as (first word, word after the last), and the items that occur."""
         get, numbers, sizes = self.number.get, [], []
@@ -88,14 +106,15 @@ class WindowSet:
         room = outside[np.searchsorted(outside, inside)] - inside if len(inside) else inside
         marks = np.zeros(len(codes) + 1, np.int32)
         items: dict[int, set[int]] = {}
-        for size, known in self.hashes.items():
+        for size, (known, _) in self.windows.items():
             starts = inside[room >= size]
             if not len(starts):
                 continue
             hashed = self.rolled(codes, starts, size)
             place = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-            for start in starts[known[place] == hashed].tolist():
-                found = self.held[size].get(tuple(numbers[start:start + size]))
+            same = known[place] == hashed
+            for start, at in zip(starts[same].tolist(), place[same].tolist()):
+                found = self.items_of(size, at, codes[start:start + size])
                 if found is not None:
                     marks[start] += 1
                     marks[start + size] -= 1
@@ -128,7 +147,7 @@ def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _scanned(df: DataFrame, text: str, keep: Sequence[str], items: list, width: int, name: str) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(WindowSet(items, width))
+    shared = shipped(df.sparkSession, WindowSet(items, width))
 
     def work():
         windows = shared.value
@@ -151,6 +170,24 @@ def _joined_hits(old: str, new: str) -> Column:
         F.array_sort(F.array_union(F.col(f"{old}.items"), F.col(f"{new}.items"))).alias("items"))
 
 
+def blocks(items: Iterable[tuple[str | None, list[bytes]]], width: int, most: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """The items in blocks of at most ``most`` windows and about 32 bytes of words for each, cut between windows where a
+    block is full: the next piece begins with the words of the window behind the last one."""
+    held, windows, size = [], 0, 0
+    for name, words in items:
+        start, n = 0, max(1, len(words) - width + 1)
+        while start < n:
+            if windows >= most or size >= 32 * most:
+                yield held
+                held, windows, size = [], 0, 0
+            taken = min(n - start, most - windows)
+            piece = words[start:start + taken + width - 1]
+            held.append((name, piece))
+            windows, size, start = windows + taken, size + sum(map(len, piece)), start + taken
+    if held:
+        yield held
+
+
 def hits(
     df: DataFrame, benchmark: DataFrame, keep: Sequence[str], text: str = "text", item_id: str = "item_id", item_text: str = "text",
     width: int = WIDTH, most: int = MOST_WINDOWS, name: str = "hits",
@@ -168,18 +205,14 @@ def hits(
     kinds = [StructField("words", BinaryType()), StructField("windows", LongType())]
     items = per_text(benchmark, item_text, [item_id], kinds, work).where("windows > 0")
     counted = items.select(F.col(item_id).cast("string").alias("item"), "words", "windows").distinct()
-    total, largest = counted.agg(F.coalesce(F.sum("windows"), F.lit(0)), F.coalesce(F.max("windows"), F.lit(0))).first()
-    blocks = max(1, -(-total // max(1, most - min(largest, most - 1))))
-    if blocks > 1:
-        counted = counted.withColumn("block", F.pmod(F.xxhash64("item", "words"), F.lit(blocks)))
-        path = scratch_dir(spark, "benchmark-words")
-        counted.write.parquet(path)
-        counted = spark.read.parquet(path)
+    path = scratch_dir(spark, "benchmark-words")
+    counted.write.parquet(path)
+    counted = spark.read.parquet(path)
     source, old = df, free_name(df, name + "_before")
-    for block in range(blocks):
-        some = counted.where(F.col("block") == block) if blocks > 1 else counted
-        rows = [(r["item"], bytes(r["words"]).split(b" ")) for r in some.select("item", "words").toLocalIterator()]
-        last = block == blocks - 1
+    filled = blocks(((r["item"], bytes(r["words"]).split(b" ")) for r in counted.select("item", "words").toLocalIterator()), width, most)
+    rows, after, block = next(filled, []), next(filled, None), 0
+    while True:
+        last = after is None
         wanted = list(keep) if last else list(dict.fromkeys([*keep, text]))
         now = free_name(source, name + "_now")
         scanned = _scanned(source, text, wanted + ([old] if block else []), rows, width, now)
@@ -189,7 +222,9 @@ def hits(
             path = scratch_dir(spark, "benchmark-hits")
             source.write.parquet(path)
             source = spark.read.parquet(path)
-    return source
+        else:
+            return source
+        rows, after, block = after, next(filled, None), block + 1
 
 
 def n_hit(name: str = "hits") -> Column:

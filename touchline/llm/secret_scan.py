@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from touchline.llm.batches import per_text
+from touchline.llm.batches import per_text, shipped
 from touchline.session import cut_lineage, scratch_dir
 
 RUN = re.compile(r"(?<![A-Za-z0-9+/_~.-])(?=[A-Za-z+/_~.-]*[0-9])[A-Za-z0-9+/_~.-]{8,}={0,2}")
@@ -41,7 +41,7 @@ HOLDER = re.compile(r"(?i)example|changeme|placeholder|dummy|your[_-]|xxxx|\*\*\
 FORMATS = re.compile(
     r"AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[0-9A-Za-z_-]{35}"
     r"|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*")
-BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----.*?-----END [A-Z ]{0,40}PRIVATE KEY-----", re.DOTALL)
+BLOCK_BEGIN, BLOCK_END = (re.compile(rf"-----{mark} [A-Z ]{{0,40}}PRIVATE KEY-----") for mark in ("BEGIN", "END"))
 AROUND = 48
 WORD = re.compile(r"[^\W\d_]+")
 FEATURES = (
@@ -52,13 +52,29 @@ FEATURES = (
 TREES, DEPTH, MOST, SEED = 24, 8, 20_000, 11
 
 
+def key_blocks(text: str) -> list[tuple[int, int]]:
+    """From each begin mark outside a block to the first end mark behind it; both kinds of marks are found once."""
+    out: list[tuple[int, int]] = []
+    ends = BLOCK_END.finditer(text)
+    end = next(ends, None)
+    for begin in BLOCK_BEGIN.finditer(text):
+        if out and begin.start() < out[-1][1]:
+            continue
+        while end is not None and end.start() < begin.end():
+            end = next(ends, None)
+        if end is None:
+            break
+        out.append((begin.start(), end.end()))
+    return out
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans of all candidates, leftmost first; of overlapping ones the earlier, longer stays."""
     found = [m.span() for m in RUN.finditer(text)] if any(d in text for d in "0123456789") else []
     if "=" in text or ":" in text:
         found += [m.span(2) for m in KEYED.finditer(text)]
     if "PRIVATE KEY-----" in text:
-        found += [m.span() for m in BLOCK.finditer(text)]
+        found += key_blocks(text)
     out: list[tuple[int, int]] = []
     for start, end in sorted(found, key=lambda s: (s[0], -s[1])):
         if not out or start >= out[-1][1]:
@@ -209,7 +225,7 @@ FINDING = ArrayType(StructType([
 
 def findings(df: DataFrame, model, keep: Sequence[str], text: str = "text", limit: float = 0.5, name: str = "findings") -> DataFrame:
     """Columns ``keep`` and all candidates of each text (code points), with the forest's verdict."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(df.sparkSession, model)
 
     def work():
         forest = shared.value
@@ -236,7 +252,7 @@ def covered(text: str, spans: Sequence[tuple[int, int]], mask: str) -> str:
 
 def without_secrets(df: DataFrame, model=None, text: str = "text", mask: str = "[SECRET]", limit: float = 0.5) -> DataFrame:
     """All rows and columns, with secrets replaced in the text. Without a model it is trained on rule findings."""
-    shared = df.sparkSession.sparkContext.broadcast(model or fitted(rule_findings(df, text)))
+    shared = shipped(df.sparkSession, model or fitted(rule_findings(df, text)))
 
     def work():
         forest = shared.value

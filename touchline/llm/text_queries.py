@@ -22,8 +22,8 @@ def tokenizer_text(name: str = VOCABULARY) -> str:
 
 @query()
 def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Exact token counts, and where a text must be cut to keep within the limit."""
-    counted = token_counts.prefix_tables(documents(spark, folder), tokenizer_text(), limits=(LIMIT,), store=False)
+    """Exact token counts, and where a text must be cut to keep within the limit, out of stored prefix tables."""
+    counted = token_counts.answered(token_counts.written_tables(documents(spark, folder), tokenizer_text()), limits=(LIMIT,))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > LIMIT).alias("over_limit"), f"cut_{LIMIT}")
 
 

@@ -3,9 +3,9 @@
 The last token of the byte-pair encoding of a prefix is the one token that ends there and
 follows validly on the last token of the prefix before it; so ``count[i] = count[i - len] + 1``.
 Texts are cut where a new pre-token surely begins (a single space between two non-space
-characters); the table of such a piece is the same wherever it stands, so pieces are remembered.
-A text's table is stored as differences (int16 for each code point). From it every truncation or
-budget question is answered without encoding anything again.
+characters); the table of such a piece is the same wherever it stands, so short pieces are remembered, in
+a bounded number of bytes. A text's table is stored as differences, one byte for each code point where they
+fit (two otherwise). From it every truncation or budget question is answered without encoding anything again.
 
 Defined results: a missing text counts as empty (0 bytes, 0 tokens); ids may be missing or repeat
 (each row is counted on its own); extra columns are ignored; an empty table gives no rows.
@@ -20,13 +20,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField
 
-from touchline.llm.batches import per_text
+from touchline.llm.batches import per_text, shipped
+from touchline.session import scratch_dir
 
 # fixed values: the pre-token pattern of the byte-level vocabulary
 PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # fixed values: the white space of that pattern (Unicode White_Space)
 SPACES = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
-REMEMBERED = 120_000
+REMEMBERED = 96 << 20  # bytes of tables and pieces kept by a worker, about
+LONG_WORD = 120  # bytes from which a pre-token is walked by itself and not remembered
+LONG_PIECE = 64  # code points of a piece that is not remembered
 SEEN = 1 << 20
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,6 +79,15 @@ class PrefixCounter:
         self.seen = np.zeros(SEEN, bool)
         self.tables: dict[str, bytes] = {}
         self.pieces: dict[str, bytes | None] = {}
+        self.older_tables: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes | None] = {}
+        self.held = 0
+        self.passing: list[str] = []  # long pieces and pre-tokens, kept for one list of texts only
+        self.ages = ages
+        self.lengths = sorted({len(t) for t in ages})
+        self.followers: dict[int, bool] = {}
+        self.halves = list(zip(self.left.tolist(), self.right.tolist()))
+        self.merged = dict(zip(self.pairs.tolist(), self.pair_age.tolist()))
         self.pattern = regex.compile(PRE_TOKENS)
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
 
@@ -122,15 +134,53 @@ class PrefixCounter:
             open_ = open_[~bad & (undo_left | undo_right)]
         return good
 
+    def one_apart(self, left: int, right: int) -> bool:
+        """As _apart, for one pair."""
+        limit, merged, halves = len(self.halves), self.merged, self.halves
+        while merged.get(left << 20 | right, limit) >= limit:
+            if left > right and left >= 256:
+                limit, left = left, halves[left][1]
+            elif right >= 256:
+                limit, right = right + 1, halves[right][0]
+            elif left >= 256:
+                limit, left = left, halves[left][1]
+            else:
+                return True
+        return False
+
+    def walked(self, data: bytes) -> np.ndarray:
+        """Tokens of every byte prefix of one long pre-token. Only the last tokens within a longest token's reach are looked at."""
+        counts, last, ages, known = [0], [-1], self.ages, self.followers
+        for end in range(1, len(data) + 1):
+            for size in self.lengths:
+                token = ages.get(data[end - size:end]) if size <= end else None
+                if token is None:
+                    continue
+                before = last[end - size]
+                if before >= 0:
+                    key = before << 20 | token
+                    if key not in known:
+                        if len(known) >= SEEN:
+                            known.clear()
+                        known[key] = self.one_apart(before, token)
+                    if not known[key]:
+                        continue
+                last.append(token)
+                counts.append(counts[end - size] + 1)
+                break
+        return np.array(counts[1:], np.int32)
+
     def tables_of(self, words: list[str]) -> list[bytes]:
         """Differences of the tables of pre-tokens, by code point. Equal beginnings are one node of
-        a tree of prefixes, so the program runs once for each distinct prefix, a level at a time."""
+        a tree of prefixes, so the program runs once for each distinct prefix, a level at a time; long pre-tokens are walked."""
         data = [w.encode("utf-8", "surrogatepass") for w in words]
         sizes = np.array([len(d) for d in data], np.int64)
         firsts = np.cumsum(sizes) - sizes
         every = np.frombuffer(b"".join(data), np.uint8)
         counts = np.zeros(len(every), np.int32)
-        active = np.flatnonzero(sizes > 0)  # the words that are longer than the level
+        for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+            counts[firsts[i]:firsts[i] + sizes[i]] = self.walked(data[i])
+        active = np.flatnonzero((sizes > 0) & (sizes <= LONG_WORD))  # the words that are longer than the level
         node = np.zeros(len(active), np.int64)  # the node of each of them
         last, total = np.array([-1]), np.array([0])  # of the nodes of the level before
         behind: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # trie state, last token and count, 1, 2, .. levels before
@@ -174,10 +224,20 @@ class PrefixCounter:
         return out
 
     def know(self, words: set[str]) -> None:
-        new = sorted(w for w in words if w not in self.tables)
-        if len(self.tables) + len(new) > REMEMBERED:
-            self.tables = {w: self.tables[w] for w in words if w in self.tables}
+        new = []
+        for w in words:
+            if w not in self.tables:
+                if w in self.older_tables:
+                    self.tables[w] = self.older_tables[w]
+                    self.held += 250 + 4 * len(w)
+                else:
+                    new.append(w)
+        new.sort()
         self.tables.update(zip(new, self.tables_of(new)))
+        for w in new:
+            self.held += 250 + 4 * len(w)
+            if len(w) > LONG_PIECE:
+                self.passing.append(w)
 
     def general(self, text: str) -> bytes:
         """Differences for any text without special tokens."""
@@ -203,13 +263,23 @@ class PrefixCounter:
 
     def learn(self, texts: Sequence[str]) -> None:
         """Remember the tables of all pieces between single spaces, each with the space before it."""
-        found = {p for t in texts for p in t.split(" ")}
-        if len(self.pieces) + len(found) > REMEMBERED:
-            self.pieces = {p: self.pieces[p] for p in found if p in self.pieces}
+        for w in self.passing:
+            self.tables.pop(w, None)
+            self.pieces.pop(w, None)
+        self.passing = []
+        if self.held > REMEMBERED // 2:  # what is asked for again comes back from the older half
+            self.older_tables, self.older_pieces, self.tables, self.pieces, self.held = self.tables, self.pieces, {}, {}, 0
         words: dict[str, list[str]] = {}
-        for piece in found:
+        for piece in {p for t in texts for p in t.split(" ")}:
             if piece in self.pieces:
                 continue
+            if piece in self.older_pieces:
+                self.pieces[piece] = self.older_pieces[piece]
+                self.held += 250 + 4 * len(piece)
+                continue
+            if len(piece) > LONG_PIECE:
+                self.passing.append(piece)
+            self.held += 250
             if piece.isalpha():
                 words[piece] = [" " + piece]
             elif piece[:-1].isalpha() and piece[-1] in ",.;:!?":
@@ -263,7 +333,7 @@ def prefix_tables(
     df: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", limits: Sequence[int] = (), store: bool = True
 ) -> DataFrame:
     """One row for each text: id, n_bytes, n_tokens, ``cut_<limit>`` (code points of the longest prefix within
-    the limit) and, with ``store``, the table as ``prefix_tokens`` (int16 differences, little-endian).
+    the limit) and, with ``store``, the table as ``prefix_tokens`` (see ``packed_table``).
 
     ``tokenizer`` is the content of the vocabulary file; it travels with the tasks (a few MB, whatever the data).
     """
@@ -271,7 +341,7 @@ def prefix_tables(
     fields = [StructField("n_bytes", LongType()), StructField("n_tokens", LongType())]
     fields += [StructField(f"cut_{n}", LongType()) for n in limits]
     fields += [StructField("prefix_tokens", BinaryType())] if store else []
-    shared = df.sparkSession.sparkContext.broadcast(PrefixCounter(tokenizer))
+    shared = shipped(df.sparkSession, PrefixCounter(tokenizer))
 
     def work():
         counter = shared.value  # stays in the worker with what it has learnt
@@ -288,7 +358,7 @@ def prefix_tables(
                 for n, out in zip(limits, cuts):
                     out.append(longest_within(counts, n))
                 if store:
-                    tables.append(steps.tobytes())
+                    tables.append(packed_table(steps))
             return [sizes, tokens, *cuts] + ([tables] if store else [])
 
         return compute
@@ -296,11 +366,44 @@ def prefix_tables(
     return per_text(df, text, [id_column], fields, work)
 
 
+def packed_table(steps: np.ndarray) -> bytes:
+    """A table as stored: the bytes of a number (1 or 2), then the differences."""
+    width = 1 if not len(steps) or (steps.min() >= -128 and steps.max() <= 127) else 2
+    return bytes([width]) + steps.astype(f"<i{width}").tobytes()
+
+
+def steps_of(table: bytes) -> np.ndarray:
+    return np.frombuffer(table, f"<i{table[0]}", offset=1)
+
+
 def tokens_at(table: bytes, position: int) -> int:
     """Tokens of the first ``position`` code points, from a stored table."""
-    return int(np.frombuffer(table, np.int16)[:position].sum(dtype=np.int64))
+    return int(steps_of(table)[:position].sum(dtype=np.int64))
 
 
 def cut_for(table: bytes, budget: int) -> int:
     """Code points of the longest prefix within the budget, from a stored table."""
-    return longest_within(np.cumsum(np.frombuffer(table, np.int16), dtype=np.int64), budget)
+    return longest_within(np.cumsum(steps_of(table), dtype=np.int64), budget)
+
+
+def written_tables(df: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The tables of all texts (id, n_bytes, prefix_tokens), written to the shared folder and read again."""
+    path = scratch_dir(df.sparkSession, "prefix-tokens")
+    made = prefix_tables(df, tokenizer, id_column, text).select(f"`{id_column}`", "n_bytes", "prefix_tokens")
+    made.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def answered(tables: DataFrame, id_column: str = "doc_id", limits: Sequence[int] = ()) -> DataFrame:
+    """(id, n_bytes, n_tokens, ``cut_<limit>``, ..) from stored tables, without any text."""
+    limits = list(limits)
+    fields = [StructField("n_tokens", LongType()), *[StructField(f"cut_{n}", LongType()) for n in limits]]
+
+    def work():
+        def compute(stored):
+            counts = [np.cumsum(steps_of(t), dtype=np.int64) for t in stored]
+            return [[int(c[-1]) if len(c) else 0 for c in counts], *[[longest_within(c, n) for c in counts] for n in limits]]
+
+        return compute
+
+    return per_text(tables, "prefix_tokens", [id_column, "n_bytes"], fields, work)

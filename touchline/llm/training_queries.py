@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat_roles, packing, secret_scan, token_counts
+from touchline.llm import chat_roles, packing, secret_scan, token_lengths
 from touchline.llm.batches import documents
 from touchline.llm.registry import query
 from touchline.llm.text_queries import tokenizer_text
@@ -14,7 +14,7 @@ from touchline.sources.tables import table
 @query()
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in optimal buckets and batches; lengths in tokens of the byte-level vocabulary."""
-    counted = token_counts.prefix_tables(documents(spark, folder), tokenizer_text(), store=False)
+    counted = token_lengths.token_lengths(documents(spark, folder), tokenizer_text())
     return packing.packed(counted, "doc_id", "n_tokens")
 
 
