@@ -3,13 +3,18 @@
 Every stage works on all rows its predecessor kept, and its result is written as Parquet below the
 cluster's shared checkpoint folder and read again, so a lost executor repeats one stage at most.
 All stages but the last return the columns of ``documents``.
+
+Defined results, as of the operators that the stages call: a missing text has no words and fails the base rules of quality;
+rows with a missing or repeated id are judged one by one, and of a group of near copies the one with the smallest id stays (missing ids
+last); extra columns pass through all stages but the last; empty tables give empty results, and a row for every piece
+of a text comes out of packing, none for a text without tokens.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import decontamination, near_copies, packing, quality_rules, secret_scan, token_counts
+from touchline.llm import decontamination, near_copies, packing, quality_rules, secret_scan, token_lengths
 from touchline.llm.text_queries import tokenizer_text
 from touchline.session import scratch_dir
 from touchline.sources.tables import table
@@ -38,7 +43,7 @@ def secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def packs(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of the texts in buckets and batches; lengths in tokens of the byte-level vocabulary."""
-    counted = token_counts.prefix_tables(docs, tokenizer_text(), store=False)
+    counted = token_lengths.token_lengths(docs, tokenizer_text())
     return packing.packed(counted, "doc_id", "n_tokens")
 
 
