@@ -3,7 +3,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from touchline.operators.ordered import attach
 from touchline.operators.quantiles import quantiles
 from touchline.operators.sampling import bootstrap_means
 from touchline.plans.contingency import every_cell
+from touchline.plans.solvers import conjugate_gradients, connected
 from touchline.session import cut_lineage
 
 
@@ -121,44 +121,47 @@ def pairwise(df: DataFrame, factor: str, response: str, level: float = 0.95) ->
     return rows.drop("__m", "__k", "mse", "df_within")
 
 
-MAX_CELLS = 250_000
-
-
 def two_way_anova(df: DataFrame, first: str, second: str, response: str) -> DataFrame:
     """Unbalanced two-way ANOVA: each main effect beside the other (``ss``, type II), and
     in the given order (``ss_in_order``, type I), and the interaction.
 
-    The table of cell moments (levels times levels) is the only thing that is solved
-    on the driver; a factor with too many levels for that is refused, not cut.
+    Works on the counted cells (level by level), whatever the number of levels. The second factor beside the first is one
+    sparse system, with an unknown for each of its levels, solved by conjugate gradients whose products are joins and sums over
+    the cells; degrees of freedom come from the connected parts of the graph of levels that occur together.
     """
-    cells = df.where(F.col(response).isNotNull()).dropna(subset=[first, second]).groupBy(first, second).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(response).alias("mean"),
-        (F.var_pop(response) * F.count(F.lit(1))).alias("ss"),
-    )
-    found = cells.limit(MAX_CELLS + 1).collect()
-    if len(found) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells: {first} or {second} is not a factor")
-    n = np.array([r["n"] for r in found], float)
-    y = np.array([r["mean"] for r in found], float)
-    within = float(sum(r["ss"] for r in found))
-
-    def dummies(column: str) -> np.ndarray:
-        names = sorted({r[column] for r in found})
-        return np.array([[float(r[column] == v) for v in names[1:]] for r in found]).reshape(len(found), -1)
-
-    one, two = dummies(first), dummies(second)
-
-    def misfit(*blocks: np.ndarray) -> tuple[float, int]:
-        x = np.hstack([np.ones((len(found), 1)), *blocks]) * np.sqrt(n)[:, None]
-        beta, _, rank, _ = np.linalg.lstsq(x, y * np.sqrt(n), rcond=None)
-        return float(((y * np.sqrt(n) - x @ beta) ** 2).sum()), int(rank)
-
-    (none, _), (only_one, r1), (only_two, r2), (both, r12) = misfit(), misfit(one), misfit(two), misfit(one, two)
-    df_within = int(n.sum()) - len(found)
-    rows = [(first, none - only_one, only_two - both, r12 - r2), (second, only_one - both, only_one - both, r12 - r1),
-            (f"{first}:{second}", both, both, len(found) - r12), ("residual", within, within, df_within)]
+    used = df.where(F.col(response).isNotNull()).dropna(subset=[first, second])
+    middle = used.agg(F.avg(response)).first()[0]
+    if middle is None:
+        raise ValueError("no complete cases")
+    y = F.col(response).cast("double") - F.lit(float(middle))
+    cells = cut_lineage(used.groupBy(F.col(first).alias("a"), F.col(second).alias("b")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(y).alias("s"), (F.var_pop(response) * F.count(F.lit(1))).alias("ss")))
+    levels = {c: cells.groupBy(c).agg(F.sum("n").alias(f"n_{c}"), F.sum("s").alias(f"s_{c}")) for c in "ab"}
+    alone = {c: t.agg(F.count(F.lit(1)).alias("k"), F.sum(F.col(f"s_{c}") * F.col(f"s_{c}") / F.col(f"n_{c}")).alias("ss")).first() for c, t in levels.items()}
+    whole = cells.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("ss").alias("within"),
+                      F.sum(F.col("s") * F.col("s") / F.col("n")).alias("ss")).first()
+    # what the second factor's sums still say once every level of the first has its own mean
+    beside = cut_lineage(cells.join(levels["a"], "a"))
+    left = F.col("s") - F.col("n") * F.col("s_a") / F.col("n_a")
+    system = beside.groupBy("b").agg(
+        F.sum(left).alias("right"), F.lit(0.0).alias("mean"), F.sum(F.col("n") - F.col("n") * F.col("n") / F.col("n_a")).alias("diagonal"))
+
+    def product(vector: DataFrame) -> DataFrame:
+        rows = beside.join(vector, "b")
+        shared = rows.groupBy("a").agg(F.sum(F.col("n") * F.col("p")).alias("u"))
+        return rows.join(shared, "a").groupBy("b").agg(F.sum(F.col("n") * (F.col("p") - F.col("u") / F.col("n_a"))).alias("q"))
+
+    solved = conjugate_gradients(system, "b", product, tolerance=1e-11)
+    second_beside = float(solved.agg(F.sum(F.col("x") * F.col("right"))).first()[0])
+    first_beside = alone["a"]["ss"] + second_beside - alone["b"]["ss"]
+    parts = connected(cells.select(F.to_json(F.struct("a")).alias("a"), F.to_json(F.struct("b")).alias("b")), "a", "b").select("label").distinct().count()
+    both = whole["ss"] - alone["a"]["ss"] - second_beside
+    rank, df_within = alone["a"]["k"] + alone["b"]["k"] - parts, int(whole["n"]) - whole["k"]
+    within = whole["within"]
+    rows = [(first, alone["a"]["ss"], first_beside, rank - alone["b"]["k"]), (second, second_beside, second_beside, rank - alone["a"]["k"]),
+            (f"{first}:{second}", both, both, whole["k"] - rank), ("residual", within, within, df_within)]
     table = df.sparkSession.createDataFrame(
-        [(t, float(in_order), float(ss), int(d), within / df_within) for t, in_order, ss, d in rows],
+        [(t, float(in_order), float(ss), int(d), within / df_within if df_within else None) for t, in_order, ss, d in rows],
         "term string, ss_in_order double, ss double, df long, __mse double",
     )
     f = F.when(F.col("term") != "residual", F.try_divide(F.col("ss"), F.col("df") * F.col("__mse")))

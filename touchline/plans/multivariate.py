@@ -7,7 +7,9 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators.ordered import attach
 from touchline.plans.regression import moments
+from touchline.session import cut_lineage
 
 
 class Components:
@@ -48,7 +50,7 @@ class Components:
         return df
 
 
-def clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int, kind: str = "kmeans", scale: bool = True):
+def clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int, kind: str = "kmeans", scale: bool = True, keep_features: bool = False):
     """Cluster numeric columns (or one array column) with Spark ML; returns labelled rows and model."""
     from pyspark.ml import Pipeline
     from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
@@ -64,4 +66,53 @@ def clusters(df: DataFrame, columns: Sequence[str], k: int, seed: int, kind: str
     stages.append(maker(k=k, seed=seed, featuresCol="features" if scale else "__raw", predictionCol="cluster"))
     model = Pipeline(stages=stages).fit(ready)
     kept = [*df.columns, "cluster"]
+    kept += [F.col("features" if scale else "__raw").alias("__features")] if keep_features else []
     return model.transform(ready).select(*kept), model
+
+
+def agreement(df: DataFrame, first: str, second: str) -> DataFrame:
+    """How far two partitions of the rows agree: adjusted Rand index, purity of the second by the first,
+    and mutual information over the mean of both entropies. One row, from the counted table of both; rows
+    that miss a value are left out. Indices without a meaning (one group on both sides) are 1.
+    """
+    cells = cut_lineage(df.dropna(subset=[first, second]).groupBy(F.col(first).alias("a"), F.col(second).alias("b")).agg(
+        F.count(F.lit(1)).cast("double").alias("n")))
+    pairs = lambda n: n * (n - 1) / 2
+    sums = {c: cells.groupBy(c).agg(F.sum("n").alias("n"), F.max("n").alias("top")) for c in "ab"}
+    n = F.col("n")
+    log_sum = lambda c: F.sum(c * F.log(c))
+    row = cells.agg(F.sum(n).alias("rows"), F.sum(pairs(n)).alias("pairs"), log_sum(n).alias("logs"))
+    for c, table in sums.items():
+        own = table.agg(F.sum(pairs(n)).alias(f"pairs_{c}"), log_sum(n).alias(f"logs_{c}"), F.sum("top").alias(f"top_{c}"), F.count(F.lit(1)).alias(f"groups_{c}"))
+        row = attach(row, own, [])
+    rows, base = F.col("rows"), F.log("rows")
+    expected = F.col("pairs_a") * F.col("pairs_b") / F.nullif(pairs(rows), F.lit(0.0))
+    most = (F.col("pairs_a") + F.col("pairs_b")) / 2
+    rand = F.coalesce(F.try_divide(F.col("pairs") - expected, most - expected), F.lit(1.0))
+    entropy = {c: base - F.col(f"logs_{c}") / rows for c in "ab"}
+    shared = base + (F.col("logs") - F.col("logs_a") - F.col("logs_b")) / rows
+    information = F.coalesce(F.try_divide(shared, (entropy["a"] + entropy["b"]) / 2), F.lit(1.0))
+    return row.where("rows > 0").select(
+        rows.cast("long").alias("rows"), "groups_a", "groups_b", rand.alias("adjusted_rand"), (F.col("top_b") / rows).alias("purity"),
+        information.alias("shared_information"))
+
+
+def silhouettes(df: DataFrame, columns: Sequence[str], counts: Sequence[int], seed: int, scale: bool = True) -> DataFrame:
+    """(k, silhouette) of k-means with each number of clusters: how much nearer a row is to its own centre
+    than to the next one, on average. Distances to all centres are one expression, so a fit is read once more."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = []
+    for k in counts:
+        if k < 2:
+            raise ValueError("a silhouette compares two clusters or more")
+        labelled, model = clusters(df, columns, k, seed, "kmeans", scale, keep_features=True)
+        centres = [list(map(float, c)) for c in model.stages[-1].clusterCenters()]
+        x = vector_to_array("__features")
+        away = F.array_sort(F.array(*[
+            F.sqrt(F.aggregate(F.zip_with(x, F.array(*[F.lit(v) for v in c]), lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d))
+            for c in centres]))
+        near = labelled.select(away.alias("d")).select(F.get("d", F.lit(0)).alias("own"), F.get("d", F.lit(1)).alias("next"))
+        value = near.agg(F.avg(F.coalesce(F.try_divide(F.col("next") - F.col("own"), F.col("next")), F.lit(0.0)))).first()[0]
+        rows.append((int(k), value))
+    return df.sparkSession.createDataFrame(rows, "k int, silhouette double")

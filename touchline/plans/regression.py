@@ -357,20 +357,44 @@ def converged(model) -> None:
         raise ArithmeticError(f"{type(model).__name__} did not converge in {MOST_STEPS} steps")
 
 
-def lasso(df: DataFrame, response: str, predictors: Sequence[str], penalty: float) -> DataFrame:
-    """Lasso by Spark ML on standardised predictors."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
+def soft(value: float, limit: float) -> float:
+    """Pulled towards 0 by the limit."""
+    return math.copysign(max(abs(value) - limit, 0.0), value)
 
-    ready = VectorAssembler(inputCols=list(predictors), outputCol="features").transform(
-        df.select(response, *predictors).dropna()
-    )
-    model = LinearRegression(
-        labelCol=response, elasticNetParam=1.0, regParam=penalty, standardization=True, tol=1e-9, maxIter=MOST_STEPS
-    ).fit(ready)
-    converged(model)
-    rows = [("(Intercept)", float(model.intercept)), *zip(predictors, map(float, model.coefficients))]
-    return df.sparkSession.createDataFrame(rows, "term string, estimate double")
+
+def lasso_paths(
+    df: DataFrame, response: str, predictors: Sequence[str], penalties: Sequence[float], tolerance: float = 1e-12
+) -> DataFrame:
+    """(penalty, term, estimate) of every lasso fit on standardised predictors, from one pass over the data.
+
+    Minimises squared error / (2 rows) + penalty * sum of sd * |b|. Coordinates are updated in turn on the k x k table of
+    covariances; penalties are fitted from the largest to the smallest, each from the solution before it.
+    """
+    if min(penalties, default=0.0) < 0:
+        raise ValueError("penalties are not negative")
+    m = moments(df, [*predictors, response])
+    k = len(predictors)
+    inside, across = m.cross[:k, :k] / m.n, m.cross[:k, k] / m.n
+    own = np.diag(inside).copy()
+    sd = np.sqrt(own * m.n / max(1.0, m.n - 1))
+    b, rows = np.zeros(k), []
+    for penalty in sorted(set(map(float, penalties)), reverse=True):
+        for _ in range(MOST_STEPS):
+            before = b.copy()
+            for j in np.flatnonzero(own > 0):
+                b[j] = soft(across[j] - inside[j] @ b + own[j] * b[j], penalty * sd[j]) / own[j]
+            if np.abs((b - before) * sd).max(initial=0.0) <= tolerance * max(1.0, np.abs(b * sd).max(initial=0.0)):
+                break
+        else:
+            raise ArithmeticError(f"the lasso did not converge in {MOST_STEPS} steps")
+        rows.append((penalty, "(Intercept)", float(m.mean[k] - m.mean[:k] @ b)))
+        rows += [(penalty, p, float(v)) for p, v in zip(predictors, b)]
+    return df.sparkSession.createDataFrame(rows, "penalty double, term string, estimate double")
+
+
+def lasso(df: DataFrame, response: str, predictors: Sequence[str], penalty: float) -> DataFrame:
+    """The lasso fit of one penalty: (term, estimate)."""
+    return lasso_paths(df, response, predictors, [penalty]).select("term", "estimate")
 
 
 def grouped_cells(df: DataFrame, label: str, predictors: Sequence[str]) -> DataFrame:

@@ -164,10 +164,32 @@ def ridge_cross_validation(spark, folder):
     return rounded(made, "cv_mse", places=2)
 
 
-@query()
+LASSO = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+PENALTIES = (5000.0, 500.0, 50.0)
+
+
+def _lasso_sql(rounds=25):
+    """Coordinates updated in turn, from 0, for each penalty."""
+    pairs = [(i, j) for i in range(4) for j in range(i, 4)]
+    s = lambda i, j: f"s{min(i, j)}{max(i, j)}"
+    x = [f"l.{c}::DOUBLE" for c in LASSO]
+    steps = ["b0 AS (SELECT m.*, penalty, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3 FROM m, penalties)"]
+    for step in range(1, 4 * rounds + 1):
+        j = (step - 1) % 4
+        left = " - ".join([f"y{j}", *[f"{s(j, i)} * b{i}" for i in range(4) if i != j]])
+        new = f"sign({left}) * greatest(abs({left}) - penalty * sqrt({s(j, j)} * n / (n - 1)), 0) / {s(j, j)}"
+        steps.append(f"b{step} AS MATERIALIZED (SELECT * REPLACE ({new} AS b{j}) FROM b{step - 1})")
+    terms = " UNION ALL ".join([f"SELECT penalty, '{c}' AS term, round(b{i}, 3) AS estimate FROM b{4 * rounds}" for i, c in enumerate(LASSO)])
+    return f"""WITH l AS (SELECT * FROM lineitem), m AS (SELECT count(*) AS n, avg(l_extendedprice) AS my, {', '.join(f'avg({v}) AS m{i}' for i, v in enumerate(x))},
+        {', '.join(f'covar_pop({x[i]}, {x[j]}) AS s{i}{j}' for i, j in pairs)}, {', '.join(f'covar_pop({v}, l_extendedprice) AS y{i}' for i, v in enumerate(x))} FROM l),
+      penalties AS (SELECT unnest([{', '.join(map(str, PENALTIES))}]::DOUBLE[]) AS penalty), {', '.join(steps)}
+      SELECT penalty, '(Intercept)' AS term, round(my - m0 * b0 - m1 * b1 - m2 * b2 - m3 * b3, 3) AS estimate FROM b{4 * rounds} UNION ALL {terms}"""
+
+
+@query(_lasso_sql())
 def lasso_path(spark, folder):
-    predictors = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-    return rounded(regression.lasso(_line(spark, folder), "l_extendedprice", predictors, 500.0), "estimate", places=3)
+    """Lasso fits from the largest penalty to the smallest, out of one pass over the data."""
+    return rounded(regression.lasso_paths(_line(spark, folder), "l_extendedprice", LASSO, PENALTIES), "estimate", places=3)
 
 
 @query()
@@ -179,6 +201,25 @@ def plus_minus_ratings(spark, folder):
     return rounded(ratings.plus_minus(entries, made, keys, "margin", "n_pos", 0.05), "rating")
 
 
+@query("""WITH x AS (SELECT l_quantity::DOUBLE AS w, l_extendedprice::DOUBLE AS y, CASE l_returnflag WHEN 'R' THEN 1.0 ELSE -1.0 END::DOUBLE AS a,
+    CASE l_linestatus WHEN 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS b FROM lineitem),
+  m AS (SELECT sum(w) AS w, sum(w * a) / sum(w) AS ma, sum(w * b) / sum(w) AS mb, sum(w * y) / sum(w) AS my FROM x),
+  s AS (SELECT sum(x.w * (a - ma) * (a - ma)) / any_value(m.w) + 0.05 AS aa, sum(x.w * (b - mb) * (b - mb)) / any_value(m.w) + 0.05 AS bb,
+    sum(x.w * (a - ma) * (b - mb)) / any_value(m.w) AS ab, sum(x.w * (a - ma) * (y - my)) / any_value(m.w) AS ay,
+    sum(x.w * (b - mb) * (y - my)) / any_value(m.w) AS by_ FROM x, m)
+  SELECT 'returned' AS player, round((ay * bb - by_ * ab) / (aa * bb - ab * ab), 4) AS rating, (SELECT count(*) FROM x) AS n_rows FROM s
+  UNION ALL SELECT 'open', round((by_ * aa - ay * ab) / (aa * bb - ab * ab), 4), (SELECT count(*) FROM x WHERE b <> 0) FROM s""")
+def two_factor_ratings(spark, folder):
+    """Weighted ridge of the price on two signed marks of every line, by conjugate gradients on the long table."""
+    line = _line(spark, folder)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
+    marks = F.array(
+        F.struct(F.lit("returned").alias("player"), F.when(F.col("l_returnflag") == "R", 1).otherwise(-1).alias("value")),
+        F.struct(F.lit("open").alias("player"), F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("value")))
+    entries = line.select(*keys, F.inline(marks)).where("value <> 0")
+    return rounded(ratings.plus_minus(entries, line, keys, "l_extendedprice", "l_quantity", 0.05), "rating")
+
+
 @query("""WITH g AS (SELECT c_nationkey, count(*) AS n, avg(c_acctbal) AS mean, var_pop(c_acctbal) * count(*) AS ss FROM customer GROUP BY 1),
   t AS (SELECT sum(n) AS al, count(*) AS k, sum(n * mean) / sum(n) AS overall, sum(ss) / (sum(n) - count(*)) AS s2,
     sum(n) - sum(n * n) / sum(n) AS base FROM g),
@@ -289,6 +330,33 @@ def clusters_against_labels(spark, folder):
     return rows.groupBy("label", "cluster").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""WITH c AS (SELECT l_returnflag AS a, l_linestatus AS b, count(*)::DOUBLE AS n FROM lineitem GROUP BY ALL),
+  x AS (SELECT sum(n) AS n FROM c GROUP BY a), y AS (SELECT sum(n) AS n, max(n) AS top FROM c GROUP BY b),
+  t AS (SELECT (SELECT sum(n) FROM c) AS n, (SELECT sum(n * (n - 1) / 2) FROM c) AS p, (SELECT sum(n * (n - 1) / 2) FROM x) AS pa,
+    (SELECT sum(n * (n - 1) / 2) FROM y) AS pb, (SELECT sum(n * ln(n)) FROM c) AS l, (SELECT sum(n * ln(n)) FROM x) AS la, (SELECT sum(n * ln(n)) FROM y) AS lb)
+  SELECT CAST(n AS BIGINT) AS rows, (SELECT count(*) FROM x) AS groups_a, (SELECT count(*) FROM y) AS groups_b,
+    round((p - pa * pb / (n * (n - 1) / 2)) / ((pa + pb) / 2 - pa * pb / (n * (n - 1) / 2)), 8) AS adjusted_rand,
+    round((SELECT sum(top) FROM y) / n, 8) AS purity,
+    round((ln(n) + (l - la - lb) / n) / ((2 * ln(n) - (la + lb) / n) / 2), 8) AS shared_information FROM t""")
+def partition_agreement(spark, folder):
+    """How far two groupings of all lines agree."""
+    return rounded(multivariate.agreement(table(spark, folder, "lineitem"), "l_returnflag", "l_linestatus"), "adjusted_rand", "purity", "shared_information", places=8)
+
+
+@query()
+def cluster_agreement(spark, folder):
+    """Agreement of k-means on the embeddings with their labels."""
+    rows, _ = multivariate.clusters(table(spark, folder, "embeddings"), ["embedding"], 10, seed=3)
+    return rounded(multivariate.agreement(rows, "label", "cluster"), "adjusted_rand", "purity", "shared_information")
+
+
+@query()
+def cluster_silhouettes(spark, folder):
+    """How well three, five and ten clusters part the suppliers' balances."""
+    rows = table(spark, folder, "supplier").select("s_suppkey", F.col("s_acctbal").cast("double").alias("s_acctbal"))
+    return rounded(multivariate.silhouettes(rows, ["s_acctbal"], [3, 5, 10], seed=5), "silhouette")
+
+
 @query()
 def mixture_clusters(spark, folder):
     rows, _ = multivariate.clusters(table(spark, folder, "supplier").select("s_suppkey", "s_acctbal"), ["s_acctbal"], 3, 5, "mixture")
