@@ -41,9 +41,9 @@ def associative_scan(
         made = made.withColumn(own, F.when(F.col(before).isNull(), F.col(own)).otherwise(combine(F.col(before), F.col(own)))).drop(before)
         reach *= 2
     if most > length:
-        ends = made.groupBy(*keys, part).agg(F.max_by(own, number).alias("__end"))
-        carried = associative_scan(ends, keys, [part], "__end", combine, "__sum", length)
-        carried = carried.select(*keys, (F.col(part) + 1).alias(part), "__sum")
+        ends = made.groupBy(*keys, F.col(part).alias("__range_no")).agg(F.max_by(own, number).alias("__end"))
+        carried = associative_scan(ends, keys, ["__range_no"], "__end", combine, "__sum", length)
+        carried = carried.select(*keys, (F.col("__range_no") + 1).alias(part), "__sum")
         made = attach(made, carried, [*keys, part])
         made = made.withColumn(own, F.when(F.col("__sum").isNull(), F.col(own)).otherwise(combine(F.col("__sum"), F.col(own))))
         made = made.drop("__sum")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.functions.tails import area, f_upper, t_quantile, t_two_sided
+from touchline.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -465,23 +466,82 @@ def spline_columns(df: DataFrame, column: str, low: float, high: float, pieces:
     return df.withColumns(made), list(made)
 
 
-def additive_logistic(df: DataFrame, label: str, spans: dict[str, tuple[float, float, int]], penalty: float):
-    """Additive model: a penalised logistic regression on spline columns.
-
-    ``spans`` gives (low, high, pieces) of each predictor. Returns the model and its terms.
+@dataclass(frozen=True)
+class AdditiveFit:
+    """A fitted additive model: coefficients of its spline columns, and what they cost."""
+
+    intercept: float
+    coefficients: np.ndarray
+    penalty: float
+    freedom: float   # effective degrees of freedom, intercept included
+    deviance: float
+    score: float     # generalised cross-validation
+
+
+def difference_penalty(sizes: Sequence[int]) -> np.ndarray:
+    """Squared second differences of neighbouring coefficients, for blocks of spline columns whose first
+    function was left to the intercept (its coefficient is 0)."""
+    whole = np.zeros((sum(sizes), sum(sizes)))
+    at = 0
+    for size in sizes:
+        steps = np.diff(np.eye(size + 1), 2, axis=0)[:, 1:]
+        whole[at:at + size, at:at + size] = steps.T @ steps
+        at += size
+    return whole
+
+
+def additive_logistic(
+    df: DataFrame, label: str, spans: dict[str, tuple[float, float, int]], penalty: float | Sequence[float], tolerance: float = 1e-8
+) -> tuple[AdditiveFit, list[str]]:
+    """Additive model of a 0/1 label: a sum of smooth curves on the log-odds scale.
+
+    ``spans`` gives (low, high, pieces) of each predictor. The likelihood is penalised by ``penalty`` / 2 times the squared
+    second differences of each curve's coefficients, so a large penalty leaves straight lines. Of several penalties
+    the one with the least generalised cross-validation is taken. Fitted by reweighted least squares on counted cells: a
+    round is one weighted table of moments, penalties go from the largest to the smallest, each from the fit
+    before it. Returns the fit and the names of its columns.
     """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
     names: list[str] = []
+    sizes = []
     cells = grouped_cells(df, label, list(spans))
     for column, span in spans.items():
         cells, made = spline_columns(cells, column, *span)
         names += made
-    ready = VectorAssembler(inputCols=names, outputCol="features").transform(cells)
-    model = LogisticRegression(labelCol=label, weightCol="__weight", regParam=penalty, tol=1e-9, maxIter=MOST_STEPS).fit(ready)
-    converged(model)
-    return model, names
+        sizes.append(len(made))
+    cells = cut_lineage(cells.select(label, "__weight", *names))
+    total = cells.agg(F.sum("__weight").alias("n"), F.sum(F.col("__weight") * F.col(label)).alias("won")).first()
+    if not total["n"] or not 0 < total["won"] < total["n"]:
+        raise ValueError("both labels must occur")
+    rough = difference_penalty(sizes)
+    best, share = None, total["won"] / total["n"]
+    start, b = math.log(share / (1 - share)), np.zeros(len(names))
+    penalties = [penalty] if isinstance(penalty, (int, float)) else penalty
+    for weight in sorted(set(map(float, penalties)), reverse=True):
+        for _ in range(MOST_REWEIGHTINGS):
+            line = F.lit(start)
+            for name, value in zip(names, b.tolist()):
+                line = line + F.lit(value) * F.col(name)
+            mean = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("__line")))))
+            rows = cells.withColumn("__line", line).withColumn("__mean", mean)
+            spread = F.col("__mean") * (1 - F.col("__mean"))
+            rows = rows.withColumn("__z", F.col("__line") + (F.col(label) - F.col("__mean")) / spread).withColumn("__w", F.col("__weight") * spread)
+            m = moments(rows, [*names, "__z"], "__w")
+            inside = m.cross[:-1, :-1]
+            new = np.linalg.lstsq(inside + weight * rough, m.cross[:-1, -1], rcond=None)[0]
+            begin = float(m.mean[-1] - m.mean[:-1] @ new)
+            moved = max(abs(begin - start), float(np.abs(new - b).max(initial=0.0)))
+            start, b = begin, new
+            if moved <= tolerance * max(1.0, float(np.abs(b).max(initial=0.0))):
+                break
+        else:
+            raise ArithmeticError("the additive model did not converge; the classes may be separable")
+        chance = F.when(F.col(label) == 1, F.col("__mean")).otherwise(1 - F.col("__mean"))
+        deviance = float(rows.agg(F.sum(-2 * F.col("__weight") * F.log(chance))).first()[0])
+        freedom = 1 + float(np.trace(np.linalg.lstsq(inside + weight * rough, inside, rcond=None)[0]))
+        score = total["n"] * deviance / (total["n"] - freedom) ** 2
+        fit = AdditiveFit(start, b, weight, freedom, deviance, score)
+        best = fit if best is None or score < best.score else best
+    return best, names
 
 
 MAX_CLASSES = 1000

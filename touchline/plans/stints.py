@@ -154,21 +154,37 @@ def tolerant_groups(
     """Apply a table function to each group; a failing group gives one row with its keys and the error name.
 
     The function needs its whole group (a game, an order) in one task: use it for groups that
-    are small by their nature.
+    are small by their nature. Rows are dealt and sorted by the keys, and a task hands out the groups of a whole batch one
+    by one, so a million small groups cost no exchange with the worker each.
     """
     from pyspark.sql import types as T
 
     names = T.StructType.fromDDL(schema).names
     kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    whole = [isinstance(df.schema[k].dataType, T.IntegralType) for k in keys]
 
-    def apply(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def plain(value, is_whole: bool):
+        return None if pd.isna(value) else int(value) if is_whole else value
+
+    def made(key: tuple, rows: pd.DataFrame) -> list[tuple]:
+        key = tuple(map(plain, key, whole))
         try:
-            made = function(rows)[names].astype(object)
-            made[error] = None
+            return [(*key, *row, None) for row in function(rows.reset_index(drop=True))[names].itertuples(index=False, name=None)]
         except Exception as problem:  # a bad group must not stop the job
-            made = pd.DataFrame({n: [None] for n in names} | {error: [type(problem).__name__]}, dtype=object)
-        for place, (name, value) in enumerate(zip(keys, key)):
-            made.insert(place, name, pd.Series([value] * len(made), index=made.index, dtype=object))
-        return made
+            return [(*key, *[None] * len(names), type(problem).__name__)]
 
-    return df.groupBy(*keys).applyInPandas(apply, f"{kinds}, {schema}, {error} string")
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            groups = [g for g in (batch if held is None else pd.concat([held, batch], ignore_index=True)).groupby(keys, sort=False, dropna=False)]
+            held = groups[-1][1]  # it may go on in the next batch
+            rows = [row for key, group in groups[:-1] for row in made(key, group)]
+            yield pd.DataFrame(rows, columns=[*keys, *names, error], dtype=object)
+        if held is not None:
+            key = tuple(held[k].iloc[0] for k in keys)
+            yield pd.DataFrame(made(key, held), columns=[*keys, *names, error], dtype=object)
+
+    dealt = df.repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInPandas(apply, f"{kinds}, {schema}, {error} string")

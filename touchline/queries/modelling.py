@@ -285,12 +285,33 @@ def naive_bayes_confusion(spark, folder):
     return regression.confusion(regression.bayes_classes(line, classes, "l_linestatus", names), "l_linestatus")
 
 
+def _line_sql(rounds=8):
+    """Log-odds as a straight line in one predictor, by Newton steps from 0."""
+    steps = ["b0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)"]
+    for i in range(rounds):
+        steps.append(f"""h{i} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, sum(won - n * p) AS ga, sum(x * (won - n * p)) AS gb, sum(n * p * (1 - p)) AS aa,
+          sum(n * x * p * (1 - p)) AS ab, sum(n * x * x * p * (1 - p)) AS bb FROM (SELECT c.*, a, b, 1 / (1 + exp(-a - b * x)) AS p FROM c, b{i})),
+        b{i + 1} AS MATERIALIZED (SELECT a + (bb * ga - ab * gb) / (aa * bb - ab * ab) AS a, b + (aa * gb - ab * ga) / (aa * bb - ab * ab) AS b FROM h{i})""")
+    return f"""WITH c AS MATERIALIZED (SELECT l_quantity::DOUBLE AS x, count(*) AS n, count(*) FILTER (l_tax > 0.03) AS won FROM lineitem GROUP BY l_quantity),
+      {', '.join(steps)} SELECT x AS l_quantity, n, round(1 / (1 + exp(-a - b * x)), 5) AS fitted FROM c, b{rounds}"""
+
+
+@query(_line_sql())
+def additive_model_line(spark, folder):
+    """A curve under a very large penalty: the straight line of the log-odds."""
+    rows = _late(spark, folder).withColumn("l_quantity", F.col("l_quantity").cast("double"))
+    span = (1.0, 50.0, 4)
+    model, names = regression.additive_logistic(rows, "won", {"l_quantity": span}, 1e9)
+    grid, _ = regression.spline_columns(rows.groupBy("l_quantity").agg(F.count(F.lit(1)).alias("n")), "l_quantity", *span)
+    return rounded(grid.withColumn("fitted", regression.logistic_probability(model, names)).select("l_quantity", "n", "fitted"), "fitted", places=5)
+
+
 @query()
 def additive_model_curve(spark, folder):
     """Fitted probability over quantity from spline terms of two predictors."""
     rows = _late(spark, folder)
     spans = {"l_quantity": (1.0, 50.0, 4), "l_discount": (0.0, 0.1, 2)}
-    model, names = regression.additive_logistic(rows, "won", spans, 1e-4)
+    model, names = regression.additive_logistic(rows, "won", spans, (0.1, 10.0, 1000.0))
     grid = rows.groupBy("l_quantity").agg(F.count(F.lit(1)).alias("n"), F.avg("won").alias("seen"))
     grid = grid.withColumn("l_discount", F.lit(0.05))
     for column, span in spans.items():

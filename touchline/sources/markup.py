@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from html import unescape
 
@@ -10,6 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = {"br", "img", "hr", "meta", "link", "input", "source", "wbr", "col", "area", "base", "embed", "track"}
+# fixed values: elements whose end tag may be left out, by the tags that end them, and what keeps them open
+_BLOCKS = ("p", "div", "ul", "ol", "dl", "table", "section", "h1", "h2", "h3", "h4", "h5", "h6")
+ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), **{b: ("p",) for b in _BLOCKS}}
+FENCES = {"ul", "ol", "dl", "select", "table", "td", "th", "div", "section", "body", "li", "dd", "blockquote"}
 BREAKS = {"br", "p", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "table", "section"}
 # a comment, a script or style with its content, a declaration, or one tag
 TAG = re.compile(
@@ -125,35 +130,63 @@ def _read_tables(html: str) -> list[list[list[str]]]:
 
 
 def _read_texts(html: str, selectors: Sequence[str]) -> dict[str, list[str]]:
-    """Texts of elements that match simple selectors (``tag``, ``.class``, ``tag.class``)."""
-    wanted = [(s, *s.partition(".")[::2]) for s in selectors]
-    found: dict[str, list[list[str]]] = {s: [] for s in selectors}
-    stack: list[tuple[str, list[list[str]]]] = []
+    """Texts of elements that match simple selectors (``tag``, ``.class``, ``tag.class``).
 
-    def add(text: str):
-        for _, sinks in stack:
-            for sink in sinks:
-                sink.append(text)
+    Texts are kept once; an element is the stretch of them between its tags. Items of lists and
+    options end where the next one begins, paragraphs at the next block, if their end tag is left out.
+    """
+    wanted = [(s, *s.partition(".")[::2]) for s in selectors]
+    parts: list[str] = []
+    found: dict[str, list[list[int]]] = {s: [] for s in selectors}
+    stack: list[tuple[str, list[list[int]]]] = []
+    opened: Counter = Counter()
+
+    def close(name: str) -> None:
+        last = None
+        while last != name:
+            last, spans = stack.pop()
+            opened[last] -= 1
+            for span in spans:
+                span[1] = len(parts)
 
     for text, closing, name, attributes in _tags(html):
         if text:
-            add(unescape(text).replace("\n", " "))
-        if name in BREAKS:
-            add("\n")
+            parts.append(unescape(text).replace("\n", " "))
         if closing:
-            if any(name == opened for opened, _ in stack):
-                while stack.pop()[0] != name:
-                    pass
+            if name in BREAKS:
+                parts.append("\n")
+            if opened[name]:
+                close(name)
         elif name:
+            for ended in ENDS.get(name, ()):
+                if opened[ended] and not _fenced(stack, ended):
+                    close(ended)
+            if name in BREAKS:
+                parts.append("\n")
             classes = _attribute(attributes, "class").split() if attributes else []
-            sinks = []
+            spans = []
             for selector, tag, label in wanted:
                 if (not tag or tag == name) and (not label or label in classes):
-                    found[selector].append([])
-                    sinks.append(found[selector][-1])
-            if name not in VOID and not attributes.endswith("/"):
-                stack.append((name, sinks))
-    return {s: [_tidy(parts) for parts in texts] for s, texts in found.items()}
+                    spans.append([len(parts), -1])
+                    found[selector].append(spans[-1])
+            if name in VOID or attributes.endswith("/"):
+                for span in spans:
+                    span[1] = span[0]
+            else:
+                stack.append((name, spans))
+                opened[name] += 1
+    return {s: [_tidy(parts[a:b if b >= 0 else len(parts)]) for a, b in spans] for s, spans in found.items()}
+
+
+def _fenced(stack: list[tuple[str, list[list[int]]]], name: str) -> bool:
+    """Whether the innermost open ``name`` lies outside a list, table or block that is open too. The search ends at
+    the first of them, so it is as long as the inline tags in between."""
+    for opened, _ in reversed(stack):
+        if opened == name:
+            return False
+        if opened in FENCES:
+            return True
+    return True
 
 
 def table_rows(pages: DataFrame, page_id: str, html: str) -> DataFrame:

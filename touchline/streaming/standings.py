@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from touchline.plans.games import team_games
 
@@ -36,3 +37,24 @@ def run_to_table(totals: DataFrame, name: str, checkpoint: str) -> StreamingQuer
     )
     query.awaitTermination()
     return query
+
+
+def run_to_folder(totals: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
+    """Process what is there and keep the newest row of each key in a written table.
+
+    Each trigger writes the keys it changed, with its number, by the executors; the table read back
+    takes the newest of each key. A trigger that is repeated after a failure overwrites its own folder.
+    """
+    spark = totals.sparkSession
+
+    def store(changed: DataFrame, number: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = (
+        totals.writeStream.outputMode("update").foreachBatch(store)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    rows = spark.read.schema(StructType([*totals.schema.fields, StructField("batch", LongType())])).parquet(path)
+    values = F.struct(*[c for c in totals.columns if c not in keys])
+    return rows.groupBy(*keys).agg(F.max_by(values, "batch").alias("__new")).select(*keys, "__new.*").select(*totals.columns)
