@@ -4,7 +4,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
-from itertools import combinations, product
+from itertools import combinations, groupby, product
 
 import numpy as np
 import pytest
@@ -98,6 +98,26 @@ def test_held_out_roles_are_recovered(spark):
     assert all(r["rendered"] == f"<|im_start|>{r['role']}\n{r['text']}<|im_end|>\n" for r in got)
 
 
+def test_whole_transcripts_are_parsed(spark):
+    """Rows of one turn train the model; held-out conversations come as one text each."""
+    model = chat_roles.fitted(spark.createDataFrame(talk(random.Random(6), 60), KIND))
+    four = "User: what is it?\nAssistant: a thing.\nUser: which thing?\nAssistant: that one."
+    rows, want = [(-1, 0, None, four)], {-1: ["user", "assistant", "user", "assistant"]}
+    for conversation, group in groupby(talk(random.Random(7), 40), key=lambda r: r[0]):
+        turns = list(group)
+        names = {"user": "User: ", "assistant": "Assistant: ", "system": "System: "}
+        marked = [(r, names[r] + t if chat_roles.marker_of(t) == "none" else t) for _, _, r, t in turns if r and t]
+        rows.append((conversation, 0, None, "\n".join(t for _, t in marked)))
+        want[conversation] = [r for r, t in marked for _ in t.split("\n")]
+    got: dict = {}
+    made = chat_roles.recovered(spark.createDataFrame(rows, KIND), model).orderBy("conv_id", "piece").collect()
+    for r in made:
+        got.setdefault(r["conv_id"], []).extend([r["role"]] * len(r["text"].split("\n")))
+    assert got[-1] == want[-1] and sum(r["conv_id"] == -1 for r in made) == 4
+    pairs = [(a, b) for k in want for a, b in zip(got[k], want[k], strict=True)]
+    assert sum(a == b for a, b in pairs) >= 0.9 * len(pairs)  # 1126 of 1193 when written
+
+
 @pytest.mark.parametrize("parts", [1, 7, 40])
 def test_long_conversations_are_decoded_as_one(spark, parts):
     rows = talk(random.Random(3), 12) + [(None, None, None, None), (None, 1, "user", "Q: what?"), (5, 2, "system", "again\n\nand"), (5, 2, "system", "again\n\nand")]
@@ -123,6 +143,11 @@ def test_long_conversations_are_decoded_as_one(spark, parts):
                 counts["first", r["given"]] += 1
             elif last["given"] is not None:
                 counts["step", "1", last["given"], r["given"]] += 1
+                _, marker, form = chat_roles.observed(r["text"])[0]
+                if marker in ("user", "assistant", "system"):  # it announces itself, inside a transcript too
+                    counts["step", "0", last["given"], r["given"]] += 1
+                    counts["marker", r["given"], "0", marker] += 1
+                    counts["form", r["given"], "0", form] += 1
         last = r
     whole = chat_roles.Model(counts)
     for a, b in ((model.first, whole.first), (model.step, whole.step), (model.marker, whole.marker), (model.form, whole.form)):

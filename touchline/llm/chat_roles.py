@@ -6,6 +6,10 @@ emissions are counted over all rows whose role is known, with a smoothing consta
 the most likely roles of all lines of a conversation; lines of a row that share a role make one
 turn, whose marker is dropped.
 
+Rows used for training hold one turn each, but a row to be parsed may hold a whole transcript. So a row that begins with a
+speaker marker is counted twice: as the beginning of a row, and as a line inside a transcript in which the rows
+before it stand too. A change of role inside a row is therefore as likely as such rows are, and announced by markers.
+
 Conversations may be of any size: rows are laid out by range over (conversation, turn), so a long
 conversation is spread over several partitions. Each partition condenses its first and last conversation
 to a matrix of best scores between the state before it and the state at its end; the matrices of a
@@ -145,6 +149,22 @@ def _rows(batches) -> Iterator[tuple]:
         yield from zip(*(batch.column(c).to_pylist() for c in ("conversation", "turn", "given", "text", "part")))
 
 
+def opening(text: str | None) -> list[str]:
+    """Marker and form of the first line."""
+    line = (text or "").split("\n", 1)[0]
+    return [marker_of(line), form_of(line)]
+
+
+def follow(counts: Counter, before: str, given: str, first: Sequence[str]) -> None:
+    """Count a row that follows another, also as a line inside a transcript if it announces its speaker."""
+    counts["step", "1", before, given] += 1
+    marker, form = first
+    if marker in MARKERS:
+        counts["step", "0", before, given] += 1
+        counts["marker", given, "0", marker] += 1
+        counts["form", given, "0", form] += 1
+
+
 def counted(rows: DataFrame) -> Counter:
     """Counts of first roles, steps, markers and forms over all rows with a role."""
 
@@ -154,7 +174,7 @@ def counted(rows: DataFrame) -> Counter:
         for conversation, _, given, text, part in _rows(batches):
             here = (conversation,)
             if last is None:
-                edges.append((0, conversation, given))
+                edges.append((0, conversation, given, opening(text)))
             if given is not None:
                 for new, marker, form in observed(text):
                     counts["marker", given, str(int(new)), marker] += 1
@@ -164,20 +184,20 @@ def counted(rows: DataFrame) -> Counter:
                 if last is not None and last[0] != here:
                     counts["first", given] += 1
                 elif last is not None and last[1] is not None:
-                    counts["step", "1", last[1], given] += 1
+                    follow(counts, last[1], given, opening(text))
             last = (here, given)
         if last is not None:
-            edges.append((1, last[0][0], last[1]))
-        names = ["key", "n", "part", "side", "conversation", "given"]
-        out = [dict(zip(names, (list(k), n, None, None, None, None))) for k, n in counts.items()]
-        out += [dict(zip(names, (None, None, part, side, conversation, given))) for side, conversation, given in edges]
+            edges.append((1, last[0][0], last[1], None))
+        names = ["key", "n", "part", "side", "conversation", "given", "opening"]
+        out = [dict(zip(names, (list(k), n, None, None, None, None, None))) for k, n in counts.items()]
+        out += [dict(zip(names, (None, None, part, *edge))) for edge in edges]
         yield pa.RecordBatch.from_pylist(out, schema)
 
     kind = rows.schema["conversation"].dataType
     schema = pa.schema([("key", pa.list_(pa.string())), ("n", pa.int64()), ("part", pa.int32()), ("side", pa.int32()),
-                        ("conversation", to_arrow_type(kind)), ("given", pa.string())])
+                        ("conversation", to_arrow_type(kind)), ("given", pa.string()), ("opening", pa.list_(pa.string()))])
     made = cut_lineage(rows.mapInArrow(
-        count, f"key array<string>, n long, part int, side int, conversation {kind.simpleString()}, given string"))
+        count, f"key array<string>, n long, part int, side int, conversation {kind.simpleString()}, given string, opening array<string>"))
     total = made.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n")).collect()
     counts = Counter({tuple(r["key"]): r["n"] for r in total})
     # what lies between partitions: one first and one last row of each
@@ -187,7 +207,7 @@ def counted(rows: DataFrame) -> Counter:
             if before is None or before["conversation"] != edge["conversation"]:
                 counts["first", edge["given"]] += 1
             elif before["given"] is not None:
-                counts["step", "1", before["given"], edge["given"]] += 1
+                follow(counts, before["given"], edge["given"], edge["opening"])
         before = edge
     return counts
 
@@ -215,7 +235,10 @@ def _fixed(rows: DataFrame, model: Model) -> dict[tuple[int, int], tuple[int | N
     kind = rows.schema["conversation"].dataType
     numbers = pa.list_(pa.float64())
     schema = pa.schema([("part", pa.int32()), ("no", pa.int32()), ("conversation", to_arrow_type(kind)), ("matrix", numbers), ("start", numbers)])
-    made = rows.mapInArrow(condense, f"part int, no int, conversation {kind.simpleString()}, matrix array<double>, start array<double>")
+    made = cut_lineage(rows.mapInArrow(condense, f"part int, no int, conversation {kind.simpleString()}, matrix array<double>, start array<double>"))
+    # only conversations that cross a border need their matrices chained
+    wide = made.groupBy(F.col("conversation").alias("crossing")).agg(F.count_distinct("part").alias("parts")).where("parts > 1")
+    made = made.join(wide, F.col("conversation").eqNullSafe(F.col("crossing")), "left_semi")
     size, fixed = len(model.roles), {}
     for _, group in groupby(made.orderBy("part", "no").collect(), key=lambda s: (s["conversation"],)):
         chain = list(group)

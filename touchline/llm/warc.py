@@ -1,8 +1,9 @@
 """WARC archives with revisit records: write, resolve equal payloads, read back.
 
-Headers only are shuffled: payloads are digested where they are read, the digests are grouped, and
+Headers are shuffled by payload digest: payloads are digested where they are read, the digests are grouped, and
 of equal payloads the record with the smallest page id stays a response while the others become
-revisit records that refer to it. Archives are written in place through Spark's text writer, whose
+revisit records that refer to it. The digests that occur more than once are counted: up to FEW_DIGESTS of them
+travel to the payloads, which then stay where they were read; more are met by shuffling the rows on the digest. Archives are written in place through Spark's text writer, whose
 line separator is the end of a WARC record, so any file system that Spark reaches will do; each
 file is one gzip stream. Reading goes by Content-Length, never by separators, so payloads may hold
 anything.
@@ -32,6 +33,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 FILE_BYTES = 64 << 20
 NAME = "urn:x-page:"
+FEW_DIGESTS = 200_000  # about 20 MB with their page ids
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -91,6 +93,8 @@ def write_archives(pages: DataFrame, path: str, id_column: str = "page_id", url:
     total = heads.agg(F.count("*").alias("n"), F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("bytes")).first()
     roll = max(1, FILE_BYTES * total["n"] // max(1, total["bytes"] + 512 * total["n"]))
     repeated = cut_lineage(originals(heads, id_column, least_bytes))
+    if repeated.limit(FEW_DIGESTS + 1).count() <= FEW_DIGESTS:
+        repeated = F.broadcast(repeated)
     made = records(pages, repeated, id_column, url, html, least_bytes)
     made.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", roll).text(path)
 
