@@ -28,6 +28,6 @@ def op7_chat_roles(spark: SparkSession, folder: str) -> DataFrame:
 def op10_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate of every document with the forest's verdict."""
     docs = documents(spark, folder)
-    model = secret_scan.fitted(secret_scan.rule_findings(docs))
-    found = secret_scan.findings(docs, model, ["doc_id"]).select("doc_id", F.inline("findings"))
+    model, words = secret_scan.trained(docs)
+    found = secret_scan.findings(docs, model, ["doc_id"], words=words).select("doc_id", F.inline("findings"))
     return found.select("doc_id", "start", "end", F.round("probability", 6).alias("probability"), "secret")
