@@ -187,6 +187,37 @@ def test_mined_rules_block(spark):
         assert (row["verdict"] == "block") == bad
 
 
+def test_tokens_that_go_together_are_one(spark):
+    """Forty tokens in the same labelled urls: 2^40 combinations if they were mined apart."""
+    fixed = "/".join(f"part{i}" for i in range(40))
+    pages = [(i, f"http://a.shop.example/{fixed}/{i}" if i % 4 == 0 else f"http://b.example/{'news' if i % 2 else 'item'}/{i}") for i in range(400)]
+    labels = [(i, 0 if i % 4 == 0 else 1) for i in range(300)]
+    more = [(1000, "http://x/part7/z"), (1001, "http://x/part8x/z"), (1002, "http://shop.org/"), (1003, "http://b.example/" + "y/" * 20_000)]
+    got = url_rules.judged(spark.createDataFrame([*pages, *more], "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int"), ())
+    blocked = {r["page_id"] for r in got.where("verdict = 'block'").collect()}
+    assert blocked == {i for i in range(400) if i % 4 == 0} | {1000, 1002}
+
+
+def test_verdicts_match_all_combinations(spark):
+    """Tokens drawn together into classes give the verdicts of rules on single tokens."""
+    draw = random.Random(8)
+    together = {"a": "a/a2", "b": "b", "spam": "spam/spam2/spam3", "buy": "buy/buy2", "c": "c"}
+    made = []
+    for _ in range(500):
+        some = [t for t in together if draw.random() < 0.5]
+        made.append(("http://h/" + "/".join(together[t] for t in some), draw.random() < (0.95 if {"spam", "buy"} <= set(some) else 0.1)))
+    others = ["http://h/" + "/".join(draw.sample(["a", "a2", "b", "spam", "spam2", "spam3", "buy", "buy2", "c", "other"], draw.randint(0, 6))) for _ in range(300)]
+    urls = [u for u, _ in made] + others
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if bad else 1) for i, (_, bad) in enumerate(made)], "doc_id long, quality int")
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judged(df, labels, (), support=0.02, support_rows=5, confidence=0.6).collect()}
+    cut = lambda u: {"h:h"} | {"p:" + t for t in u.removeprefix("http://h/").split("/") if t}
+    rules = plain_mined([(cut(u), bad) for u, bad in made], 0.02, 0.6)
+    assert rules
+    for i, url in enumerate(urls):
+        assert (got[i] == "block") == any(set(r) <= cut(url) for r in rules), url
+
+
 # --- archives -------------------------------------------------------------------------------
 
 

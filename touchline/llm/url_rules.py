@@ -1,10 +1,12 @@
 """URL filters: given rules by host and path, and association rules mined from labelled URLs.
 
 FP-growth finds token combinations (host labels, path parts, query names) that are frequent among
-labelled URLs. Combinations that lead to the label "bad" often enough are kept as rules; one with
-a shorter rule inside it of the same or higher confidence is pruned. A URL is matched through an
-inverted index: every rule stands under its rarest token, a URL's tokens are looked up there, and
-the rule's other tokens are checked.
+labelled URLs. Tokens that stand in exactly the same labelled URLs (the labels of one host, the fixed parts of a path) are
+first drawn together into one class: mined apart, n of them alone would give 2^n combinations that say the same.
+Rare tokens are left out before. Combinations that lead to the label "bad" often enough are kept as rules; one with
+a shorter rule inside it of the same or higher confidence is pruned. A rule names a class by its smallest token, and any token
+of the class fulfils it. A URL is matched through an inverted index: its tokens are replaced by their classes, every rule
+stands under its rarest class, a URL's classes are looked up there, and the rule's others are checked.
 
 Defined results: a missing url, or one without "://", has empty host and path and no tokens, so
 no rule fits and it is allowed; ids may be missing or repeat, each row is judged on its own; a
@@ -13,6 +15,7 @@ empty table gives no rows, no labels give no mined rules.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -59,11 +62,29 @@ def tokens_of(url: Column) -> Column:
     return F.coalesce(every, F.array().cast("array<string>"))
 
 
+def classes(labelled: DataFrame, tokens: str, least: int) -> DataFrame:
+    """(token, class) of the tokens in ``least`` labelled rows or more: tokens of exactly the same rows have the same class,
+    the smallest of them. Rows are compared by their number and two sums of hashes of 60 bits of their row numbers."""
+    rows = cut_lineage(labelled.select(F.monotonically_increasing_id().alias("row"), F.array_distinct(tokens).alias("own")))
+    # sums of 60-bit numbers, as decimals, don't overflow
+    marks = [F.sum(F.xxhash64("row", F.lit(i)).bitwiseAND(F.lit((1 << 60) - 1)).cast("decimal(20,0)")).alias(f"mark{i}") for i in range(2)]
+    each = rows.select("row", F.explode("own").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"), *marks)
+    each = cut_lineage(each.where(F.col("n") >= least))
+    same = ["n", "mark0", "mark1"]
+    return each.join(each.groupBy(*same).agg(F.min("token").alias("class")), same).select("token", "class")
+
+
+def in_classes(rows: DataFrame, row: str, tokens: str, known: DataFrame) -> DataFrame:
+    """(row, classes): the distinct classes of each row's tokens; rows without any are left out."""
+    each = rows.select(row, F.explode(F.array_distinct(tokens)).alias("token")).join(known, "token")
+    return each.groupBy(row).agg(F.collect_set("class").alias("classes"))
+
+
 def mined(labelled: DataFrame, tokens: str, bad: str, support: float = SUPPORT, support_rows: int = SUPPORT_ROWS, confidence: float = CONFIDENCE) -> DataFrame:
     """(tokens, key, confidence, n) of the rules that lead to "bad"; ``key`` is a rule's rarest token.
 
     Labelled rows have a token array and a boolean. A combination must occur in ``support`` of all
-    labelled rows and in ``support_rows`` rows.
+    labelled rows and in ``support_rows`` rows. Tokens are taken as they are: draw together with ``classes`` first.
     """
     from pyspark.ml.fpm import FPGrowth
 
@@ -91,6 +112,18 @@ def mined(labelled: DataFrame, tokens: str, bad: str, support: float = SUPPORT,
     return kept.join(rarest, "items").select(F.col("items").alias("tokens"), F.col("least.token").alias("key"), "confidence", "n")
 
 
+def learned(
+    labelled: DataFrame, support: float = SUPPORT, support_rows: int = SUPPORT_ROWS, confidence: float = CONFIDENCE
+) -> tuple[DataFrame, DataFrame]:
+    """Classes of tokens, and the rules on them, of labelled rows (row, tokens, bad)."""
+    total = labelled.count()
+    known = cut_lineage(classes(labelled, "tokens", max(1, support_rows, math.ceil(support * total))))
+    some = labelled.join(in_classes(labelled, "row", "tokens", known), "row", "left")
+    # rows without frequent tokens stay: they count for the support
+    some = some.select(F.coalesce("classes", F.array().cast("array<string>")).alias("classes"), "bad")
+    return known, mined(some, "classes", "bad", support, support_rows, confidence)
+
+
 def matched(rows: DataFrame, row: str, tokens: str, rules: DataFrame) -> DataFrame:
     """The distinct ``row`` values whose tokens hold all tokens of some rule."""
     looked = rows.select(row, F.col(tokens).alias("own"), F.explode(tokens).alias("key"))
@@ -108,7 +141,9 @@ def judged(
     rows = pages.select(F.col(id_column).alias("page"), host_of(address).alias("host"), path_of(address).alias("path"), tokens_of(address).alias("tokens"))
     rows = cut_lineage(rows.withColumns({"rule": rule, "said": said}).withColumn("row", F.monotonically_increasing_id()))
     marks = labels.where(F.col(quality).isNotNull()).groupBy(F.col(label_id).alias("page")).agg((F.min(quality) == 0).alias("bad"))
-    learnt = mined(rows.join(marks, "page").select("tokens", "bad"), "tokens", "bad", **settings)
-    found = matched(rows, "row", "tokens", learnt).withColumn("found", F.lit(True))
+    labelled = cut_lineage(rows.join(marks, "page").select("row", "tokens", "bad"))
+    known, learnt = learned(labelled, **settings)
+    asked = known.join(learnt.select(F.explode("tokens").alias("class")).distinct(), "class")
+    found = matched(in_classes(rows, "row", "tokens", asked), "row", "classes", learnt).withColumn("found", F.lit(True))
     verdict = F.coalesce("said", F.when(F.col("found"), F.lit("block")).otherwise(F.lit("allow")))
     return rows.join(found, "row", "left").select(F.col("page").alias(id_column), "host", "path", "rule", verdict.alias("verdict"))
