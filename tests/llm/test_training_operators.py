@@ -338,7 +338,11 @@ def test_dictionary_counts_texts(spark):
     texts = ["the cat THE dog ab", "The élan cat1cat", "élan bird " + "z" * 40, None, "", "x" * 33 + " dog " + "x" * 33]
     df = spark.createDataFrame([(t, "x") for t in texts], "text string, word string")
     assert secret_scan.dictionary(df) == {"the", "cat", "dog", "élan"}
-    assert secret_scan.dictionary(df, size=2) == {"cat", "dog"}
+    assert secret_scan.dictionary(df, size=3) == frozenset()
+    twice = df.unionByName(spark.createDataFrame([("cat dog bird", "x"), ("Cat", "x")], "text string, word string"))
+    assert secret_scan.dictionary(twice, size=5) == {"the", "cat", "dog", "élan", "bird"}
+    assert secret_scan.dictionary(twice, size=4) == secret_scan.dictionary(twice, size=2) == {"cat", "dog"}
+    assert secret_scan.dictionary(twice, size=1) == {"cat"}
     assert secret_scan.dictionary(df.limit(0)) == frozenset()
 
 

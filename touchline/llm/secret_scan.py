@@ -4,7 +4,7 @@ Candidates are runs of key characters that hold a digit, values assigned to a cr
 and private-key blocks. A random forest, trained on labelled findings, judges each by its length,
 character classes and transitions between letters, the share of it that is made of dictionary words
 and of words of the same text, the path or address around it and the words next to it (hashed). The
-dictionary holds the corpus words that stand in most documents, counted over all of them; its size is the
+dictionary holds the corpus words that stand in most documents, counted over all of them; its size is bounded by the
 parameter ``size`` of ``dictionary``. Trees (at most trees x 2^(depth + 1) nodes) and dictionary travel
 with the tasks, so texts are scanned and judged in one pass without a shuffle.
 
@@ -142,11 +142,18 @@ def by_rule(features: np.ndarray) -> np.ndarray:
 
 
 def dictionary(df: DataFrame, text: str = "text", size: int = DICTIONARY) -> frozenset[str]:
-    """The ``size`` words (of 3 to 32 letters, in small letters) that stand in most of all texts, in two at least; ties by spelling."""
+    """Words (of 3 to 32 letters, in small letters) of the corpus, those in most texts: all that stand in as many texts as a cutoff
+    says, two at least. The cutoff is the lowest of sixteen steps for each power of two that leaves ``size`` words at most."""
     words = F.array_distinct(F.split(F.lower(F.col(f"`{text}`")), r"[^\p{L}]+"))
     every = df.select(F.explode(F.filter(words, lambda w: F.char_length(w).between(3, LONGEST_WORD))).alias("word"))
     counted = every.groupBy("word").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
-    return frozenset(r["word"] for r in counted.orderBy(F.desc("texts"), "word").limit(size).collect())
+    counted = cut_lineage(counted.select("word", F.floor(F.log2("texts") * 16).alias("step")))
+    taken, cutoff = 0, None
+    for step, n in sorted(counted.groupBy("step").count().collect(), reverse=True):  # a thousand rows at most
+        if taken + n > size:
+            break
+        taken, cutoff = taken + n, step
+    return frozenset(r["word"] for r in counted.where(F.col("step") >= cutoff).collect()) if taken else frozenset()
 
 
 def rule_findings(df: DataFrame, text: str = "text", most: int = MOST, words: Set[str] = frozenset()) -> DataFrame:
