@@ -1,6 +1,7 @@
 """Joins, reshaping, sources, sampling."""
 from __future__ import annotations
 
+import random
 import zipfile
 
 import numpy as np
@@ -120,6 +121,45 @@ def test_files_are_matched_by_name(spark, tmp_path):
         files.read_csv(spark, str(tmp_path), "a INT, c STRING")
 
 
+def test_headers_of_many_files_take_one_job(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"{i}.csv").write_bytes(('\ufeff"a","b ""x""\nc"\r\n' if i % 2 else '"b ""x""\nc",a,a2\n').encode() + (b"1,2\n" if i % 3 else b"") * 500)
+    (tmp_path / "empty.csv").write_text("")
+    wide = ",".join(["a", "", "A", "z"])
+    (tmp_path / "odd.csv").write_text(f"\n{wide}\n1,2,3,4\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    found = files._headers(spark, str(tmp_path))
+    jobs = tracker.getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {k: len(v) for k, v in found.items()} == {("a", 'b "x"\nc'): 30, ('b "x"\nc', "a", "a2"): 30, ("a0", "_c1", "A2", "z"): 1}
+    assert len(jobs) <= 2 and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_byte_ranges_give_what_one_task_gives(spark, tmp_path, end):
+    draw = random.Random(3)
+    for name in ("x", "y", "z"):
+        made = [f"n,s{end}" if name != "y" else f"{end}\ufeffs,more,n{end}"]
+        for i in range(0 if name == "z" else 600):
+            inner = "".join(draw.choice(["a", "é", '""', ",", "\n", "\n\n", "NA", " "]) for _ in range(draw.choice([0, 2, 9, 400 if i % 50 == 0 else 3])))
+            cell = draw.choice(["NA", "", "plain", f'"{inner}"', f'"{inner}"', f'"{inner}x"'])
+            made.append(f"{i},{cell}{end}" if name == "x" else f"{cell},{i}.5,{i}{end}")
+            made += [end] if draw.random() < 0.05 else []
+        (tmp_path / f"{name}.csv").write_bytes("".join(made).encode())
+    (tmp_path / "empty.csv").write_text("")
+    wanted = sorted(map(repr, rows(files.read_csv(spark, str(tmp_path), "n LONG, s STRING", path_column="f"))))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("1000", "250", "100000000"):  # shorter than some records, and whole files
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = sorted(map(repr, rows(files.read_csv(spark, str(tmp_path), "n LONG, s STRING", path_column="f", in_ranges=True))))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert len(got) == 1200 and got == wanted
+
+
 def test_missing_mark_can_be_chosen(spark, tmp_path):
     df = spark.createDataFrame([(1, "NA"), (2, None), (3, ' "x"\ny, ')], "i int, s string")
     files.write_csv(df, str(tmp_path / "t"), missing="-")

@@ -1,6 +1,7 @@
 """Reproducible sampling and bootstrap, ordered or weighted by hashes."""
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,25 +31,39 @@ POISSON_STEPS = (
 )
 
 
+COPIES_PER_HASH = 8  # a hash has 128 bits, a weight takes 16 of them
+FIELD = 1 << 16
+
+
 def poisson_weight(seed: int, copy: Column, *ids: str) -> Column:
     """How often a row occurs in one bootstrap copy (Poisson with mean 1)."""
     block = F.floor((copy - 1) / COPIES_PER_HASH)
-    return _weight_at(_block_hash(seed, block, ids), (copy - 1) % COPIES_PER_HASH)
-
-
-COPIES_PER_HASH = 8  # a hash has 128 bits, a weight takes 16 of them
+    place = (copy - 1) % COPIES_PER_HASH
+    return _weight(F.conv(F.substr(_block_hash(seed, block, ids), (place * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("long"))
 
 
 def _block_hash(seed: int, block: Column, ids: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids], block.cast("string")))
 
 
-def _weight_at(text: Column, place: Column) -> Column:
-    uniform = F.conv(F.substr(text, (place * 4 + 1).cast("int"), F.lit(4)), 16, 10).cast("double") / 65536.0
-    weight = F.lit(0)
-    for step in POISSON_STEPS:
-        weight = weight + (uniform >= F.lit(step)).cast("int")
-    return weight
+def _weight(field: Column) -> Column:
+    """The number of steps that a 16-bit draw reaches; most draws are decided by the first comparisons."""
+    weight = F
+    for count, step in enumerate(POISSON_STEPS):
+        weight = weight.when(field < math.ceil(step * FIELD), count)
+    return weight.otherwise(len(POISSON_STEPS))
+
+
+def _words(text: Column) -> list[Column]:
+    """The hash as three whole numbers of 48, 48 and 32 bits: each is read once for up to three weights."""
+    return [F.conv(F.substr(text, F.lit(1 + at), F.lit(size)), 16, 10).cast("long") for at, size in ((0, 12), (12, 12), (24, 8))]
+
+
+def _field(i: int) -> Column:
+    """The ``i``-th 16 bits of the words __h0, __h1 and __h2."""
+    word, place = divmod(i, 3)
+    size = 3 if word < 2 else 2
+    return F.shiftright(F.col(f"__h{word}"), 16 * (size - 1 - place)).bitwiseAND(F.lit(FIELD - 1))
 
 
 def bootstrap_means(
@@ -66,7 +81,8 @@ def bootstrap_means(
                 F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("__block"))
         .withColumn("__hash", _block_hash(seed, F.col("__block"), ids))
     )
-    drawn = drawn.withColumns({f"__w{i}": _weight_at(F.col("__hash"), F.lit(i)) for i in range(COPIES_PER_HASH)})
+    drawn = drawn.withColumns({f"__h{i}": word for i, word in enumerate(_words(F.col("__hash")))})
+    drawn = drawn.withColumns({f"__w{i}": _weight(_field(i)) for i in range(COPIES_PER_HASH)})
     each = [F.struct(F.sum(f"__w{i}").alias("n"), F.sum(F.col(f"__w{i}") * F.col(value)).alias("__s")) for i in range(COPIES_PER_HASH)]
     sums = drawn.groupBy(*keys, "__block").agg(F.array(*each).alias("__sums"))
     sums = sums.select(*keys, "__block", F.posexplode("__sums").alias("__i", "__sum"))

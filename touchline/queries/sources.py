@@ -99,6 +99,14 @@ def csv_with_line_breaks(spark, folder):
     return files.read_csv(spark, [plain, packed], "o_orderkey BIGINT, note STRING")
 
 
+@query(BROKEN_SQL)
+def csv_in_ranges(spark, folder):
+    """Records over several lines, read in byte ranges by many tasks."""
+    path = scratch_dir(spark, "orders-ranges")
+    files.write_csv(_broken(spark, folder), path)
+    return files.read_csv(spark, path, "o_orderkey BIGINT, note STRING", in_ranges=True)
+
+
 @query(BROKEN_SQL)
 def zip_with_line_breaks(spark, folder):
     """Zip members whose records span lines, half of them with the columns in another order."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 import csv
 import io
 import zipfile
+from collections import Counter
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
 import pandas as pd
@@ -13,23 +14,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.sources.ranges import records
+
 LINES_PER_BATCH = 10_000
 
 
-def _headers(spark: SparkSession, paths: str | Sequence[str], multi_line: bool) -> dict[tuple[str, ...], list[str]]:
-    """Files by the column names in their first record. Only that record is read of each file."""
-    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, str) else list(paths)).select("path")
-    names = [r["path"] for r in listed.toLocalIterator()]
+HEADER_SETTINGS = {
+    # one file for each task, few lines in each batch
+    "spark.sql.files.maxPartitionBytes": str(1 << 50), "spark.sql.files.openCostInBytes": str(1 << 50),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "16",
+}
+
+
+@contextmanager
+def _settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs started inside."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _first_records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first record of the one file in this task; the rest of it is not read."""
+    path = None
+
+    def lines() -> Iterator[str]:
+        nonlocal path
+        for batch in batches:
+            for path, line in zip(batch["path"], batch["value"]):
+                yield line + "\n"
+
+    for record in csv.reader(lines(), strict=False):
+        if record:
+            yield pd.DataFrame({"path": [path], "header": [[name.removeprefix("\ufeff") if i == 0 else name for i, name in enumerate(record)]]})
+            return
 
-    def header(name: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(name).columns)
 
-    with ThreadPoolExecutor(16) as pool:
-        found = list(pool.map(header, names))
+def _headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names in their first record: one job, in which a task reads the first lines of one file."""
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for name, columns in zip(names, found):
-        if columns:
-            by_header.setdefault(columns, []).append(name)
+    with _settings(spark, HEADER_SETTINGS):
+        found = lines.mapInPandas(_first_records, "path string, header array<string>").collect()
+    for row in sorted(found, key=lambda r: r["path"]):
+        names = [name or f"_c{i}" for i, name in enumerate(row["header"])]
+        often = Counter(name.lower() for name in names)
+        by_header.setdefault(tuple(n if often[n.lower()] == 1 else f"{n}{i}" for i, n in enumerate(names)), []).append(row["path"])
     return by_header
 
 
@@ -41,18 +76,20 @@ def read_csv(
     spread_over: int | None = None,
     missing: str = "NA",
     path_column: str | None = None,
+    in_ranges: bool = False,
 ) -> DataFrame:
     """Headed CSV files as the columns of ``schema``, matched by name file by file.
 
     Files may hold the columns in any order, lack some (missing there) or have others, such
     as an unnamed row counter (dropped); a column that no file has is an error. A value equal to ``missing`` and an
     empty one are missing. Records may hold line breaks in quotes; files known to have
-    none can be split over tasks with ``multi_line=False``. ``spread_over`` shuffles gzip input, which
+    none can be split over tasks with ``multi_line=False``, others with ``in_ranges``: their lines are written to a
+    table once, and the quotes before each byte range tell where its records start. ``spread_over`` shuffles gzip input, which
     Spark reads as one task per file. ``path_column`` adds each row's file.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
-    groups = _headers(spark, paths, multi_line)
+    groups = _headers(spark, paths)
     absent = [n for n in schema.names if groups and not any(n in header for header in groups)]
     if absent:
         raise ValueError(f"no file has the columns {absent}")
@@ -60,10 +97,15 @@ def read_csv(
     for header, names in groups.items():
         own = T.StructType([schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in header])
         reader = spark.read.schema(own).option("header", True).option("nullValue", missing).option("escape", '"')
-        # every header was matched by name above
-        part = reader.option("enforceSchema", True).option("multiLine", multi_line).csv(names)
         columns = [F.col(f"`{f.name}`") if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-        parts.append(part.select(*columns, *([F.col("_metadata.file_path").alias(path_column)] if path_column else [])))
+        if in_ranges:
+            parse = {"nullValue": missing, "escape": '"', "multiLine": "true"}
+            cells = F.from_csv("record", ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in own.fields), parse)
+            part, file = records(spark, names).select("path", cells.alias("__cells")).select("__cells.*", F.col("path").alias("__file")), F.col("__file")
+        else:
+            # every header was matched by name above
+            part, file = reader.option("enforceSchema", True).option("multiLine", multi_line).csv(names), F.col("_metadata.file_path")
+        parts.append(part.select(*columns, *([file.alias(path_column)] if path_column else [])))
     if not parts:
         fields = [*schema.fields, *([T.StructField(path_column, T.StringType())] if path_column else [])]
         return spark.createDataFrame([], T.StructType(fields))
