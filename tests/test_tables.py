@@ -137,6 +137,28 @@ def test_headers_of_many_files_take_one_job(spark, tmp_path):
     assert len(jobs) <= 2 and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_zip_members_are_unpacked_side_by_side(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "CHUNK", 1000)
+    texts = {f"m{i}.csv": "".join(f"{j},line {j * i}é\n" for j in range(0 if i == 5 else 500)) for i in range(8)}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as archive:
+        for i, (name, text) in enumerate(texts.items()):
+            archive.writestr(name, "n,t\n" + text, zipfile.ZIP_DEFLATED if i % 2 else zipfile.ZIP_STORED)
+        archive.writestr("none.csv", "")
+    with zipfile.ZipFile(tmp_path / "b.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("big.csv", "n,t\n" + "7,same\n" * 300_000)
+    archives = files.zip_archives(spark, str(tmp_path / "a.zip"))
+    lines = files.zip_lines(archives)
+    got = {}
+    for row in lines.orderBy("member", "line_no").collect():
+        got.setdefault(row["member"], []).append(row["line"])
+    assert got == {name: ["n,t", *text.splitlines()] for name, text in texts.items()}
+    tasks = lines.select(F.spark_partition_id().alias("task"), "member").distinct().groupBy("member").agg(F.count(F.lit(1)).alias("n"))
+    assert {r["n"] for r in tasks.collect()} == {1} and lines.select(F.spark_partition_id()).distinct().count() > 1
+    both = archives.unionByName(archives).unionByName(files.zip_archives(spark, str(tmp_path / "b.zip"))).drop("path")
+    read = files.zip_csv(both, "t STRING, n INT")
+    assert read.count() == 2 * 7 * 500 + 300_000 and read.where("t = 'same'").agg(F.sum("n")).first()[0] == 2_100_000
+
+
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
 def test_byte_ranges_give_what_one_task_gives(spark, tmp_path, end):
     draw = random.Random(3)

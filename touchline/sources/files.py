@@ -3,11 +3,14 @@ from __future__ import annotations
 
 import csv
 import io
+import struct
 import zipfile
+import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
+from itertools import chain, groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -163,56 +166,115 @@ def zip_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
+CHUNK = 8_000_000
+
+
+def _member_chunks(archives: DataFrame, member: str) -> DataFrame:
+    """Members whose name ends in ``member`` as chunks of their compressed bytes, those of one member in order in one
+    partition. The archives' directories are read and their bytes cut, nothing is unpacked before the shuffle. An archive
+    must fit into one cell (2 GB)."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for own, path, content in zip(batch["__archive"], batch["path"], batch["content"]):
+                with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                    for place, info in enumerate(archive.infolist()):
+                        if not info.filename.endswith(member):
+                            continue
+                        if info.flag_bits & 1 or info.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+                            raise ValueError(f"{info.filename}: only plain and deflated members without a password are read")
+                        # the local header repeats name and extra field, with lengths of its own
+                        lengths = struct.unpack("<HH", content[info.header_offset + 26:info.header_offset + 30])
+                        start = info.header_offset + 30 + sum(lengths)
+                        for no, at in enumerate(range(0, max(1, info.compress_size), CHUNK)):
+                            data = bytes(content[start + at:start + min(at + CHUNK, info.compress_size)])
+                            yield pd.DataFrame({
+                                "archive": [own], "place": [place], "no": [no], "path": [path], "member": [info.filename],
+                                "packed": [info.compress_type == zipfile.ZIP_DEFLATED], "crc": [info.CRC], "data": [data]})
+
+    path = F.col("path") if "path" in archives.columns else F.lit(None).cast("string")
+    rows = archives.select(F.monotonically_increasing_id().alias("__archive"), path.alias("path"), "content")
+    chunks = rows.mapInPandas(cut, "archive long, place int, no int, path string, member string, packed boolean, crc long, data binary")
+    # by number: adaptive execution would join partitions by their packed size
+    parts = int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return chunks.repartition(parts, "archive", "place").sortWithinPartitions("archive", "place", "no")
+
+
+class _Unpacked(io.RawIOBase):
+    """A member's bytes, unpacked chunk by chunk as they are read; a wrong checksum is an error."""
+
+    def __init__(self, chunks: Iterator):
+        self.chunks, self.held, self.sum, self.first = chunks, b"", 0, None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while not self.held:
+            if self.first is not None and self.first.packed and self.unpack.unconsumed_tail:
+                self.held = self.unpack.decompress(self.unpack.unconsumed_tail, CHUNK)
+            else:
+                chunk = next(self.chunks, None)
+                if chunk is None:
+                    if self.first is not None and self.first.packed and not self.unpack.eof:
+                        self.held = self.unpack.decompress(b"", CHUNK)  # what the limit of the last call kept back
+                    if not self.held:
+                        if self.first is not None and self.sum != self.first.crc:
+                            raise zipfile.BadZipFile(f"{self.first.member}: wrong checksum")
+                        return 0
+                    break
+                if self.first is None:
+                    self.first, self.unpack = chunk, zlib.decompressobj(-15)
+                self.held = self.unpack.decompress(chunk.data, CHUNK) if chunk.packed else bytes(chunk.data)
+        size = min(len(buffer), len(self.held))
+        buffer[:size], self.held = self.held[:size], self.held[size:]
+        self.sum = zlib.crc32(buffer[:size], self.sum)
+        return size
+
+
+def _members(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, str, io.BufferedReader]]:
+    """(path, member, bytes to read) of each member in a partition of chunks; each is read to its end before the next."""
+    chunks = (row for batch in batches for row in batch.itertuples(index=False))
+    for _, own in groupby(chunks, key=lambda c: (c.archive, c.place)):
+        first = next(own)
+        yield first.path, first.member, io.BufferedReader(_Unpacked(chain([first], own)), 1 << 20)
+
+
 def zip_lines(archives: DataFrame, member: str = ".csv") -> DataFrame:
     """Lines of the members whose name ends in ``member``: (path, member, line_no, line).
 
-    One task per archive, streamed in batches; archives run in parallel.
+    Members are dealt out as they are packed: each is unpacked in a task of its own, streamed in batches.
     """
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for name in archive.namelist():
-                        if name.endswith(member):
-                            yield from _lines(path, name, archive)
-
-    def _lines(path: str, name: str, archive: zipfile.ZipFile) -> Iterator[pd.DataFrame]:
-        rows: list[tuple] = []
-        with io.TextIOWrapper(archive.open(name), encoding="utf-8", newline=None) as text:
-            for number, line in enumerate(text):
+        for path, name, held in _members(batches):
+            rows: list[tuple] = []
+            for number, line in enumerate(io.TextIOWrapper(held, encoding="utf-8", newline=None)):
                 rows.append((path, name, number, line.rstrip("\n")))
                 if len(rows) == LINES_PER_BATCH:
                     yield pd.DataFrame(rows, columns=["path", "member", "line_no", "line"])
                     rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=["path", "member", "line_no", "line"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["path", "member", "line_no", "line"])
 
-    return archives.select("path", "content").mapInPandas(
-        unpack, "path string, member string, line_no long, line string"
-    )
+    return _member_chunks(archives, member).mapInPandas(unpack, "path string, member string, line_no long, line string")
 
 
 def zip_csv(archives: DataFrame, schema: T.StructType | str, member: str = ".csv", missing: str = "NA") -> DataFrame:
     """Headed CSV members of zip archives as typed rows, columns matched by name in each member.
 
-    Records may hold line breaks in quotes. One task per archive, streamed in batches. A value
-    that is not of its column's type is missing.
+    Records may hold line breaks in quotes. Members are dealt out as they are packed: each is unpacked and parsed in a
+    task of its own, streamed in batches. A value that is not of its column's type is missing.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     names = schema.names
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for name in archive.namelist():
-                        if name.endswith(member):
-                            with io.TextIOWrapper(archive.open(name), encoding="utf-8-sig", newline="") as text:
-                                yield from records(csv.reader(text))
+        for _, _, held in _members(batches):
+            yield from parsed(csv.reader(io.TextIOWrapper(held, encoding="utf-8-sig", newline="")))
 
-    def records(reader) -> Iterator[pd.DataFrame]:
+    def parsed(reader) -> Iterator[pd.DataFrame]:
         header = next(reader, [])
         places = [header.index(n) if n in header else None for n in names]
         rows: list[list] = []
@@ -228,5 +290,5 @@ def zip_csv(archives: DataFrame, schema: T.StructType | str, member: str = ".csv
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
     texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    rows = archives.select("content").mapInPandas(unpack, texts)
+    rows = _member_chunks(archives, member).mapInPandas(unpack, texts)
     return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields])
