@@ -148,19 +148,77 @@ def best_subsets(spark, folder):
     return rounded(rounded(made, "r2", "adjusted_r2", places=8), "aic", places=3)
 
 
-@query()
+def _products_sql(names, keys=""):
+    """Sums of products of centred columns as rows (i, j, v), by the key columns."""
+    pairs = [f"{{'i': '{a}', 'j': '{b}', 'v': covar_pop({min(a, b)}, {max(a, b)}) * count(*)}}" for a in names for b in names]
+    return f"{keys and keys + ', '}unnest([{', '.join(pairs)}], recursive := true)"
+
+
+def _eliminated_sql(source, pivot, keys=()):
+    """One step of Gauss-Jordan elimination of the rows (i, j, v)."""
+    same = lambda t: "".join(f" AND {t}.{k} = a.{k}" for k in keys)
+    return f"""SELECT {''.join(f'a.{k}, ' for k in keys)}a.i, a.j, CASE WHEN a.i = p.i THEN r.v / p.v ELSE a.v - c.v * r.v / p.v END AS v FROM {source} a
+      JOIN {source} p ON p.i = {pivot} AND p.j = p.i{same('p')} JOIN {source} r ON r.i = p.i AND r.j = a.j{same('r')}
+      JOIN {source} c ON c.j = p.i AND c.i = a.i{same('c')}"""
+
+
+FORWARD = ["l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
+
+
+def _forward_sql():
+    """Of the predictors left, the one that takes most of the squared error, until the criterion stops falling."""
+    names = [*FORWARD, "revenue"]
+    columns = ", ".join(f"{n}::DOUBLE AS {n}" for n in FORWARD)
+    steps = [f"x AS (SELECT {columns}, l_extendedprice::DOUBLE * (1 - l_discount::DOUBLE) AS revenue FROM lineitem)",
+             f"d0 AS MATERIALIZED (SELECT {_products_sql(names)} FROM x)"]
+    for step in range(len(FORWARD)):
+        used = "".join(f" AND r.i <> (SELECT k FROM k{i})" for i in range(step))
+        steps.append(f"""k{step} AS MATERIALIZED (SELECT r.i AS k FROM d{step} r JOIN d{step} p ON p.i = r.i AND p.j = r.i
+          WHERE r.j = 'revenue' AND r.i <> 'revenue'{used} ORDER BY r.v * r.v / p.v DESC, r.i LIMIT 1)""")
+        steps.append(f"d{step + 1} AS MATERIALIZED ({_eliminated_sql(f'd{step}', f'(SELECT k FROM k{step})')})")
+    sizes = " UNION ALL ".join(
+        f"SELECT {i} AS step, {'NULL' if not i else f'(SELECT k FROM k{i - 1})'} AS added, v AS sse FROM d{i} WHERE i = 'revenue' AND j = 'revenue'"
+        for i in range(len(FORWARD) + 1))
+    return f"""WITH {', '.join(steps)}, s AS ({sizes}), n AS (SELECT count(*)::DOUBLE AS n FROM lineitem),
+      f AS (SELECT step, added, n * (ln(2 * pi() * sse / n) + 1) + 2 * (step + 2) AS aic,
+        1 - sse / (SELECT sse FROM s WHERE step = 0) * (n - 1) / (n - 1 - step) AS adjusted_r2 FROM s, n),
+      g AS (SELECT *, aic < lag(aic) OVER (ORDER BY step) AS falls FROM f)
+      SELECT CAST(step AS INTEGER) AS step, added, round(aic, 4) AS aic, round(adjusted_r2, 4) AS adjusted_r2 FROM g
+      WHERE step > 0 AND step < (SELECT coalesce(min(step), 99) FROM g WHERE NOT falls)"""
+
+
+@query(_forward_sql())
 def forward_selection(spark, folder):
-    predictors = ["l_extendedprice", "l_discount", "l_tax", "l_linenumber", "l_suppkey"]
     line = _line(spark, folder).withColumn("revenue", F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    return rounded(regression.forward(line, "revenue", predictors), "aic", "adjusted_r2")
+    return rounded(regression.forward(line, "revenue", FORWARD), "aic", "adjusted_r2")
 
 
-@query()
+RIDGE = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+RIDGE_PENALTIES = [0.0, 0.01, 0.1, 1.0]
+
+
+def _ridge_sql():
+    """Each fold judged by the fit on the others; a penalty on standardised slopes adds its share to the diagonal."""
+    names = [*RIDGE, "l_extendedprice"]
+    steps = [f"x AS (SELECT l_orderkey % 5 AS fold, {', '.join(f'{n}::DOUBLE AS {n}' for n in names)} FROM lineitem)",
+             f"m AS MATERIALIZED (SELECT held, {', '.join(f'avg({n}) AS {n}' for n in names)} FROM x JOIN range(5) h(held) ON fold <> held GROUP BY held)",
+             f"s AS MATERIALIZED (SELECT {_products_sql(names, 'held')} FROM x JOIN range(5) h(held) ON fold <> held GROUP BY held)",
+             f"""d0 AS MATERIALIZED (SELECT held, penalty, i, j, CASE WHEN i = j AND i <> 'l_extendedprice' THEN v * (1 + penalty) ELSE v END AS v
+               FROM s, (SELECT unnest({RIDGE_PENALTIES})::DOUBLE AS penalty) p)"""]
+    for step, name in enumerate(RIDGE):
+        steps.append(f"d{step + 1} AS MATERIALIZED ({_eliminated_sql(f'd{step}', repr(name), ('held', 'penalty'))})")
+    slopes = ", ".join(f"max(v) FILTER (i = '{n}') AS {n}" for n in RIDGE)
+    fitted = " - ".join(f"b.{n} * (x.{n} - m.{n})" for n in RIDGE)
+    return f"""WITH {', '.join(steps)}, b AS MATERIALIZED (SELECT held, penalty, {slopes} FROM d{len(RIDGE)} WHERE j = 'l_extendedprice' GROUP BY held, penalty)
+      SELECT penalty, round(avg(pow(x.l_extendedprice - m.l_extendedprice - {fitted}, 2)), 2) AS cv_mse
+      FROM x JOIN b ON x.fold = b.held JOIN m ON m.held = b.held GROUP BY penalty"""
+
+
+@query(_ridge_sql())
 def ridge_cross_validation(spark, folder):
     """Error of each ridge penalty over five folds, from one pass over the data."""
     fold = F.pmod(F.col("l_orderkey"), F.lit(5))
-    made = regression.ridge_path(_line(spark, folder), "l_extendedprice", ["l_quantity", "l_discount", "l_tax", "l_linenumber"],
-                                 [0.0, 0.01, 0.1, 1.0], fold, 5)
+    made = regression.ridge_path(_line(spark, folder), "l_extendedprice", RIDGE, RIDGE_PENALTIES, fold, 5)
     return rounded(made, "cv_mse", places=2)
 
 
