@@ -159,6 +159,15 @@ def test_zip_members_are_unpacked_side_by_side(spark, tmp_path, monkeypatch):
     assert read.count() == 2 * 7 * 500 + 300_000 and read.where("t = 'same'").agg(F.sum("n")).first()[0] == 2_100_000
 
 
+def test_file_names_with_marks(spark, tmp_path):
+    names = ["a b.csv", "c%20d.csv", "é[1].csv", "x{y}*?.csv"]
+    for i, name in enumerate(names):
+        (tmp_path / name).write_text(f"a,b\n{i},x\n")
+    for ranges in (False, True):
+        made = files.read_csv(spark, str(tmp_path), "a INT, b STRING", in_ranges=ranges)
+        assert rows(made) == [(i, "x") for i in range(4)]
+
+
 @pytest.mark.parametrize("end", ["\n", "\r\n"])
 def test_byte_ranges_give_what_one_task_gives(spark, tmp_path, end):
     draw = random.Random(3)

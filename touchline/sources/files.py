@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 import struct
 import zipfile
 import zlib
@@ -11,6 +12,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from itertools import chain, groupby
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -65,9 +67,11 @@ def _headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str,
     with _settings(spark, HEADER_SETTINGS):
         found = lines.mapInPandas(_first_records, "path string, header array<string>").collect()
     for row in sorted(found, key=lambda r: r["path"]):
+        # the column holds the path as an address, and readers take marks in names for patterns
+        path = re.sub(r"([\\\[\]{}*?])", r"\\\1", unquote(row["path"]))
         names = [name or f"_c{i}" for i, name in enumerate(row["header"])]
         often = Counter(name.lower() for name in names)
-        by_header.setdefault(tuple(n if often[n.lower()] == 1 else f"{n}{i}" for i, n in enumerate(names)), []).append(row["path"])
+        by_header.setdefault(tuple(n if often[n.lower()] == 1 else f"{n}{i}" for i, n in enumerate(names)), []).append(path)
     return by_header
 
 
