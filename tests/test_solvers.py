@@ -260,3 +260,18 @@ def test_groups_of_many_batches_stay_whole(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(got) == 40 and got[3] == (None, None, "KeyError")
     assert got[4] == (13, sum(range(4, 500, 40)), None)
+
+
+def test_elo_by_game_needs_few_jobs_for_long_chains(spark):
+    random = np.random.default_rng(3)
+    games = [(i, f"t{a}", f"t{b}", float(random.choice([0, 0.5, 1]))) for i in range(600) for a, b in [random.permutation(60)[:2]]]
+    df = spark.createDataFrame(games, "d int, h string, a string, o double")
+    spark.sparkContext.setJobGroup("elo by game", "jobs are counted")
+    try:
+        got = {r["team"]: (r["rating"], r["games"]) for r in ratings.elo_by_game(df, ["d"], "h", "a", "o", home_edge=40.0).collect()}
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("elo by game"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = fold(games)
+    assert got.keys() == want.keys() and all(got[t] == pytest.approx(want[t]) for t in want)
+    assert jobs < 100  # with one round a step of the longest chain: several hundred
