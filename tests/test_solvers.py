@@ -275,3 +275,26 @@ def test_elo_by_game_needs_few_jobs_for_long_chains(spark):
     want = fold(games)
     assert got.keys() == want.keys() and all(got[t] == pytest.approx(want[t]) for t in want)
     assert jobs < 100  # with one round a step of the longest chain: several hundred
+
+
+def test_groups_as_arrays_make_no_frames(spark):
+    from touchline.plans import stints
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(3000).select(F.when(F.col("id") < 100, 5).otherwise(F.col("id") % 900 + 10).alias("k"), F.col("id").cast("double").alias("v"))
+        df = df.unionByName(spark.sql("SELECT CAST(NULL AS long) AS k, double(i) AS v FROM VALUES (1), (NULL), (4), (8) AS t(i)"))
+
+        def width(rows):
+            if not isinstance(rows["v"], np.ndarray) or len(rows["v"]) % 2:
+                raise ValueError("odd")
+            return {"n": [len(rows["v"])], "width": [float(np.fmax.reduce(rows["v"]) - np.fmin.reduce(rows["v"]))]}
+
+        seen = {r["k"]: (r["n"], r["width"], r["error"]) for r in stints.tolerant_groups(df, ["k"], width, "n long, width double", arrays=True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(seen) == 902 and seen[5] == (100, 99.0, None) and seen[None] == (4, 7.0, None)
+    for k in range(900):
+        values = [i for i in range(100, 3000) if i % 900 == k]
+        want = (None, None, "ValueError") if len(values) % 2 else (len(values), float(values[-1] - values[0]), None)
+        assert seen[k + 10] == want
