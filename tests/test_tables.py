@@ -276,3 +276,22 @@ def test_a_row_that_only_begins_like_the_header_stays(spark):
     df = spark.createDataFrame([(0, "Name", "Pos"), (1, "Name", "x"), (2, "Name", "Pos"), (3, None, "y")], "n int, X1 string, X2 string")
     made = reshape.promote_header(df, "n")
     assert made.columns == ["n", "Name", "Pos"] and rows(made) == [(1, "Name", "x"), (3, None, "y")]
+
+
+def test_python_work_is_dealt_in_small_tasks(spark, tmp_path, monkeypatch):
+    from touchline.queries import common, sources
+
+    spark.range(5000).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit("1-URGENT").alias("o_orderpriority"),
+    ).repartition(9).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(common, "ROWS_A_TASK", 250)
+    pages = sources._result_pages(spark, str(tmp_path))
+    sizes = [r["count"] for r in pages.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 20 and sum(sizes) == 5000 and max(sizes) <= 300
+
+
+def test_tags_are_told_apart():
+    texts = lambda html, *s: markup._read_texts(html, s)
+    html = """<div class='a "b"'>x<script>if (1<2) "<p>"</script>y</div><!-- <div class="a"> --><P CLASS=a title="1>0">z &amp;  w</P><style>p{}</STYLE >"""
+    assert texts(html, ".a", "p", "div") == {".a": ["xy", "z & w"], "p": ["z & w"], "div": ["xy"]}
+    assert markup._read_tables("<table><tr><td colspan='2'>a<td rowspan=2>b</tr><tr><td>c<td>d</table>") == [[["a", "a", "b"], ["c", "d", "b"]]]

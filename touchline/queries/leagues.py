@@ -36,10 +36,10 @@ def fencing_season(spark, folder):
              cust % 70, cust % 80 - cust % 70]
     head = "".join(f"<th>{h}</th>" for h in ("Place", "", "Name", "School", "V/B", "Pct", "TS", "TR", "Ind"))
     row = F.concat(*[F.concat(F.lit("<td>"), _text(c), F.lit("</td>")) for c in cells])
-    pages = table(spark, folder, "orders").select(
+    pages = spread(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")).select(
         F.concat(_text(key), F.lit("|"), F.substring("o_orderpriority", 1, 1)).alias("page_id"),
         F.concat(F.lit(f"<table><tr>{head}</tr><tr>"), row, F.lit("</tr></table>")).alias("html"))
-    cells = table_columns(table_rows(spread(pages), "page_id", "html"), 1, 9)
+    cells = table_columns(table_rows(pages, "page_id", "html"), 1, 9)
     event = F.substring_index("page_id", "|", -1)
     gender = F.when(event.isin("1", "2"), "Women").otherwise("Men")
     weapon = F.when(event.isin("1", "3"), "Sabre").when(event == "2", "Foil").otherwise("Epee")
@@ -162,8 +162,8 @@ def alpine_results(spark, folder):
                   F.concat(F.lit("N"), _text(cust % 9)), times[2], F.lit(str(31 - no)),
                   F.concat(times[0], F.lit(f" ({no})")), F.concat(times[1], F.lit(f" ({4 - no})"))]
     html = F.concat(*[F.concat(F.lit('<div class="sortable">'), c, F.lit("</div>")) for c in cells])
-    pages = table(spark, folder, "orders").select(key.alias("page_id"), html.alias("html"))
-    return rounded(leagues.alpine_results(spread(pages), "page_id", "html"), "Run1_Time", "Run2_Time", "Total_Time")
+    pages = spread(table(spark, folder, "orders").select("o_orderkey", "o_custkey")).select(key.alias("page_id"), html.alias("html"))
+    return rounded(leagues.alpine_results(pages, "page_id", "html"), "Run1_Time", "Run2_Time", "Total_Time")
 
 
 @query("""SELECT o_orderkey, CASE o_custkey % 3 WHEN 0 THEN 'US OPEN' WHEN 1 THEN 'WIMBLEDON' ELSE 'ROLAND GARROS' END AS tourney_name,

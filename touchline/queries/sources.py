@@ -212,7 +212,8 @@ def _result_pages(spark, folder):
         F.lit("<tr><td colspan='2'>price &amp; status</td><td>"), F.col("o_orderstatus"),
         F.lit("</td></tr></table></body></html>"),
     )
-    return tables.table(spark, folder, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+    orders = tables.table(spark, folder, "orders").select(*cells, "o_orderstatus")
+    return spread(orders).select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
 
 
 @query("""SELECT o_orderkey AS page_id, CAST(o_orderkey AS VARCHAR) AS "Key", CAST(o_custkey AS VARCHAR) AS "Customer",
@@ -220,7 +221,7 @@ def _result_pages(spark, folder):
   UNION ALL SELECT o_orderkey, 'price & status', 'price & status', o_orderstatus, 4 FROM orders""")
 def html_tables(spark, folder):
     """Second table of each page: header row promoted, repeated header rows dropped."""
-    rows = markup.table_rows(spread(_result_pages(spark, folder)), "page_id", "html")
+    rows = markup.table_rows(_result_pages(spark, folder), "page_id", "html")
     cells = markup.table_columns(rows, 2, 3)
     return promote_header(cells, "row_no", keep=["page_id"], first=1)
 
@@ -228,7 +229,7 @@ def html_tables(spark, folder):
 @query("""SELECT o_orderkey AS page_id, 4 AS row_no, 'price & status' AS "X1", 'price & status' AS "X2",
   o_orderstatus AS "X3" FROM orders""")
 def leading_rows_dropped(spark, folder):
-    rows = markup.table_rows(spread(_result_pages(spark, folder)), "page_id", "html")
+    rows = markup.table_rows(_result_pages(spark, folder), "page_id", "html")
     return drop_leading(markup.table_columns(rows, 2, 3), "row_no", 3)
 
 
