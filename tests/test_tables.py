@@ -295,3 +295,27 @@ def test_tags_are_told_apart():
     html = """<div class='a "b"'>x<script>if (1<2) "<p>"</script>y</div><!-- <div class="a"> --><P CLASS=a title="1>0">z &amp;  w</P><style>p{}</STYLE >"""
     assert texts(html, ".a", "p", "div") == {".a": ["xy", "z & w"], "p": ["z & w"], "div": ["xy"]}
     assert markup._read_tables("<table><tr><td colspan='2'>a<td rowspan=2>b</tr><tr><td>c<td>d</table>") == [[["a", "a", "b"], ["c", "d", "b"]]]
+
+
+def test_runs_of_cells_equal_single_cells(spark):
+    random.seed(4)
+    pages = [(random.choice([None, *range(12)]), [random.choice([None, "a", "b", "é", ""]) for _ in range(random.randint(0, 11))]) for _ in range(60)]
+    whole = spark.createDataFrame(pages, "p int, texts array<string>")
+    single = whole.select("p", F.posexplode("texts").alias("i", "t"))
+    made, want = reshape.runs_to_rows(whole, ["p"], "texts", 3), reshape.cells_to_rows(single, ["p"], "i", "t", 3)
+    order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert made.schema.simpleString() == want.schema.simpleString() and order(made) == order(want)
+
+
+def test_alpine_pages_are_dealt_once(spark):
+    from touchline.plans import leagues
+
+    heads = ["Rank", "Pr", "Bib", "Name", "Nat", "Total", "N°", "Run 1", "Run 2"]
+    cells = [*heads, "1", "0", "4", "A", "N", "2:05.50", "7", "1:02.25 (1)", "1:03.25 (2)", "2", "-1", "5", "B", "N", "+1.50", "6", "+0.50 (2)", "+1.00 (1)"]
+    html = "".join(f'<div class="sortable">{c}</div>' for c in cells)
+    pages = spark.createDataFrame([(i, html if i else None) for i in range(5)], "page_id int, html string")
+    made = leagues.alpine_results(pages, "page_id", "html")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # no shuffle of single cells, none for the window
+    got = sorted((r["page_id"], r["Name"], r["Total_Time"], r["Run2_Time"]) for r in made.collect())
+    assert got == [(i, n, t, r) for i in range(1, 5) for n, t, r in (("A", 125.5, 63.25), ("B", 127.0, 64.25))]

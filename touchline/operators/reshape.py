@@ -59,18 +59,30 @@ def cells_to_rows(
     return placed.groupBy(*keys, "row_no").agg(*columns)
 
 
-def promote_header(df: DataFrame, row: str, keep: Sequence[str] = (), first: int | None = None) -> DataFrame:
+def runs_to_rows(df: DataFrame, keys: Sequence[str], cells: str, width: int) -> DataFrame:
+    """``cells_to_rows`` of cells kept in order in an array column: arrays are dealt by key once, not cell by cell.
+
+    Arrays of equal keys are laid over each other; of the cells in one place the largest stands, as in ``cells_to_rows``.
+    """
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(cells) - 1) / width).cast("int")), lambda i: F.struct(
+        i.alias("row_no"), *[F.get(F.col(cells), i * width + c).alias(f"X{c + 1}") for c in range(width)]))
+    rows = df.where(F.size(cells) > 0).select(*keys, cells).repartition(*keys).select(*keys, F.inline(runs))
+    return rows.groupBy(*keys, "row_no").agg(*[F.max(f"X{c}").alias(f"X{c}") for c in range(1, width + 1)])
+
+
+def promote_header(df: DataFrame, row: str, keep: Sequence[str] = (), first: int | None = None, header: DataFrame | None = None) -> DataFrame:
     """The first row's values become the column names; repeats of it are dropped.
 
     ``keep`` are columns outside the table proper (page ids). With the header's row
-    number given as ``first`` only as many partitions are read as it takes to see one.
+    number given as ``first`` only as many partitions are read as it takes to see one. Where ``df`` comes
+    out of a shuffle that is all of them: then give a small table with such a row as ``header``.
     """
     data = [c for c in df.columns if c != row and c not in keep]
     cells = F.array(*[F.col(f"`{c}`").cast("string") for c in data])
     if first is None:
         names = df.agg(F.min_by(cells, F.col(row))).first()[0]
     else:
-        names = df.where(F.col(row) == first).select(cells).first()[0]
+        names = (df if header is None else header).where(F.col(row) == first).select(cells).first()[0]
     repeated = F.lit(True)
     for c, n in zip(data, names):
         repeated = repeated & F.col(f"`{c}`").cast("string").eqNullSafe(F.lit(n))

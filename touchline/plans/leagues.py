@@ -15,7 +15,7 @@ from touchline.functions.text import (
     date_of, digits_only, feet_inches, first_number, piece, recode, replace_all, split_into, to_number,
 )
 from touchline.operators.joins import natural_full, stack
-from touchline.operators.reshape import cells_to_rows, drop_leading, promote_header
+from touchline.operators.reshape import runs_to_rows, drop_leading, promote_header
 from touchline.operators.verbs import drop_null_columns, filled
 from touchline.plans.results import gaps_to_times
 from touchline.session import cut_lineage
@@ -130,8 +130,10 @@ def disc_golf_table(throws: DataFrame, season: DataFrame, row: str = "row_no") -
 
 def alpine_results(pages: DataFrame, page_id: str, html: str, selector: str = ".sortable") -> DataFrame:
     """Race pages to results: cells in runs of nine, leader times plus gaps, ranks in brackets."""
-    flat = selected_texts(pages, page_id, html, [selector])
-    rows = promote_header(cells_to_rows(flat, ["page_id"], "pos", "text", 9), "row_no", keep=["page_id"], first=0)
+    texts = selected_texts(pages, page_id, html, [selector], whole=True)
+    one = texts.sparkSession.createDataFrame(texts.head(1), texts.schema)
+    header, cells = (runs_to_rows(t, ["page_id"], "texts", 9) for t in (one, texts))
+    rows = promote_header(cells, "row_no", keep=["page_id"], first=0, header=header)
     parts = {}
     for run in ("Run 1", "Run 2"):
         out = run.replace(" ", "")
