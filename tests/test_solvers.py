@@ -298,3 +298,23 @@ def test_groups_as_arrays_make_no_frames(spark):
         values = [i for i in range(100, 3000) if i % 900 == k]
         want = (None, None, "ValueError") if len(values) % 2 else (len(values), float(values[-1] - values[0]), None)
         assert seen[k + 10] == want
+
+
+def test_plus_minus_adds_up_rows_of_one_lineup(spark, monkeypatch):
+    random, rows = np.random.default_rng(5), []
+    lineups = [tuple(random.choice([-1, 0, 1, 2], 4)) for _ in range(6)]
+    for s in range(400):
+        rows.append((s, lineups[s % 6], float(random.normal(5, 9)), float(random.integers(1, 9))))
+    entries = spark.createDataFrame([(s, f"p{i}", int(v)) for s, x, _, _ in rows for i, v in enumerate(x) if v], "s int, player string, value int")
+    context = spark.createDataFrame([(s, y, w) for s, _, y, w in rows], "s int, y double, w double")
+    held, keep = [], ratings.cut_lineage
+    monkeypatch.setattr(ratings, "cut_lineage", lambda df: held.append(keep(df)) or held[-1])
+    got = {r["player"]: (r["rating"], r["n_rows"]) for r in ratings.plus_minus(entries, context, ["s"], "y", "w", 0.05).collect()}
+    assert max(df.count() for df in held) <= 24  # not one for each entry of the 400 rows
+    x, y, w = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows]), np.array([r[3] for r in rows])
+    w = w / w.sum()
+    x0, y0 = x - w @ x, y - w @ y
+    want = np.linalg.solve(x0.T @ (w[:, None] * x0) + 0.05 * np.eye(4), x0.T @ (w * y0))
+    for i in range(4):
+        if f"p{i}" in got:
+            assert got[f"p{i}"] == (pytest.approx(want[i], abs=1e-8), int((x[:, i] != 0).sum()))
